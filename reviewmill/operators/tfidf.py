@@ -16,9 +16,17 @@ from reviewmill.schema import ROW_ID, TEXT
 from reviewmill.sources.workspace import materialise
 
 
+TOKENS = "tokens"
+
+
+def with_tokens(df: DataFrame, text: str = TEXT) -> DataFrame:
+    """Add the ``tokens`` of the normalised text, unless the table carries them already."""
+    return df if TOKENS in df.columns else df.withColumn(TOKENS, model_tokens(model_text(F.col(text))))
+
+
 def tokenised(df: DataFrame, text: str = TEXT) -> DataFrame:
-    """``(row_id, tokens)`` of the normalised text."""
-    return df.select(ROW_ID, model_tokens(model_text(F.col(text))).alias("tokens"))
+    """``(row_id, tokens)``."""
+    return with_tokens(df, text).select(ROW_ID, TOKENS)
 
 
 def term_counts(df: DataFrame, text: str = TEXT) -> DataFrame:
@@ -49,6 +57,7 @@ class TfidfModel:
 
     vocabulary: DataFrame
     documents: int
+    min_df: int = 1
 
     def transform(self, df: DataFrame, text: str = TEXT) -> DataFrame:
         """``(row_id, term, weight)`` with rows of unit length; terms outside the vocabulary are dropped.
@@ -67,7 +76,7 @@ def fit_tfidf(train: DataFrame, text: str = TEXT, *, min_df: int = 1) -> TfidfMo
     documents = train.count()
     idf = F.log(F.lit(1.0 + documents) / (F.lit(1.0) + F.col("df"))) + F.lit(1.0)
     vocabulary = document_frequencies(train, text, min_df).withColumn("idf", idf)
-    return TfidfModel(materialise(vocabulary, "vocabulary"), documents)
+    return TfidfModel(materialise(vocabulary, "vocabulary"), documents, min_df)
 
 
 def max_abs_scales(matrix: DataFrame, column: str = "term", value: str = "weight") -> DataFrame:

@@ -16,10 +16,11 @@ from reviewmill.plans.features import (
     fit_features,
     fit_unit_range,
     fit_unit_range_bayes,
+    prepared_rows,
 )
 from reviewmill.schema import LABELS, ROW_ID, SEED, SENTIMENT
 from reviewmill.sources.layers import split_rows
-from reviewmill.sources.workspace import materialise
+from reviewmill.sources.workspace import materialise, spread_small_scan
 
 MAJORITY = "Majority class"
 LOGISTIC = "Logistic regression"
@@ -28,7 +29,7 @@ BAYES = "Multinomial naive Bayes"
 MODELS = (MAJORITY, LOGISTIC, FOREST, BAYES)
 
 # Model settings. Spark's trees are at most 30 deep.
-LOGISTIC_C, LOGISTIC_ITERATIONS = 1.0, 1000
+LOGISTIC_C, LOGISTIC_ITERATIONS, LOGISTIC_TOLERANCE = 1.0, 1000, 1e-4
 FOREST_TREES, FOREST_DEPTH = 400, 30
 
 PREDICTION_COLUMNS = ("model", ROW_ID, SENTIMENT, "prediction", "probability")
@@ -69,7 +70,7 @@ def _labelled(scored: DataFrame, model: str, labels: Sequence[str] = LABELS) ->
     )
 
 
-def train_logistic(train: DataFrame, rows: int, *, max_iter: int = LOGISTIC_ITERATIONS, tol: float = 1e-6):
+def train_logistic(train: DataFrame, rows: int, *, max_iter: int = LOGISTIC_ITERATIONS, tol: float = LOGISTIC_TOLERANCE):
     """Multinomial logistic regression with the L2 strength of ``C = 1``.
 
     Spark minimises the weighted mean loss, so the penalty is divided by the total weight, which
@@ -134,15 +135,15 @@ def train_and_predict(
     """
     if split not in ("validation", "test"):
         raise ValueError("models are scored on 'validation' or 'test'")
-    train = materialise(split_rows(silver, splits, "train"), "train")
-    rows = materialise(split_rows(silver, splits, split), split)
+    train = spread_small_scan(materialise(prepared_rows(split_rows(silver, splits, "train")), "train"), ROW_ID)
+    rows = spread_small_scan(materialise(prepared_rows(split_rows(silver, splits, split)), split), ROW_ID)
     parts = []
     if MAJORITY in models:
         parts.append(majority_predictions(train, rows))
     if set(models) - {MAJORITY}:
         features = fit_features(train, min_df=min_df)
         if LOGISTIC in models or FOREST in models:
-            vectoriser = features.vectoriser()
+            vectoriser = features.vectoriser(train)
         if LOGISTIC in models:
             parts.append(logistic_predictions(features, vectoriser, train, rows))
         if FOREST in models:

@@ -7,15 +7,14 @@ driver and is therefore refused for vocabularies over a stated size.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.ml.feature import CountVectorizerModel, ElementwiseProduct, Normalizer, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.functions.text import add_text_metrics, model_text, model_tokens
+from reviewmill.functions.text import add_text_metrics
 from reviewmill.operators.naive_bayes import NaiveBayesModel, fit_naive_bayes
 from reviewmill.operators.scaling import (
     LinearScaler,
@@ -24,8 +23,8 @@ from reviewmill.operators.scaling import (
     fit_standard,
     long_numeric,
 )
-from reviewmill.operators.tfidf import TfidfModel, apply_max_abs, fit_tfidf, max_abs_scales
-from reviewmill.schema import NUMERIC_FEATURES, ROW_ID, SENTIMENT, TEXT
+from reviewmill.operators.tfidf import TOKENS, TfidfModel, apply_max_abs, fit_tfidf, max_abs_scales, tokenised, with_tokens
+from reviewmill.schema import NUMERIC_FEATURES, ROW_ID, SENTIMENT
 from reviewmill.sources.workspace import materialise
 
 MAX_VECTOR_TERMS = 2_000_000
@@ -35,6 +34,18 @@ class VocabularyTooLarge(ValueError):
     """The vocabulary does not fit the vector form; use the table form or raise ``min_df``."""
 
 
+def prepared_rows(df: DataFrame) -> DataFrame:
+    """Label, numeric features and tokens of each row; a table that has them passes unchanged.
+
+    Write this table once (``workspace.materialise``) and every later fit or transform reads
+    only the columns it needs instead of matching patterns over the texts again.
+    """
+    wanted = [ROW_ID, SENTIMENT, *NUMERIC_FEATURES, TOKENS]
+    if set(wanted) <= set(df.columns):
+        return df
+    return with_tokens(add_text_metrics(df)).select(*wanted)
+
+
 def _entries(tfidf: DataFrame, numeric: DataFrame, *keep: str) -> DataFrame:
     """Text block and numeric block side by side; prefixes keep a term apart from a feature name."""
     terms = tfidf.select(
@@ -54,32 +65,43 @@ class FeatureModel:
 
     def matrix(self, df: DataFrame) -> DataFrame:
         """``(row_id, feature, value)``: unit-length TF-IDF and standardised numbers."""
-        numeric = long_numeric(self.scaler.transform(add_text_metrics(df)), NUMERIC_FEATURES, ROW_ID)
-        return _entries(self.tfidf.transform(df), numeric)
+        rows = prepared_rows(df)
+        numeric = long_numeric(self.scaler.transform(rows), NUMERIC_FEATURES, ROW_ID)
+        return _entries(self.tfidf.transform(rows), numeric)
 
     def weight_of(self, label: Column) -> Column:
         pairs = [F.lit(x) for pair in self.weights.items() for x in pair]
         return F.create_map(*pairs)[label]
 
-    def vectoriser(self, max_terms: int = MAX_VECTOR_TERMS) -> Vectoriser:
-        """The vector form, if the vocabulary is short enough to live on the driver."""
-        size = self.tfidf.vocabulary.count()
-        if size > max_terms:
-            raise VocabularyTooLarge(f"{size} terms exceed {max_terms}")
-        rows = self.tfidf.vocabulary.select("term", "idf").orderBy("term").toPandas()
-        return Vectoriser(self, rows["term"].tolist(), rows["idf"].tolist())
+    def vectoriser(self, train: DataFrame, max_terms: int = MAX_VECTOR_TERMS) -> Vectoriser:
+        """The vector form, if the vocabulary is short enough to live on the driver.
+
+        The size is known from the vocabulary table before anything is collected.
+        """
+        terms = self.tfidf.vocabulary.count()
+        if terms > max_terms:
+            raise VocabularyTooLarge(f"{terms} terms exceed {max_terms}")
+        return Vectoriser(self, train, terms)
 
 
 class Vectoriser:
     """Sparse TF-IDF followed by the numeric features in one ``features`` vector."""
 
-    def __init__(self, model: FeatureModel, terms: Sequence[str], idf: Sequence[float]):
+    def __init__(self, model: FeatureModel, train: DataFrame, terms: int):
         self.model = model
-        self.terms = list(terms)
-        counts = CountVectorizerModel.from_vocabulary(self.terms, inputCol="tokens", outputCol="tf")
-        weighted = ElementwiseProduct(scalingVec=Vectors.dense(idf), inputCol="tf", outputCol="tf_idf")
+        tokens = tokenised(prepared_rows(train))
+        counter = CountVectorizer(
+            inputCol="tokens", outputCol="tf", vocabSize=max(terms, 1), minDF=float(model.tfidf.min_df)
+        )
+        counts = counter.fit(tokens)
+        # Spark's idf is ln((1 + n) / (1 + df)); the model adds one.
+        idf = IDF(inputCol="tf", outputCol="unused").fit(counts.transform(tokens)).idf
+        weighted = ElementwiseProduct(
+            scalingVec=Vectors.dense(idf.toArray() + 1.0), inputCol="tf", outputCol="tf_idf"
+        )
         unit = Normalizer(p=2.0, inputCol="tf_idf", outputCol="text_block")
         assembled = VectorAssembler(inputCols=["text_block", *NUMERIC_FEATURES], outputCol="features")
+        self.terms = counts.vocabulary
         self.stages = [counts, weighted, unit, assembled]
 
     @property
@@ -88,8 +110,7 @@ class Vectoriser:
 
     def transform(self, df: DataFrame) -> DataFrame:
         """``(row_id, sentiment, features)``."""
-        out = self.model.scaler.transform(add_text_metrics(df))
-        out = out.withColumn("tokens", model_tokens(model_text(F.col(TEXT))))
+        out = self.model.scaler.transform(prepared_rows(df))
         for stage in self.stages:
             out = stage.transform(out)
         return out.select(ROW_ID, SENTIMENT, "features")
@@ -97,10 +118,9 @@ class Vectoriser:
 
 def fit_features(train: DataFrame, *, min_df: int = 1) -> FeatureModel:
     """Learn vocabulary, numeric scale and class weights from the training rows."""
+    rows = prepared_rows(train)
     return FeatureModel(
-        tfidf=fit_tfidf(train, min_df=min_df),
-        scaler=fit_standard(add_text_metrics(train)),
-        weights=class_weight_map(train),
+        tfidf=fit_tfidf(rows, min_df=min_df), scaler=fit_standard(rows), weights=class_weight_map(rows)
     )
 
 
@@ -115,16 +135,18 @@ class UnitRangeModel:
     def matrix(self, df: DataFrame) -> DataFrame:
         """``(row_id, feature, value)`` with text columns over their largest training weight and
         numbers mapped from their training range to [0, 1]."""
-        text = apply_max_abs(self.features.tfidf.transform(df), self.text_scales)
-        standard = self.features.scaler.transform(add_text_metrics(df))
+        rows = prepared_rows(df)
+        text = apply_max_abs(self.features.tfidf.transform(rows), self.text_scales)
+        standard = self.features.scaler.transform(rows)
         numeric = long_numeric(self.number_scaler.transform(standard), NUMERIC_FEATURES, ROW_ID)
         return _entries(text, numeric)
 
 
 def fit_unit_range(features: FeatureModel, train: DataFrame) -> UnitRangeModel:
     """Learn the largest weight of each term and the range of each standardised number."""
-    scales = materialise(max_abs_scales(features.tfidf.transform(train)), "text-scales")
-    numbers = fit_min_max(features.scaler.transform(add_text_metrics(train)))
+    rows = prepared_rows(train)
+    scales = materialise(max_abs_scales(features.tfidf.transform(rows)), "text-scales")
+    numbers = fit_min_max(features.scaler.transform(rows))
     return UnitRangeModel(features, scales, numbers)
 
 

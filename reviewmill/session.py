@@ -25,6 +25,7 @@ def local_session(cores: int | str = 8, *, memory: str = "8g", checkpoint_dir: s
         builder.config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.host", "127.0.0.1")
         .getOrCreate()
     )

@@ -11,15 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.schema import BRANCH, LOCATION, RATING, REVIEW_ID, ROW_ID, TEXT, YEAR_MONTH
-
-
-def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a scan with fewer splits than cores, as for one small file.
-
-    A large table has more splits than cores and passes through unchanged, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+from reviewmill.sources.workspace import spread_small_scan
 
 
 def reviews_from_documents(spark: SparkSession, folder: str) -> DataFrame:
