@@ -77,9 +77,14 @@ def describe_categories(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     )
 
 
-def dtypes_table(df: DataFrame) -> DataFrame:
-    """Column names and types of a table as a table."""
-    return df.sparkSession.createDataFrame(df.dtypes, "column string, dtype string")
+def column_types(df: DataFrame) -> DataFrame:
+    """Name, type and number of non-NULL values of every column, from one scan."""
+    row = df.agg(*[F.count(name).alias(f"n{i}") for i, name in enumerate(df.columns)])
+    cells = [
+        F.struct(F.lit(name).alias("column"), F.lit(kind).alias("dtype"), F.col(f"n{i}").alias("non_null"))
+        for i, (name, kind) in enumerate(df.dtypes)
+    ]
+    return row.select(F.inline(F.array(*cells)))
 
 
 def rating_statistics(df: DataFrame) -> DataFrame:

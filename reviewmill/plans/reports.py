@@ -9,8 +9,8 @@ from reviewmill.operators.cleaning import clean_reviews
 from reviewmill.operators.profiling import (
     class_balance,
     column_inventory,
+    column_types,
     corpus_summary,
-    dtypes_table,
     feature_ranges,
     rating_distribution,
 )
@@ -33,7 +33,7 @@ def corpus_report(
         "ratings": rating_distribution(raw),
         "classes": class_balance(metrics, SENTIMENT),
         "ranges": feature_ranges(metrics, RANGE_METRICS),
-        "types": dtypes_table(metrics),
+        "types": column_types(metrics),
     }
     if bronze_folder:
         sections["files"] = file_inventory(raw.sparkSession, bronze_folder, expected_sha256=expected_sha256)
