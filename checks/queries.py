@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from reviewmill.functions import text as tx
@@ -736,25 +736,22 @@ def rule_predictions(spark: SparkSession, folder: str) -> DataFrame:
     length = F.array(1 + F.col("w") % 5, 1 + F.col("c") % 4, 2 + F.col("w") % 7)
     rating = F.array(1 + F.col(REVIEW_ID) % 3, 1 + F.col("c") % 3, 4 + F.col("w") % 2)
 
-    def rule(name: str, scores) -> DataFrame:
+    def rule(name: str, scores: Column) -> Column:
         parts = F.transform(scores, lambda s: s.cast("double"))
         total = F.aggregate(parts, F.lit(0.0), lambda a, s: a + s)
-        return rows.select(
+        return F.struct(
             F.lit(name).alias("model"),
-            ROW_ID,
-            SENTIMENT,
             naive_bayes.first_largest(scores, LABELS).alias("prediction"),
             F.transform(parts, lambda s: s / total).alias("probability"),
         )
 
-    flat = rows.select(
+    flat = F.struct(
         F.lit("always positive").alias("model"),
-        ROW_ID,
-        SENTIMENT,
         F.lit("positive").alias("prediction"),
         F.lit(None).cast("array<double>").alias("probability"),
     )
-    return rule("length", length).unionByName(rule("rating", rating)).unionByName(flat)
+    scored = rows.select(ROW_ID, SENTIMENT, F.inline(F.array(rule("length", length), rule("rating", rating), flat)))
+    return materialise(scored, "predictions")
 
 
 def rule_counts(spark: SparkSession, folder: str) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.operators.distribution import running_totals
-from reviewmill.sources.workspace import materialise_by
+from reviewmill.sources.workspace import materialise, materialise_by
 
 
 def spearman_pairs(
@@ -30,7 +30,9 @@ def spearman_pairs(
     """
     columns = list(dict.fromkeys(c for pair in pairs for c in pair))
     place = {c: i for i, c in enumerate(columns)}
-    values = df.select(*[F.col(c).cast("double").alias(f"v{i}") for c, i in place.items()])
+    # Written once: the histogram and the join read these few numbers, not the texts behind them.
+    narrow = df.select(*[F.col(c).cast("double").alias(f"v{i}") for c, i in place.items()])
+    values = materialise(narrow, "rank-inputs")
 
     present = F.array(*[F.col(f"v{i}").isNotNull() for i in place.values()])
     cells = F.array(*[F.struct(F.lit(i).alias("metric"), F.col(f"v{i}").alias("value")) for i in place.values()])

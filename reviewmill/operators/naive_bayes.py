@@ -1,92 +1,127 @@
-"""Multinomial naive Bayes over a sparse matrix in table form.
+"""Multinomial naive Bayes on TF-IDF weights and numbers that are rescaled to [0, 1].
 
-Training is one aggregation per feature and scoring one join and one aggregation per row, so the
-model is as large as the vocabulary table and never has to fit on the driver. Class priors are the
-plain training shares, and scored values may be negative, which ``pyspark.ml`` does not allow.
+The model is a table with one row per term, so neither training nor scoring needs the vocabulary
+on the driver. Two sums are folded to save passes over the matrix:
+
+* training needs, per term, the largest weight and the weights per class; scaling by the former
+  commutes with summing the latter, so one aggregation gives both;
+* scoring needs ``sum(tf * idf / norm / scale * log p)`` with ``norm`` the length of the row, so one
+  join and one aggregation per row give the sum and the norm together.
+
+Class priors are the plain training shares, and scored numbers may lie outside [0, 1];
+``pyspark.ml`` smooths the former and rejects the latter.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from math import log
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from reviewmill.schema import LABELS, ROW_ID, SENTIMENT
+from reviewmill.operators.scaling import LinearScaler, filled
+from reviewmill.operators.tfidf import TfidfModel, largest_weight, term_counts
+from reviewmill.schema import LABELS, NUMERIC_FEATURES, ROW_ID, SENTIMENT
 from reviewmill.sources.workspace import materialise
 
 
+def softmax(scores: Column) -> Column:
+    shifted = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
+    total = F.aggregate(shifted, F.lit(0.0), lambda a, s: a + s)
+    return F.transform(shifted, lambda s: s / total)
+
+
+def first_largest(scores: Column, labels: Sequence[str]) -> Column:
+    """Label of the largest score; the earlier label wins a tie."""
+    names = F.array(*[F.lit(c) for c in labels])
+    return F.element_at(names, F.array_position(scores, F.array_max(scores)).cast("int"))
+
+
+def class_weight_sums(matrix: DataFrame, labels: Sequence[str] = LABELS, label: str = SENTIMENT) -> DataFrame:
+    """``(term, scale, sum_<label>...)`` of a training matrix ``(row_id, label, term, weight)``."""
+    sums = [
+        F.coalesce(F.sum(F.when(F.col(label) == c, F.col("weight"))), F.lit(0.0)).alias(f"sum_{c}") for c in labels
+    ]
+    return matrix.groupBy("term").agg(largest_weight().alias("scale"), *sums)
+
+
 @dataclass(frozen=True)
 class NaiveBayesModel:
-    """Log probabilities ``(feature, log_<label>)`` as a written table, and the class log priors."""
+    """``terms`` is a written table ``(term, idf, w_<label>...)`` with ``w = log p / scale``."""
 
-    features: DataFrame
+    terms: DataFrame
+    numbers: dict[str, dict[str, float]]
     log_prior: dict[str, float]
 
     @property
     def labels(self) -> list[str]:
         return list(self.log_prior)
 
-    def score(self, matrix: DataFrame, rows: DataFrame) -> DataFrame:
-        """``rows`` with ``probability`` (in label order) and ``prediction``.
-
-        ``rows`` has one line per ``row_id``, so a document without any known feature still gets
-        the prior.
-        """
+    def score(self, rows: DataFrame) -> DataFrame:
+        """Probabilities (in label order) and label of rows that hold tokens and unit-range numbers:
+        ``(row_id, sentiment, prediction, probability)``. A row without a known term gets its
+        score from the numbers and the prior."""
+        raw = F.col("tf") * F.col("idf")
         sums = (
-            matrix.join(self.features, "feature")
+            term_counts(rows)
+            .join(self.terms, "term")
             .groupBy(ROW_ID)
-            .agg(*[F.sum(F.col("value") * F.col(f"log_{c}")).alias(f"score_{c}") for c in self.labels])
+            .agg(
+                F.sqrt(F.sum(raw * raw)).alias("norm"),
+                *[F.sum(raw * F.col(f"w_{c}")).alias(f"text_{c}") for c in self.labels],
+            )
         )
-        scored = rows.join(sums, ROW_ID, "left")
-        joint = [F.coalesce(F.col(f"score_{c}"), F.lit(0.0)) + F.lit(self.log_prior[c]) for c in self.labels]
-        out = scored.withColumn("_joint", F.array(*joint))
-        out = out.withColumn("probability", softmax(F.col("_joint")))
-        return out.withColumn("prediction", first_largest(F.col("_joint"), self.labels)).drop(
-            "_joint", *[f"score_{c}" for c in self.labels]
+        both = rows.drop("tokens").join(sums, ROW_ID, "left")
+        joint = F.array(*[self._joint(c) for c in self.labels])
+        scored = both.select(ROW_ID, SENTIMENT, joint.alias("joint"))
+        return scored.select(
+            ROW_ID,
+            SENTIMENT,
+            first_largest(F.col("joint"), self.labels).alias("prediction"),
+            softmax(F.col("joint")).alias("probability"),
         )
 
-
-def softmax(scores: Column) -> Column:
-    shifted = F.transform(scores, lambda s: F.exp(s - F.array_max(scores)))
-    total = F.aggregate(shifted, F.lit(0.0), lambda a, s: a + s)
-    return F.transform(shifted, lambda s: s / total)
-
-
-def first_largest(scores: Column, labels: Sequence[str]) -> Column:
-    """Label of the largest score; the earlier label wins a tie."""
-    names = F.array(*[F.lit(c) for c in labels])
-    return F.element_at(names, F.array_position(scores, F.array_max(scores)).cast("int"))
+    def _joint(self, label: str) -> Column:
+        text = F.coalesce(F.col(f"text_{label}") / F.col("norm"), F.lit(0.0))
+        numbers = sum((filled(f) * F.lit(w[label]) for f, w in self.numbers.items()), F.lit(0.0))
+        return text + numbers + F.lit(self.log_prior[label])
 
 
 def fit_naive_bayes(
-    matrix: DataFrame,
+    tfidf: TfidfModel,
+    sums: DataFrame,
     rows: DataFrame,
     *,
-    label: str = SENTIMENT,
+    columns: Sequence[str] = NUMERIC_FEATURES,
     labels: Sequence[str] = LABELS,
     alpha: float = 1.0,
 ) -> NaiveBayesModel:
-    """Fit on ``matrix`` ``(row_id, label, feature, value)`` and ``rows`` ``(row_id, label)``."""
-    counts = {r[label]: r["n"] for r in rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()}
-    seen = [c for c in labels if counts.get(c)]
-    total = sum(counts[c] for c in seen)
-
-    mass = materialise(
-        matrix.groupBy("feature").agg(
-            *[
-                (F.coalesce(F.sum(F.when(F.col(label) == c, F.col("value"))), F.lit(0.0)) + F.lit(alpha)).alias(f"mass_{c}")
-                for c in seen
-            ]
-        ),
-        "feature-mass",
+    """Fit on the ``class_weight_sums`` of the text and on training rows with unit-range numbers."""
+    per_class = rows.groupBy(SENTIMENT).agg(
+        F.count(F.lit(1)).alias("n"), *[F.sum(filled(c)).alias(c) for c in columns]
     )
-    # One number per class.
-    whole = mass.agg(*[F.sum(f"mass_{c}").alias(c) for c in seen]).first()
-    features = mass.select(
-        "feature", *[F.log(F.col(f"mass_{c}") / F.lit(whole[c])).alias(f"log_{c}") for c in seen]
+    # One line per class, and one per class of the text totals.
+    classes = {r[SENTIMENT]: r for r in per_class.collect()}
+    seen = [c for c in labels if c in classes]
+    documents = sum(classes[c]["n"] for c in seen)
+
+    mass = {c: F.col(f"sum_{c}") / F.col("scale") + F.lit(alpha) for c in seen}
+    totals = sums.agg(*[F.sum(m).alias(c) for c, m in mass.items()]).first()
+    whole = {c: (totals[c] or 0.0) + sum(classes[c][f] + alpha for f in columns) for c in seen}
+
+    weights = [(F.log(m / F.lit(whole[c])) / F.col("scale")).alias(f"w_{c}") for c, m in mass.items()]
+    terms = tfidf.vocabulary.select("term", "idf").join(sums.select("term", *weights), "term")
+    return NaiveBayesModel(
+        terms=materialise(terms, "bayes-terms"),
+        numbers={f: {c: log((classes[c][f] + alpha) / whole[c]) for c in seen} for f in columns},
+        log_prior={c: log(classes[c]["n"] / documents) for c in seen},
     )
-    from math import log
 
-    return NaiveBayesModel(features, {c: log(counts[c] / total) for c in seen})
+
+def scale_numbers(rows: DataFrame, scalers: Sequence[LinearScaler]) -> DataFrame:
+    """Apply scalers one after another."""
+    for scaler in scalers:
+        rows = scaler.transform(rows)
+    return rows

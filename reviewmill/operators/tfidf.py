@@ -6,9 +6,10 @@ the number of documents nor the number of terms is bounded by one machine.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.functions.text import model_text, model_tokens
@@ -24,29 +25,29 @@ def with_tokens(df: DataFrame, text: str = TEXT) -> DataFrame:
     return df if TOKENS in df.columns else df.withColumn(TOKENS, model_tokens(model_text(F.col(text))))
 
 
-def tokenised(df: DataFrame, text: str = TEXT) -> DataFrame:
-    """``(row_id, tokens)``."""
-    return with_tokens(df, text).select(ROW_ID, TOKENS)
+def tokenised(df: DataFrame, text: str = TEXT, keep: Sequence[str] = ()) -> DataFrame:
+    """``(row_id, *keep, tokens)``."""
+    return with_tokens(df, text).select(ROW_ID, *keep, TOKENS)
 
 
-def term_counts(df: DataFrame, text: str = TEXT) -> DataFrame:
-    """``(row_id, term, tf)``.
+def term_counts(df: DataFrame, text: str = TEXT, keep: Sequence[str] = ()) -> DataFrame:
+    """``(row_id, *keep, term, tf)``; ``keep`` are columns of the row, such as its label.
 
     The documents are partitioned by row before they are exploded, so counting, and later the
     norm of each row, need no further shuffle.
     """
     return (
-        tokenised(df, text)
+        tokenised(df, text, keep)
         .repartition(ROW_ID)
-        .select(ROW_ID, F.explode("tokens").alias("term"))
-        .groupBy(ROW_ID, "term")
+        .select(ROW_ID, *keep, F.explode(TOKENS).alias("term"))
+        .groupBy(ROW_ID, *keep, "term")
         .agg(F.count(F.lit(1)).alias("tf"))
     )
 
 
 def document_frequencies(df: DataFrame, text: str = TEXT, min_df: int = 1) -> DataFrame:
     """``(term, df)``: documents holding each term; repeats inside a document go before the shuffle."""
-    terms = tokenised(df, text).select(F.explode(F.array_distinct("tokens")).alias("term"))
+    terms = tokenised(df, text).select(F.explode(F.array_distinct(TOKENS)).alias("term"))
     counts = terms.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     return counts.where(F.col("df") >= min_df) if min_df > 1 else counts
 
@@ -59,16 +60,16 @@ class TfidfModel:
     documents: int
     min_df: int = 1
 
-    def transform(self, df: DataFrame, text: str = TEXT) -> DataFrame:
-        """``(row_id, term, weight)`` with rows of unit length; terms outside the vocabulary are dropped.
+    def transform(self, df: DataFrame, text: str = TEXT, keep: Sequence[str] = ()) -> DataFrame:
+        """``(row_id, *keep, term, weight)`` with rows of unit length; terms outside the vocabulary are dropped.
 
         The vocabulary is a written table, so Catalyst knows its size: a short one is broadcast and
         a long one joined by shuffle.
         """
-        known = term_counts(df, text).join(self.vocabulary.select("term", "idf"), "term")
-        raw = known.select(ROW_ID, "term", (F.col("tf") * F.col("idf")).alias("raw"))
+        known = term_counts(df, text, keep).join(self.vocabulary.select("term", "idf"), "term")
+        raw = known.select(ROW_ID, *keep, "term", (F.col("tf") * F.col("idf")).alias("raw"))
         norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(ROW_ID)))
-        return raw.select(ROW_ID, "term", (F.col("raw") / norm).alias("weight"))
+        return raw.select(ROW_ID, *keep, "term", (F.col("raw") / norm).alias("weight"))
 
 
 def fit_tfidf(train: DataFrame, text: str = TEXT, *, min_df: int = 1) -> TfidfModel:
@@ -79,13 +80,18 @@ def fit_tfidf(train: DataFrame, text: str = TEXT, *, min_df: int = 1) -> TfidfMo
     return TfidfModel(materialise(vocabulary, "vocabulary"), documents, min_df)
 
 
-def max_abs_scales(matrix: DataFrame, column: str = "term", value: str = "weight") -> DataFrame:
-    """``(term, scale)``: the largest magnitude of each column, 1 for an all-zero column."""
-    largest = F.max(F.abs(F.col(value)))
-    return matrix.groupBy(column).agg(F.when(largest == 0, F.lit(1.0)).otherwise(largest).alias("scale"))
+def largest_weight() -> Column:
+    """Aggregate over one column of the matrix: its largest magnitude, 1 for an all-zero column."""
+    largest = F.max(F.abs("weight"))
+    return F.when(largest == 0, F.lit(1.0)).otherwise(largest)
 
 
-def apply_max_abs(matrix: DataFrame, scales: DataFrame, column: str = "term", value: str = "weight") -> DataFrame:
-    """Divide each entry by the scale of its column."""
-    joined = matrix.join(scales, column)
-    return joined.withColumn(value, F.col(value) / F.col("scale")).drop("scale")
+def max_abs_scales(matrix: DataFrame) -> DataFrame:
+    """``(term, scale)``: the largest magnitude of each column."""
+    return matrix.groupBy("term").agg(largest_weight().alias("scale"))
+
+
+def apply_max_abs(matrix: DataFrame, scales: DataFrame) -> DataFrame:
+    """Divide each weight by the scale of its column."""
+    joined = matrix.join(scales.select("term", "scale"), "term")
+    return joined.withColumn("weight", F.col("weight") / F.col("scale")).drop("scale")

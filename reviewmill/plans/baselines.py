@@ -13,9 +13,9 @@ from reviewmill.operators import metrics
 from reviewmill.plans.features import (
     FeatureModel,
     Vectoriser,
+    fit_bayes,
     fit_features,
     fit_unit_range,
-    fit_unit_range_bayes,
     prepared_rows,
 )
 from reviewmill.schema import LABELS, ROW_ID, SEED, SENTIMENT
@@ -53,6 +53,7 @@ def majority_predictions(train: DataFrame, rows: DataFrame, labels: Sequence[str
 def _training_rows(vectors: DataFrame, features: FeatureModel, labels: Sequence[str] = LABELS) -> DataFrame:
     names = F.array(*[F.lit(c) for c in labels])
     return vectors.select(
+        ROW_ID,
         "features",
         (F.array_position(names, F.col(SENTIMENT)) - 1).cast("double").alias("label"),
         features.weight_of(F.col(SENTIMENT)).alias("weight"),
@@ -100,29 +101,29 @@ def train_forest(train: DataFrame, *, trees: int = FOREST_TREES, depth: int = FO
     ).fit(train)
 
 
+def training_vectors(features: FeatureModel, vectoriser: Vectoriser, train: DataFrame) -> DataFrame:
+    """``(row_id, features, label, weight)`` as a written table, shared by the estimators."""
+    return materialise(_training_rows(vectoriser.transform(train), features), "vectors")
+
+
 def logistic_predictions(
-    features: FeatureModel, vectoriser: Vectoriser, train: DataFrame, rows: DataFrame, **options
+    features: FeatureModel, vectoriser: Vectoriser, vectors: DataFrame, rows: DataFrame, **options
 ) -> DataFrame:
-    prepared = _training_rows(vectoriser.transform(train), features).persist()
-    try:
-        model = train_logistic(prepared, features.tfidf.documents, **options)
-    finally:
-        prepared.unpersist()
+    """Train on the splits of the written table: each partition returns one dense gradient per
+    iteration, so partitions should hold many rows and are not spread thinner here."""
+    model = train_logistic(vectors, features.tfidf.documents, **options)
     return _labelled(model.transform(vectoriser.transform(rows)), LOGISTIC)
 
 
-def forest_predictions(
-    features: FeatureModel, vectoriser: Vectoriser, train: DataFrame, rows: DataFrame, **options
-) -> DataFrame:
-    prepared = _training_rows(vectoriser.transform(train), features)
-    model = train_forest(prepared, **options)
+def forest_predictions(vectoriser: Vectoriser, vectors: DataFrame, rows: DataFrame, **options) -> DataFrame:
+    """Trees gain from every core, so a small table is spread over all of them."""
+    model = train_forest(spread_small_scan(vectors, ROW_ID), **options)
     return _labelled(model.transform(vectoriser.transform(rows)), FOREST)
 
 
 def bayes_predictions(features: FeatureModel, train: DataFrame, rows: DataFrame) -> DataFrame:
     unit_range = fit_unit_range(features, train)
-    model = fit_unit_range_bayes(unit_range, train)
-    scored = model.score(unit_range.matrix(rows), rows.select(ROW_ID, SENTIMENT))
+    scored = fit_bayes(unit_range, train).score(unit_range.numbers(rows))
     return scored.withColumn("model", F.lit(BAYES)).select(*PREDICTION_COLUMNS)
 
 
@@ -144,10 +145,11 @@ def train_and_predict(
         features = fit_features(train, min_df=min_df)
         if LOGISTIC in models or FOREST in models:
             vectoriser = features.vectoriser(train)
+            vectors = training_vectors(features, vectoriser, train)
         if LOGISTIC in models:
-            parts.append(logistic_predictions(features, vectoriser, train, rows))
+            parts.append(logistic_predictions(features, vectoriser, vectors, rows))
         if FOREST in models:
-            parts.append(forest_predictions(features, vectoriser, train, rows))
+            parts.append(forest_predictions(vectoriser, vectors, rows))
         if BAYES in models:
             parts.append(bayes_predictions(features, train, rows))
     out = parts[0]

@@ -15,7 +15,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.text import add_text_metrics
-from reviewmill.operators.naive_bayes import NaiveBayesModel, fit_naive_bayes
+from reviewmill.operators.naive_bayes import (
+    NaiveBayesModel,
+    class_weight_sums,
+    fit_naive_bayes,
+    scale_numbers,
+)
 from reviewmill.operators.scaling import (
     LinearScaler,
     class_weight_map,
@@ -23,7 +28,7 @@ from reviewmill.operators.scaling import (
     fit_standard,
     long_numeric,
 )
-from reviewmill.operators.tfidf import TOKENS, TfidfModel, apply_max_abs, fit_tfidf, max_abs_scales, tokenised, with_tokens
+from reviewmill.operators.tfidf import TOKENS, TfidfModel, apply_max_abs, fit_tfidf, tokenised, with_tokens
 from reviewmill.schema import NUMERIC_FEATURES, ROW_ID, SENTIMENT
 from reviewmill.sources.workspace import materialise
 
@@ -113,7 +118,10 @@ class Vectoriser:
         out = self.model.scaler.transform(prepared_rows(df))
         for stage in self.stages:
             out = stage.transform(out)
-        return out.select(ROW_ID, SENTIMENT, "features")
+        # The assembler names every column of the vector in the schema. With a long vocabulary that
+        # is megabytes of metadata in each task, so it is replaced by a short note.
+        vector = F.col("features").alias("features", metadata={"content": "tf-idf and numbers"})
+        return out.select(ROW_ID, SENTIMENT, vector)
 
 
 def fit_features(train: DataFrame, *, min_df: int = 1) -> FeatureModel:
@@ -126,32 +134,33 @@ def fit_features(train: DataFrame, *, min_df: int = 1) -> FeatureModel:
 
 @dataclass(frozen=True)
 class UnitRangeModel:
-    """The naive-Bayes inputs: each column rescaled by its training range."""
+    """The naive-Bayes inputs: each column rescaled by its training range.
+
+    ``text`` holds per term the largest training weight and the weights summed per class.
+    """
 
     features: FeatureModel
-    text_scales: DataFrame
+    text: DataFrame
     number_scaler: LinearScaler
 
+    def numbers(self, df: DataFrame) -> DataFrame:
+        """Prepared rows with the numbers mapped from their training range to [0, 1]."""
+        return scale_numbers(prepared_rows(df), [self.features.scaler, self.number_scaler])
+
     def matrix(self, df: DataFrame) -> DataFrame:
-        """``(row_id, feature, value)`` with text columns over their largest training weight and
-        numbers mapped from their training range to [0, 1]."""
+        """``(row_id, feature, value)`` with text columns over their largest training weight."""
         rows = prepared_rows(df)
-        text = apply_max_abs(self.features.tfidf.transform(rows), self.text_scales)
-        standard = self.features.scaler.transform(rows)
-        numeric = long_numeric(self.number_scaler.transform(standard), NUMERIC_FEATURES, ROW_ID)
-        return _entries(text, numeric)
+        text = apply_max_abs(self.features.tfidf.transform(rows), self.text)
+        return _entries(text, long_numeric(self.numbers(rows), NUMERIC_FEATURES, ROW_ID))
 
 
 def fit_unit_range(features: FeatureModel, train: DataFrame) -> UnitRangeModel:
     """Learn the largest weight of each term and the range of each standardised number."""
     rows = prepared_rows(train)
-    scales = materialise(max_abs_scales(features.tfidf.transform(rows)), "text-scales")
-    numbers = fit_min_max(features.scaler.transform(rows))
-    return UnitRangeModel(features, scales, numbers)
+    text = materialise(class_weight_sums(features.tfidf.transform(rows, keep=[SENTIMENT])), "text-sums")
+    return UnitRangeModel(features, text, fit_min_max(features.scaler.transform(rows)))
 
 
-def fit_unit_range_bayes(unit_range: UnitRangeModel, train: DataFrame) -> NaiveBayesModel:
-    """Naive Bayes on the rescaled training matrix."""
-    rows = train.select(ROW_ID, SENTIMENT)
-    matrix = unit_range.matrix(train).join(rows, ROW_ID)
-    return fit_naive_bayes(matrix, rows)
+def fit_bayes(unit_range: UnitRangeModel, train: DataFrame) -> NaiveBayesModel:
+    """Naive Bayes on the rescaled training rows."""
+    return fit_naive_bayes(unit_range.features.tfidf, unit_range.text, unit_range.numbers(train))
