@@ -12,6 +12,7 @@ import time
 
 from checks.queries import REGISTRY
 from reviewmill.session import local_session
+from reviewmill.sources.workspace import sweep
 
 HEADLINE = (
     "flagship_clean_class_balance",
@@ -63,6 +64,7 @@ def main() -> None:
             }
         )
     )
+    sweep(spark)
     spark.stop()
 
 

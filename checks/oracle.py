@@ -590,6 +590,10 @@ def oracle() -> dict[str, str]:
 
     # models
     sql["m1_majority"] = SPLIT_SQL + f"SELECT row_id, sentiment, {MAJORITY_SQL} AS prediction FROM splits WHERE {held}"
+    sql["m5_feature_splits"] = with_(*feature_ctes("validation','test")) + (
+        f"SELECT r.row_id, {len(NUMERIC_LIST)} + coalesce(n,0) AS entries, r.split FROM rows_ r "
+        "LEFT JOIN (SELECT row_id, count(*) AS n FROM weights GROUP BY row_id) w USING (row_id)"
+    )
     chances = ", ".join(f"{even(f'p_{c}', 6)} AS p_{c}" for c in LABELS)
     sql["m4_naive_bayes"] = with_(*bayes_ctes()) + f"SELECT row_id, sentiment, prediction, {chances} FROM bayes"
     sql["m4_naive_bayes_test_split"] = with_(*bayes_ctes("test")) + "SELECT row_id, sentiment, prediction FROM bayes"

@@ -716,6 +716,17 @@ def _(spark, folder):
     return predictions.select(ROW_ID, SENTIMENT, "prediction")
 
 
+@query("m5_feature_splits")
+def _(spark, folder):
+    model, rows = features.feature_splits(*gold(spark, folder))
+    out = None
+    for name, part in rows.items():
+        entries = model.matrix(part).groupBy(ROW_ID).agg(F.count(F.lit(1)).alias("entries"))
+        entries = entries.withColumn("split", F.lit(name))
+        out = entries if out is None else out.unionByName(entries)
+    return out
+
+
 @query("m6_train_and_evaluate")
 def _(spark, folder):
     silver, splits = gold(spark, folder)

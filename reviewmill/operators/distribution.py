@@ -21,6 +21,8 @@ from reviewmill.sources.workspace import materialise
 
 # Up to this many distinct values, one window per group is cheaper than value ranges.
 PLAIN_WINDOW_LIMIT = 2_000_000
+# Distinct values one task should accumulate, and the most ranges a group is cut into.
+VALUES_PER_RANGE, MOST_RANGES = 1_000_000, 4096
 
 
 def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -39,7 +41,7 @@ def running_totals(
     totals: Sequence[str],
     *,
     open_domain: bool = False,
-    ranges: int = 256,
+    ranges: int | None = None,
     plain_limit: int = PLAIN_WINDOW_LIMIT,
 ) -> DataFrame:
     """Add ``before_x`` (sum of x over smaller values) and ``total_x`` (sum over the group).
@@ -49,19 +51,20 @@ def running_totals(
     """
     if open_domain:
         table = materialise(table, "histogram")
-        open_domain = table.count() > plain_limit
+        size = table.count()
+        open_domain = size > plain_limit
     group = Window.partitionBy(*by)
     if not open_domain:
         smaller = group.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
         return table.select("*", *_sums(totals, "before", smaller), *_sums(totals, "total", group))
 
     # The cut points are written down, so every later read sees the same ranges.
+    ranges = ranges or min(MOST_RANGES, max(16, size // VALUES_PER_RANGE))
     steps = [i / ranges for i in range(1, ranges)]
     cuts = materialise(
         table.groupBy(*by).agg(F.percentile_approx(value, steps, 20 * ranges).alias("cuts")), "cuts"
     )
-    below = F.size(F.filter("cuts", lambda cut: cut < F.col(value)))
-    placed = table.join(cuts, list(by)).withColumn("range", below).drop("cuts")
+    placed = table.join(cuts, list(by)).withColumn("range", _cuts_below(F.col(value), ranges)).drop("cuts")
 
     per_range = placed.groupBy(*by, "range").agg(*[F.sum(t).alias(t) for t in totals])
     lower = group.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
@@ -78,6 +81,15 @@ def running_totals(
     )
 
 
+def _cuts_below(value: Column, ranges: int) -> Column:
+    """How many of the sorted ``cuts`` lie below a value: whole blocks first, then inside one block."""
+    block = max(2, round(ranges**0.5))
+    ends = [i for i in range(block, ranges, block)]  # one-based positions of the block ends
+    ahead = sum(((F.element_at("cuts", end) < value).cast("int") for end in ends), F.lit(0)) * F.lit(block)
+    inside = F.slice("cuts", ahead + 1, F.lit(block))
+    return ahead + F.size(F.filter(inside, lambda cut: cut < value))
+
+
 def _sums(totals: Sequence[str], prefix: str, window: Window) -> list[Column]:
     return [F.coalesce(F.sum(t).over(window), F.lit(0)).alias(f"{prefix}_{t}") for t in totals]
 

@@ -29,7 +29,8 @@ from reviewmill.operators.scaling import (
     long_numeric,
 )
 from reviewmill.operators.tfidf import TOKENS, TfidfModel, apply_max_abs, fit_tfidf, tokenised, with_tokens
-from reviewmill.schema import NUMERIC_FEATURES, ROW_ID, SENTIMENT
+from reviewmill.schema import NUMERIC_FEATURES, ROW_ID, SENTIMENT, SPLITS
+from reviewmill.sources.layers import split_rows
 from reviewmill.sources.workspace import materialise
 
 MAX_VECTOR_TERMS = 2_000_000
@@ -132,6 +133,16 @@ def fit_features(train: DataFrame, *, min_df: int = 1) -> FeatureModel:
     )
 
 
+def feature_splits(silver: DataFrame, splits: DataFrame) -> tuple[FeatureModel, dict[str, DataFrame]]:
+    """Features fitted on the training split, and the prepared rows of every split.
+
+    ``model.matrix(rows)`` or ``model.vectoriser(train).transform(rows)`` is evaluated only for the
+    splits that are used.
+    """
+    rows = {name: materialise(prepared_rows(split_rows(silver, splits, name)), name) for name in SPLITS}
+    return fit_features(rows["train"]), rows
+
+
 @dataclass(frozen=True)
 class UnitRangeModel:
     """The naive-Bayes inputs: each column rescaled by its training range.

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.functions.labels import scheme_labels
 from reviewmill.operators.cleaning import clean_reviews
+from reviewmill.operators.contract import check_contract
 from reviewmill.operators.splitting import assign_splits
 from reviewmill.schema import ROW_ID, SEED, SENTIMENT, SPLIT, SPLITS
 
@@ -33,11 +34,16 @@ def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
 
 
 def bronze_table(raw: DataFrame, path: str) -> DataFrame:
-    """Turn the CSV scan into Parquet once: multi-line CSV cannot be split, Parquet can."""
+    """Turn the CSV scan into Parquet once: multi-line CSV cannot be split, Parquet can.
+
+    The rating contract is checked on the Parquet column, so the CSV is read a single time: scan it
+    with ``validate=False``.
+    """
     found = read_if_present(raw.sparkSession, path)
     if found is None:
         raw.write.mode("errorifexists").parquet(path)
         found = raw.sparkSession.read.schema(raw.schema).parquet(path)
+    check_contract(found)
     return found
 
 

@@ -59,10 +59,21 @@ def materialise_by(df: DataFrame, name: str, key: str, values: list, spread_by:
     }
 
 
+# A scan of at most this many splits (about one gigabyte by default) counts as small.
+SMALL_SPLITS = 8
+
+
 def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
-    """Redistribute a scan with fewer splits than cores, as for one small file.
+    """Redistribute a small scan that has fewer splits than cores, as for one small file.
 
-    A large table has more splits than cores and passes through unchanged, without a shuffle.
+    A larger table passes through unchanged, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(min(cores, 64), key) if df.rdd.getNumPartitions() < min(cores, SMALL_SPLITS) else df
+
+
+def sweep(spark: SparkSession) -> None:
+    """Delete the intermediate tables this application wrote; call it when its results are stored."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/reviewmill/{context.applicationId}")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

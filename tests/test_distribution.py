@@ -17,14 +17,14 @@ def hot_values(n):
     return values
 
 
-@pytest.mark.parametrize("plain_limit", [10**9, 0])
-def test_running_totals_in_both_forms(spark, plain_limit):
+@pytest.mark.parametrize("plain_limit,ranges", [(10**9, None), (0, None), (0, 2), (0, 7), (0, 50)])
+def test_running_totals_in_both_forms(spark, plain_limit, ranges):
     values = hot_values(3000)
     frame = pd.DataFrame({"g": np.where(np.arange(3000) % 2, "a", "b"), "v": values})
     hist = frame.groupby(["g", "v"]).size().rename("n").reset_index()
     table = spark.createDataFrame(hist).repartition(7)
     got = distribution.running_totals(
-        table, ["g"], "v", ["n"], open_domain=True, ranges=16, plain_limit=plain_limit
+        table, ["g"], "v", ["n"], open_domain=True, ranges=ranges, plain_limit=plain_limit
     ).toPandas()
     hist["before_n"] = hist.groupby("g")["n"].cumsum() - hist["n"]
     hist["total_n"] = hist.groupby("g")["n"].transform("sum")

@@ -73,3 +73,6 @@ def test_workspace_uses_the_configured_folder(spark):
     assert workspace.fresh_path(spark, "x").startswith(folder)
     table = workspace.materialise(spark.range(5), "five")
     assert table.count() == 5 and table.inputFiles()[0].startswith("file://" + folder)
+    workspace.sweep(spark)
+    with pytest.raises(Exception):
+        table.count()
