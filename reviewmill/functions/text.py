@@ -137,12 +137,18 @@ def without_stop_words(tokens: Column, stop_words: Sequence[str] | None) -> Colu
 
 
 def ngrams(tokens: Column, size: int) -> Column:
-    """Space-joined runs of ``size`` neighbouring tokens; empty where there are too few."""
+    """Space-joined runs of ``size`` neighbouring tokens; empty where there are too few.
+
+    The token list is zipped with itself, shifted by one for each further token.
+    """
     if size == 1:
         return tokens
-    starts = F.sequence(F.lit(1), F.size(tokens) - F.lit(size - 1))
-    runs = F.transform(starts, lambda start: F.array_join(F.slice(tokens, start, size), " "))
-    return F.when(F.size(tokens) >= size, runs).otherwise(F.array().cast("array<string>"))
+    runs = F.greatest(F.size(tokens) - F.lit(size - 1), F.lit(0))
+    joined = F.slice(tokens, F.lit(1), runs)
+    for shift in range(1, size):
+        shifted = F.slice(tokens, F.lit(shift + 1), runs)
+        joined = F.zip_with(joined, shifted, lambda left, right: F.concat(left, F.lit(" "), right))
+    return joined
 
 
 def strip_prefix(text: Column, prefix: str) -> Column:

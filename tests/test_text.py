@@ -82,6 +82,8 @@ def test_ngrams_skip_stop_words_before_joining(spark):
     df = spark.createDataFrame([(["a", "b", "a", "c"],), (["c"],)], "t array<string>")
     kept = tx.without_stop_words(F.col("t"), ["b"])
     assert [r[0] for r in df.select(tx.ngrams(kept, 2)).collect()] == [["a a", "a c"], []]
+    assert [r[0] for r in df.select(tx.ngrams(F.col("t"), 3)).collect()] == [["a b a", "b a c"], []]
+    assert [r[0] for r in df.select(tx.ngrams(F.col("t"), 9)).collect()] == [[], []]
 
 
 @pytest.mark.parametrize(
