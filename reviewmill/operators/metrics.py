@@ -158,16 +158,22 @@ def macro_auc(areas: DataFrame, by: Sequence[str] = ()) -> DataFrame:
     return areas.groupBy(*by).agg(F.when(complete, F.avg("auc")).alias("auc_roc"))
 
 
-def leaderboard(
-    predictions: DataFrame, by: str = "model", *, label: str = SENTIMENT, labels: Sequence[str] = LABELS
+def rank_models(
+    counts: DataFrame, areas: DataFrame, by: str = "model", *, labels: Sequence[str] = LABELS
 ) -> DataFrame:
-    """``(model, accuracy, auc_roc, macro_f1)`` from best to worst macro-F1.
+    """``(model, accuracy, auc_roc, macro_f1)`` from confusion counts and areas, best macro-F1 first.
 
     A model without probabilities has a NULL area.
     """
-    counts = confusion_counts(predictions, [by], label=label, labels=labels)
-    auc = macro_auc(auc_one_vs_rest(predictions, [by], label=label, labels=labels), [by])
     scored = counts.select(by, accuracy_of(labels).alias("accuracy"), macro_f1_of(labels).alias("macro_f1"))
-    return scored.join(auc, by, "left").select(by, "accuracy", "auc_roc", "macro_f1").orderBy(
-        F.desc("macro_f1"), by
-    )
+    ranked = scored.join(macro_auc(areas, [by]), by, "left").select(by, "accuracy", "auc_roc", "macro_f1")
+    return ranked.orderBy(F.desc("macro_f1"), by)
+
+
+def leaderboard(
+    predictions: DataFrame, by: str = "model", *, label: str = SENTIMENT, labels: Sequence[str] = LABELS
+) -> DataFrame:
+    """``rank_models`` of a predictions table."""
+    counts = confusion_counts(predictions, [by], label=label, labels=labels)
+    areas = auc_one_vs_rest(predictions, [by], label=label, labels=labels)
+    return rank_models(counts, areas, by, labels=labels)

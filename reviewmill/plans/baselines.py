@@ -159,13 +159,14 @@ def train_and_predict(
 
 
 def evaluate(predictions: DataFrame) -> dict[str, DataFrame]:
-    """All score tables of a predictions table, by name."""
-    counts = metrics.confusion_counts(predictions, ["model"])
+    """All score tables of a predictions table, by name; the predictions are read twice in all."""
+    counts = materialise(metrics.confusion_counts(predictions, ["model"]), "confusion")
+    areas = materialise(metrics.auc_one_vs_rest(predictions, ["model"]), "areas")
     return {
-        "leaderboard": metrics.leaderboard(predictions),
+        "leaderboard": metrics.rank_models(counts, areas),
         "confusion": metrics.confusion_matrix(counts, ["model"]),
         "classes": metrics.class_report(counts, ["model"]),
         "averages": metrics.average_report(counts, ["model"]),
         "recall": metrics.recall_table(counts, ["model"]),
-        "auc": metrics.auc_one_vs_rest(predictions, ["model"]),
+        "auc": areas,
     }
