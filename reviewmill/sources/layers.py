@@ -8,7 +8,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,6 +16,7 @@ from reviewmill.operators.cleaning import clean_reviews
 from reviewmill.operators.contract import check_contract
 from reviewmill.operators.splitting import assign_splits
 from reviewmill.schema import ROW_ID, SEED, SENTIMENT, SPLIT, SPLITS
+from reviewmill.sources.workspace import path_exists
 
 
 class SchemeError(ValueError):
@@ -25,12 +25,7 @@ class SchemeError(ValueError):
 
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at ``path``, or None if there is no such path."""
-    try:
-        return spark.read.parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            return None
-        raise
+    return spark.read.parquet(path) if path_exists(spark, path) else None
 
 
 def bronze_table(raw: DataFrame, path: str) -> DataFrame:

@@ -72,8 +72,19 @@ def spread_small_scan(df: DataFrame, key: str) -> DataFrame:
     return df.repartition(min(cores, 64), key) if df.rdd.getNumPartitions() < min(cores, SMALL_SPLITS) else df
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop path and file system of a location."""
+    context = spark.sparkContext
+    location = context._jvm.org.apache.hadoop.fs.Path(path)
+    return location, location.getFileSystem(context._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    location, system = _file_system(spark, path)
+    return system.exists(location)
+
+
 def sweep(spark: SparkSession) -> None:
     """Delete the intermediate tables this application wrote; call it when its results are stored."""
-    context = spark.sparkContext
-    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/reviewmill/{context.applicationId}")
-    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    location, system = _file_system(spark, f"{shared_folder(spark)}/reviewmill/{spark.sparkContext.applicationId}")
+    system.delete(location, True)
