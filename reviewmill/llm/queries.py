@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import suffix_dedup
+from reviewmill.llm import mixing, quality_rules, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -29,3 +29,16 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def _(spark, folder):
     found = suffix_dedup.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op5_quality_rules")
+def _(spark, folder):
+    judged = quality_rules.quality_rules(table(spark, folder, "documents"), table(spark, folder, "labels"))
+    base = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    return judged.select("doc_id", *base, "base_failed", "kept", "log_ratio")
+
+
+@query("op10_source_mixing")
+def _(spark, folder):
+    taken = mixing.Mix(table(spark, folder, "documents")).taken()
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source")

@@ -80,3 +80,15 @@ def near_duplicates(rows, threshold=0.8):
     for k in range(len(rows)):
         groups[find(k)].append(rows[k][0])
     return sorted((rows[k][0], min(groups[find(k)]), links[k]) for k in range(len(rows)))
+
+
+def base_counts(text):
+    ws, text = words(text), text or ""
+    windows = [tuple(ws[p : p + 8]) for p in range(len(ws) - 7)]
+    seen = Counter(windows)
+    hit = [False] * len(ws)
+    for p, w in enumerate(windows):
+        if seen[w] > 1:
+            hit[p : p + 8] = [True] * 8
+    lines = [line for line in text.split("\n") if words(line)]
+    return len(ws), sum(map(len, ws)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), sum(hit)
