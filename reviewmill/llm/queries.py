@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import mixing, quality_rules, suffix_dedup
+from reviewmill.llm import fingerprints, mixing, quality_rules, suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -42,3 +42,8 @@ def _(spark, folder):
 def _(spark, folder):
     taken = mixing.Mix(table(spark, folder, "documents")).taken()
     return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
+
+
+@query("op7_document_fingerprints")
+def _(spark, folder):
+    return fingerprints.neighbour_fingerprints(table(spark, folder, "documents"))
