@@ -102,10 +102,10 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(values[: len(values) - rest], values[rest:]) if rest else values
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, breaks: np.ndarray = BREAKS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end (in ``data``, which begins at ``offsets[0]``) of every word, and the first
-    word of each row as offsets. A word is a run of bytes other than space and tab to carriage return."""
-    inside = ~BREAKS[data]
+    word of each row as offsets. A word is a run of bytes that are not ``breaks``."""
+    inside = ~breaks[data]
     before = np.empty(len(data) + 1, bool)
     before[0], before[1:] = False, inside
     after = np.empty(len(data) + 1, bool)

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import fingerprints, mixing, quality_rules, suffix_dedup
+from reviewmill.llm import fingerprints, language, mixing, quality_rules, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -47,3 +47,15 @@ def _(spark, folder):
 @query("op7_document_fingerprints")
 def _(spark, folder):
     return fingerprints.neighbour_fingerprints(table(spark, folder, "documents"))
+
+
+@query("op8_language_id")
+def _(spark, folder):
+    docs = table(spark, folder, "documents")
+    return language.identify(docs, language.fit(docs))
+
+
+@query("op9_toxicity")
+def _(spark, folder):
+    docs = table(spark, folder, "documents")
+    return toxicity.severity(docs, toxicity.fit(docs, table(spark, folder, "labels")))
