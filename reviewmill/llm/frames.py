@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: characters that end a word, as a Java and RE2 character class without brackets
 BREAK_CLASS = r"\x20\x09-\x0D"
+BATCH_ROWS = 1024
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
@@ -36,11 +37,12 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
 def by_batch(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
-    """``mapInArrow`` for a function of one batch."""
+    """``mapInArrow`` for a function of one batch, which gets ``BATCH_ROWS`` rows at most."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield from function(batch)
+            for start in range(0, batch.num_rows, BATCH_ROWS):
+                yield from function(batch.slice(start, BATCH_ROWS))
 
     return df.mapInArrow(run, schema)
 

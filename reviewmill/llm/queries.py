@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import fingerprints, language, mixing, quality_rules, suffix_dedup, toxicity
+from reviewmill.llm import fingerprints, graph_dedup, language, mixing, quality_rules, suffix_dedup, toxicity
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -59,3 +59,9 @@ def _(spark, folder):
 def _(spark, folder):
     docs = table(spark, folder, "documents")
     return toxicity.severity(docs, toxicity.fit(docs, table(spark, folder, "labels")))
+
+
+@query("op4_substring_dedup")
+def _(spark, folder):
+    found = graph_dedup.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")

@@ -11,8 +11,10 @@ that can be equal are first brought together:
 3. Only strings that share their anchor with another string, or hold it twice, are read again and
    expanded. A string that is alone with its anchor is repeated just if its count is above one.
 4. An anchor with many strings, such as a passage quoted by a large part of the corpus in as many
-   surroundings, is first cut down to its windows whose hash occurs twice, counted by an aggregate
-   with partial sums; the surroundings drop out and the rest is, again, a few equal strings.
+   surroundings, is split: its strings are cut into segments again by anchors of another hash, and
+   steps 2 and 3 are repeated. Strings that are still crowded after ``LEVELS`` of this are cut down
+   to their windows whose hash occurs twice, counted by an aggregate with partial sums, so that the
+   surroundings drop out and the rest is, again, a few equal strings.
 5. The repeated spans go back to every segment that has the string, by a join.
 """
 
@@ -32,8 +34,9 @@ from reviewmill.sources.workspace import materialise
 
 MINIMUM = 400
 GRAM = 24
-#: strings of an anchor beyond which its windows are counted first
+#: strings of an anchor beyond which they are split further
 MANY_STRINGS = 64
+LEVELS = 3
 #: bytes that one expansion works on (or one anchor's strings, if they are more)
 EXPANSION_BYTES = 1 << 18
 
@@ -48,20 +51,28 @@ def _byte_hash(data: np.ndarray) -> kernels.PrefixHash:
     return kernels.PrefixHash(data.astype(np.uint64) + np.uint64(1))
 
 
+def _segment_bounds(
+    part: np.ndarray, ends: np.ndarray, minimum: int, gram: int, salt: int = 0
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first window, end of windows, anchor and content hash of the segments of texts laid end to end."""
+    prefix = _byte_hash(part)
+    grams = prefix.spans_of(gram)
+    anchor = kernels.sliding_min(kernels.mix(grams ^ np.uint64(salt)) if salt else grams, minimum - gram + 1)
+    row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[: len(anchor)]
+    whole = np.arange(len(anchor)) + minimum <= ends[1:][row]
+    start = kernels.change_points(anchor, row, whole)
+    stop = np.append(start[1:], len(anchor)).astype(np.int64) if len(start) else start
+    start, stop = start[whole[start]], stop[whole[start]]
+    return row[start], start, stop, anchor[start], prefix.span(start, stop + minimum - 1)
+
+
 def _segments(batch: pa.RecordBatch, minimum: int, gram: int) -> Iterator[pa.RecordBatch]:
     data, offsets = kernels.text_bytes(batch["text"])
     for low, high in kernels.chunks(offsets):
         part, ends = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
-        prefix = _byte_hash(part)
-        anchor = kernels.sliding_min(prefix.spans_of(gram), minimum - gram + 1)
-        row = np.repeat(np.arange(high - low), np.diff(ends))[: len(anchor)]
-        whole = np.arange(len(anchor)) + minimum <= ends[1:][row]
-        start = kernels.change_points(anchor, row, whole)
-        stop = np.append(start[1:], len(anchor)).astype(np.int64) if len(start) else start
-        start, stop = start[whole[start]], stop[whole[start]]
+        at, start, stop, anchor, content = _segment_bounds(part, ends, minimum, gram)
         if not len(start):
             continue
-        at = row[start]
         rows = batch.slice(low, high - low).take(pa.array(at))
         yield pa.RecordBatch.from_arrays(
             [
@@ -69,8 +80,8 @@ def _segments(batch: pa.RecordBatch, minimum: int, gram: int) -> Iterator[pa.Rec
                 rows["row_hash"],
                 pa.array((start - ends[at]).astype(np.int32)),
                 pa.array((stop - start).astype(np.int32)),
-                pa.array(anchor[start].view(np.int64)),
-                pa.array(prefix.span(start, stop + minimum - 1).view(np.int64)),
+                pa.array(anchor.view(np.int64)),
+                pa.array(content.view(np.int64)),
             ],
             names=["doc_id", "row_hash", "start", "n", "anchor", "content"],
         )
@@ -118,6 +129,29 @@ def _windows(batch: pa.RecordBatch, minimum: int) -> Iterator[pa.RecordBatch]:
         )
 
 
+PART = "anchor long, content long, n int, offset int, part_anchor long, part long, part_n int, copies long, bytes binary"
+_PART = pa.schema(
+    [("anchor", pa.int64()), ("content", pa.int64()), ("n", pa.int32()), ("offset", pa.int32()), ("part_anchor", pa.int64()),
+     ("part", pa.int64()), ("part_n", pa.int32()), ("copies", pa.int64()), ("bytes", pa.binary())]
+)
+
+
+def _split(batch: pa.RecordBatch, minimum: int, gram: int, salt: int) -> Iterator[pa.RecordBatch]:
+    """The strings' segments by another anchor, as strings of their own. Equal windows of one anchor
+    also agree in the next one, so both together name the new group."""
+    found = []
+    for anchor, content, n, copies, data in zip(*[batch[c].to_pylist() for c in (*STRING, "copies", "bytes")], strict=True):
+        part = np.frombuffer(data, np.uint8)
+        _, start, stop, anchors, contents = _segment_bounds(part, np.array([0, len(part)]), minimum, gram, salt)
+        groups = kernels.mix(anchors + np.uint64(anchor & (2**64 - 1)) * np.uint64(3)).view(np.int64)
+        for a, b, group, own in zip(start.tolist(), stop.tolist(), groups.tolist(), contents.view(np.int64).tolist(), strict=True):
+            found.append(
+                {"anchor": anchor, "content": content, "n": n, "offset": a, "part_anchor": group, "part": own,
+                 "part_n": b - a, "copies": copies, "bytes": data[a : b + minimum - 1]}
+            )
+    yield pa.RecordBatch.from_pylist(found, schema=_PART)
+
+
 def _trim(batch: pa.RecordBatch, minimum: int) -> Iterator[pa.RecordBatch]:
     """The stretches of a string that consist of windows worth a comparison, as strings of their own."""
     found = []
@@ -127,13 +161,14 @@ def _trim(batch: pa.RecordBatch, minimum: int) -> Iterator[pa.RecordBatch]:
         flags = np.zeros(n, bool)
         flags[places] = True
         prefix = _byte_hash(np.frombuffer(data, np.uint8))
-        for a, b in zip(*kernels.runs(flags), strict=True):
-            part = prefix.span(np.array([a]), np.array([b + minimum - 1])).view(np.int64)[0]
+        start, stop = kernels.runs(flags)
+        contents = prefix.span(start, stop + minimum - 1).view(np.int64)
+        for a, b, own in zip(start.tolist(), stop.tolist(), contents.tolist(), strict=True):
             found.append(
-                {"anchor": anchor, "content": content, "n": n, "copies": copies, "offset": int(a), "part": int(part), "part_n": int(b - a), "bytes": data[a : b + minimum - 1]}
-            )
-    kind = [("anchor", pa.int64()), ("content", pa.int64()), ("n", pa.int32()), ("copies", pa.int64()), ("offset", pa.int32()), ("part", pa.int64()), ("part_n", pa.int32()), ("bytes", pa.binary())]
-    yield pa.RecordBatch.from_pylist(found, schema=pa.schema(kind))
+                {"anchor": anchor, "content": content, "n": n, "offset": a, "part_anchor": anchor, "part": own,
+                 "part_n": b - a, "copies": copies, "bytes": data[a : b + minimum - 1]}
+            )
+    yield pa.RecordBatch.from_pylist(found, schema=_PART)
 
 
 def _expand(batches: Iterator[pa.RecordBatch], minimum: int) -> Iterator[pa.RecordBatch]:
@@ -174,21 +209,38 @@ def expand(strings: DataFrame, minimum: int) -> DataFrame:
     return placed.mapInArrow(lambda batches: _expand(batches, minimum), f"anchor long, content long, n int, spans {SPANS}")
 
 
-def repeated_strings(texts: DataFrame, found: DataFrame, minimum: int, gram: int) -> DataFrame:
-    """Strings with their repeated windows: ``anchor, content, n, spans``."""
-    place = F.struct("doc_id", "row_hash", "start")
-    strings = found.groupBy(*STRING).agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"))
-    strings = materialise(strings, "strings")
+def _judged(strings: DataFrame, minimum: int, gram: int) -> tuple[DataFrame, DataFrame]:
+    """Strings that are decided, with spans, and those to compare, with the number of their anchor's strings."""
     anchors = strings.groupBy("anchor").agg(F.count(F.lit(1)).alias("strings"))
-    # A segment longer than the anchor's reach holds the anchor twice and may repeat itself.
-    inside = F.col("n") > minimum - gram + 1
     judged = strings.join(anchors, "anchor")
-    alone = (F.col("strings") == 1) & ~inside
+    # A segment longer than the anchor's reach holds the anchor twice and may repeat itself.
+    alone = (F.col("strings") == 1) & (F.col("n") <= minimum - gram + 1)
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"))).cast(SPANS)
     decided = judged.where(alone & (F.col("copies") > 1)).select(*STRING, whole.alias("spans"))
+    return decided, judged.where(~alone)
+
 
-    wanted = judged.where(~alone).select(*STRING, "copies", "strings", "first.*")
-    by_row = wanted.groupBy("doc_id", "row_hash").agg(
+def _own_strings(links: DataFrame) -> DataFrame:
+    """Parts as strings, equal ones once."""
+    return links.groupBy(
+        F.col("part_anchor").alias("anchor"), F.col("part").alias("content"), F.col("part_n").alias("n")
+    ).agg(F.sum("copies").alias("copies"), F.first("bytes").alias("bytes"))
+
+
+def _back(links: DataFrame, spans: DataFrame) -> DataFrame:
+    """Spans of parts as spans of the strings they were cut from."""
+    named = spans.select(F.col("anchor").alias("part_anchor"), F.col("content").alias("part"), F.col("n").alias("part_n"), "spans")
+    found = links.drop("bytes", "copies").join(named, ["part_anchor", "part", "part_n"])
+    moved = F.transform("spans", lambda s: F.struct((s.a + F.col("offset")).alias("a"), (s.b + F.col("offset")).alias("b")))
+    return found.groupBy(*STRING).agg(F.flatten(F.collect_list(moved)).alias("spans"))
+
+
+def repeated_strings(texts: DataFrame, found: DataFrame, minimum: int, gram: int) -> DataFrame:
+    """Strings with their repeated windows: ``anchor, content, n, spans``."""
+    place = F.struct("doc_id", "row_hash", "start")
+    strings = found.groupBy(*STRING).agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"))
+    decided, wanted = _judged(materialise(strings, "strings"), minimum, gram)
+    by_row = wanted.select(*STRING, "copies", "strings", "first.*").groupBy("doc_id", "row_hash").agg(
         F.collect_list(F.struct(*STRING, "copies", "strings", "start")).alias("wanted")
     )
     cut = by_batch(
@@ -196,34 +248,40 @@ def repeated_strings(texts: DataFrame, found: DataFrame, minimum: int, gram: int
         lambda batch: _cut(batch, minimum),
         "anchor long, content long, n int, copies long, strings long, bytes binary",
     )
-    cut = materialise(cut.dropDuplicates(STRING), "strings-bytes")
-    few = cut.where(F.col("strings") <= MANY_STRINGS).select(*STRING, "copies", "bytes")
-    many = cut.where(F.col("strings") > MANY_STRINGS).select(*STRING, "copies", "bytes")
-
-    # Windows of crowded anchors: only those whose hash occurs twice are compared.
+    pool = materialise(cut.dropDuplicates(STRING), "strings-bytes")
+
+    # Levels of splitting: what is decided at each, what is compared, and how parts lead back.
+    settled, compared, links = [decided], [], []
+    for level in range(1, LEVELS + 1):
+        compared.append(pool.where(F.col("strings") <= MANY_STRINGS).select(*STRING, "copies", "bytes"))
+        crowded = pool.where(F.col("strings") > MANY_STRINGS).select(*STRING, "copies", "bytes")
+        cuts = by_batch(crowded, lambda batch, salt=level: _split(batch, minimum, gram, salt), PART)
+        links.append(materialise(cuts, f"strings-parts-{level}"))
+        decided, pool = _judged(_own_strings(links[-1]), minimum, gram)
+        pool = materialise(pool, f"strings-level-{level}")
+        settled.append(decided)
+    compared.append(pool.where(F.col("strings") <= MANY_STRINGS).select(*STRING, "copies", "bytes"))
+
+    # Windows of anchors that are crowded still: only those whose hash occurs twice are compared.
+    crowded = pool.where(F.col("strings") > MANY_STRINGS).select(*STRING, "copies", "bytes")
     held = by_batch(
-        many, lambda batch: _windows(batch, minimum), "anchor long, content long, n int, copies long, place int, window long"
+        crowded, lambda batch: _windows(batch, minimum), "anchor long, content long, n int, copies long, place int, window long"
     )
     often = held.groupBy("anchor", "window").agg(F.sum("copies").alias("times")).where("times > 1")
     places = held.join(often, ["anchor", "window"], "left_semi").groupBy(*STRING).agg(F.collect_list("place").alias("places"))
-    trimmed = by_batch(
-        many.join(places, STRING),
-        lambda batch: _trim(batch, minimum),
-        "anchor long, content long, n int, copies long, offset int, part long, part_n int, bytes binary",
-    )
-    trimmed = materialise(trimmed, "strings-trimmed")
-    parts = trimmed.groupBy("anchor", F.col("part").alias("content"), F.col("part_n").alias("n")).agg(
-        F.sum("copies").alias("copies"), F.first("bytes").alias("bytes")
-    )
-    expanded = materialise(expand(few.unionByName(parts), minimum), "strings-expanded")
-
-    own = expanded.join(few.select(*STRING), STRING, "left_semi")
-    back = trimmed.select(*STRING, "offset", "part", "part_n").join(
-        expanded.select("anchor", F.col("content").alias("part"), F.col("n").alias("part_n"), "spans"), ["anchor", "part", "part_n"]
-    )
-    moved = F.transform("spans", lambda s: F.struct((s.a + F.col("offset")).alias("a"), (s.b + F.col("offset")).alias("b")))
-    shifted = back.groupBy(*STRING).agg(F.flatten(F.collect_list(moved)).alias("spans"))
-    return decided.unionByName(own).unionByName(shifted).where(F.size("spans") > 0)
+    trimmed = materialise(by_batch(crowded.join(places, STRING), lambda batch: _trim(batch, minimum), PART), "strings-trimmed")
+
+    everything = _own_strings(trimmed)
+    for strings in compared:
+        everything = everything.unionByName(strings)
+    expanded = materialise(expand(everything, minimum), "strings-expanded")
+    spans = _back(trimmed, expanded)
+    for level in range(LEVELS, -1, -1):
+        own = expanded.join(compared[level].select(*STRING), STRING, "left_semi")
+        spans = settled[level].unionByName(own).unionByName(spans).where(F.size("spans") > 0)
+        if level:
+            spans = _back(links[level - 1], materialise(spans, f"strings-spans-{level}"))
+    return spans
 
 
 def repeated_spans(docs: DataFrame, minimum: int = MINIMUM, gram: int = GRAM) -> DataFrame:
