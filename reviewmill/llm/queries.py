@@ -6,7 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from reviewmill.llm import fingerprints, graph_dedup, language, mixing, quality_rules, suffix_dedup, toxicity
+from reviewmill.llm import (
+    fingerprints,
+    graph_dedup,
+    language,
+    mixing,
+    pieces,
+    quality_rules,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -65,3 +75,13 @@ def _(spark, folder):
 def _(spark, folder):
     found = graph_dedup.remove_repeats(table(spark, folder, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query("op2_token_counts")
+def _(spark, folder):
+    return token_counts.document_token_counts(table(spark, folder, "documents"))
+
+
+@query("op3_sentencepiece")
+def _(spark, folder):
+    return pieces.encode_documents(table(spark, folder, "documents")).select("doc_id", "n_ids", "ids_sha256", "round_trip")
