@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from reviewmill.llm import (
     fingerprints,
     graph_dedup,
+    jaccard_join,
     language,
     mixing,
     pieces,
@@ -85,3 +86,9 @@ def _(spark, folder):
 @query("op3_sentencepiece")
 def _(spark, folder):
     return pieces.encode_documents(table(spark, folder, "documents")).select("doc_id", "n_ids", "ids_sha256", "round_trip")
+
+
+@query("op6_ngram_jaccard_join")
+def _(spark, folder):
+    found = jaccard_join.near_duplicates(table(spark, folder, "documents"))
+    return found.select("doc_id", "class_id", "n_links", "text_class", "copies")
