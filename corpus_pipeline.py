@@ -1,7 +1,67 @@
-"""The corpus pipeline and the queries of the ``llm`` subpackage."""
+"""The corpus pipeline, and the queries of the ``llm`` subpackage.
+
+Every stage takes the documents that the stage before kept, and is written as Parquet and read again.
+"""
 
 from __future__ import annotations
 
-from reviewmill.llm.queries import QUERIES, SQL
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from reviewmill.llm import jaccard_join, mixing, pieces, suffix_dedup, toxicity
+from reviewmill.llm import queries as registered
+from reviewmill.sources.workspace import materialise
+
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the severity model, fitted on the labels, does not reject."""
+    model = toxicity.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.without_toxic(docs.select(*COLUMNS), model)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document with the least id of every group of near-duplicates."""
+    return jaccard_join.one_of_each_group(docs.select(*COLUMNS))
+
+
+def drop_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that repeat; ``n_chars`` follows the text."""
+    short = suffix_dedup.shortened_documents(docs.select(*COLUMNS))
+    return short.withColumn("n_chars", F.length("text").cast("long"))
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """What the mix takes: a row for each document and pass, with the words taken in that pass."""
+    taken = mixing.Mix(docs.select(*COLUMNS)).texts()
+    return taken.select("doc_id", "text", "lang", "source", F.length("text").cast("long").alias("n_chars"))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of every row's text."""
+    return pieces.encode_documents(docs.select(*COLUMNS))
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("ngram_jaccard_join", drop_near_duplicates),
+    ("suffix_array_dedup", drop_repeats),
+    ("source_mixing", mix_sources),
+    ("sentencepiece", encode),
+]
+
+#: the severity model, the hashed permutations and the encoder have no SQL form
+ORACLE_SQL = None
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES:
+        docs = materialise(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    return docs
+
 
-__all__ = ["QUERIES", "SQL"]
+QUERIES = {**registered.QUERIES, "pipeline": run}
+SQL = registered.SQL

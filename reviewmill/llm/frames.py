@@ -8,6 +8,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: characters that end a word, as a Java and RE2 character class without brackets
 BREAK_CLASS = r"\x20\x09-\x0D"
@@ -35,7 +36,7 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
 
 
 def by_batch(
-    df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
+    df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` for a function of one batch, which gets ``BATCH_ROWS`` rows at most."""
 
@@ -70,3 +71,8 @@ def join_texts(texts: DataFrame, extra: DataFrame, how: str) -> DataFrame:
     packed = packed_texts(texts)
     kept = [extra[c] for c in extra.columns if c not in ("doc_id", "row_hash")]
     return packed.join(extra, same_row(packed, extra), how).select(packed["doc_id"], packed["row_hash"], "packed", *kept)
+
+
+def with_row_hash(docs: DataFrame, name: str) -> DataFrame:
+    """All columns and the hash of ``keyed_texts`` under another name."""
+    return docs.select("*", F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string")).alias(name))

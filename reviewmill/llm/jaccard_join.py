@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from reviewmill.llm import kernels
 from reviewmill.llm.components import connected_components
-from reviewmill.llm.frames import by_batch, join_texts, keyed_texts, unpack
+from reviewmill.llm.frames import by_batch, join_texts, keyed_texts, unpack, with_row_hash
 from reviewmill.sources.workspace import materialise
 
 NGRAM = 5
@@ -191,7 +191,7 @@ def candidate_components(classes: DataFrame) -> DataFrame:
 def near_duplicates(
     docs: DataFrame, *, size: int = NGRAM, similarity: tuple[int, int] = SIMILARITY, rows: int = ROWS, recall: float = RECALL, block: int = BLOCK
 ) -> DataFrame:
-    """``doc_id, row_hash, class_id, n_links, text_class, copies``, one row for each row.
+    """``doc_id, row_hash, class_id, n_links, text_class, copies, near_group``, one row for each row.
 
     ``class_id`` is the least id of the near-duplicate group, ``n_links`` the number of other rows
     whose similarity reaches the threshold, copies among them. Words are runs of characters other
@@ -232,9 +232,23 @@ def near_duplicates(
     grouped = grouped.withColumn("root", F.coalesce("root", "class"))
     ids = grouped.groupBy("root").agg(F.min("first_id").alias("class_id"))
     labelled = grouped.join(ids, "root").join(links, "class", "left")
-    labelled = labelled.select("class", "class_id", "copies", F.coalesce("links", F.lit(0)).alias("links"))
+    labelled = labelled.select("class", "class_id", "copies", "root", F.coalesce("links", F.lit(0)).alias("links"))
     rows_ = signatures.select("doc_id", "row_hash", "grams", class_key().alias("class"))
     own = F.when(F.col("grams") > 0, F.col("copies") - 1).otherwise(F.lit(0))
     return rows_.join(labelled, "class").select(
-        "doc_id", "row_hash", "class_id", (F.col("links") + own).alias("n_links"), F.col("class").alias("text_class"), "copies"
-    )
+        "doc_id", "row_hash", "class_id", (F.col("links") + own).alias("n_links"), F.col("class").alias("text_class"), "copies",
+        F.col("root").alias("near_group"),
+    )
+
+
+def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
+    """The row with the least id of every near-duplicate group, with all its columns.
+
+    Texts without n-grams are similar to nothing and stay, repeated rows of them once.
+    """
+    found = near_duplicates(docs, **options)
+    first = found.groupBy("near_group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("r")).select("r.*")
+    kept = first.select(F.col("doc_id").alias("kept_id"), F.col("row_hash").alias("kept_hash"))
+    rows = with_row_hash(docs, "own_hash")
+    same = (rows["own_hash"] == kept["kept_hash"]) & rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "own_hash"]).select(*docs.columns)

@@ -51,7 +51,7 @@ def sized_documents(docs: DataFrame) -> DataFrame:
     )
     return rows.select(
         "doc_id",
-        F.xxhash64("doc_id", "text").alias("row_hash"),
+        F.xxhash64("doc_id", "source", "text").alias("row_hash"),
         "source",
         F.coalesce(F.regexp_count("text", F.lit(f"[^{BREAK_CLASS}]+")), F.lit(0)).cast("long").alias("size"),
     )
@@ -185,7 +185,7 @@ class Mix:
         return self.slots.join(built, ["rank", "block"])
 
     def texts(self) -> DataFrame:
-        """What each pass takes of each document: ``doc_id, row_hash, offset, pass, text``.
+        """What each pass takes of each document: ``doc_id, text, lang, source, turn, pass``.
 
         Neighbouring parts stay as they are in the text, white space included.
         """
@@ -197,12 +197,14 @@ class Mix:
         turn = Window.partitionBy("doc_id", "row_hash")
         found = found.select("*", F.dense_rank().over(turn.orderBy("offset")).alias("turn"))
         by_row = found.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("turn", "pass", "parts")).alias("uses"))
-        rows = pick(self.docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-        rows = rows.select("*", F.xxhash64("doc_id", "text").alias("row_hash")).dropDuplicates(["doc_id", "row_hash"])
+        rows = pick(self.docs, "doc_id", "text", "lang", "source").select(
+            F.col("doc_id").cast("long"), *[F.col(c).cast("string") for c in ("text", "lang", "source")]
+        )
+        rows = rows.select("*", F.xxhash64("doc_id", "source", "text").alias("row_hash")).dropDuplicates(["doc_id", "row_hash"])
         keyed = by_row.withColumnsRenamed({"doc_id": "d", "row_hash": "h"})
-        joined = rows.join(keyed, (rows["row_hash"] == keyed["h"]) & rows["doc_id"].eqNullSafe(keyed["d"]))
+        joined = rows.join(keyed.hint("merge"), (rows["row_hash"] == keyed["h"]) & rows["doc_id"].eqNullSafe(keyed["d"]))
         # Every word with the white space after it; joining slices gives the text back.
         tokens = F.split(F.ltrim(F.col("text"), F.lit(" \t\n\x0b\f\r")), f"(?<=[{BREAK_CLASS}])(?=[^{BREAK_CLASS}])")
-        cut = joined.withColumn("tokens", tokens).select("doc_id", "row_hash", "tokens", F.explode("uses").alias("use"))
+        cut = joined.withColumn("tokens", tokens).select("doc_id", "lang", "source", "tokens", F.explode("uses").alias("use"))
         slices = F.transform("use.parts", lambda p: F.slice("tokens", (p.start + 1).cast("int"), p.words.cast("int")))
-        return cut.select("doc_id", "row_hash", "use.turn", "use.pass", F.array_join(F.flatten(slices), "").alias("text"))
+        return cut.select("doc_id", F.array_join(F.flatten(slices), "").alias("text"), "lang", "source", "use.turn", "use.pass")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm import bwt, kernels
-from reviewmill.llm.frames import by_batch, join_texts, keyed_texts, unpack
+from reviewmill.llm.frames import by_batch, join_texts, keyed_texts, unpack, with_row_hash
 from reviewmill.sources.workspace import materialise
 
 MINIMUM = 400
@@ -299,15 +299,20 @@ def repeated_spans(docs: DataFrame, minimum: int = MINIMUM, gram: int = GRAM) ->
     return spans.groupBy("doc_id", "row_hash").agg(F.collect_list("span").alias("spans"))
 
 
+def _cut_out(text: bytes, spans: list[dict] | None) -> tuple[bytes, int, int]:
+    """What is left of a text, and the number of removed bytes and of their runs."""
+    if not spans:
+        return text, 0, 0
+    data = np.frombuffer(text, np.uint8)
+    gone = kernels.covered(np.array([s["a"] for s in spans]), np.array([s["b"] for s in spans]), len(data))
+    return data[~gone].tobytes(), int(gone.sum()), len(kernels.runs(gone)[0])
+
+
 def _remove(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
     out = []
     for doc_id, packed, spans in zip(*[batch[c].to_pylist() for c in ("doc_id", "packed", "spans")], strict=True):
         text = unpack(packed)
-        kept, removed, n = text, 0, 0
-        if spans:
-            data = np.frombuffer(text, np.uint8)
-            gone = kernels.covered(np.array([s["a"] for s in spans]), np.array([s["b"] for s in spans]), len(data))
-            kept, removed, n = data[~gone].tobytes(), int(gone.sum()), len(kernels.runs(gone)[0])
+        kept, removed, n = _cut_out(text, spans)
         out.append({"doc_id": doc_id, "n_bytes": len(text), "n_removed": removed, "n_spans": n, "kept": kept, "kept_sha256": hashlib.sha256(kept).hexdigest()})
     kind = [("doc_id", pa.int64()), ("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary()), ("kept_sha256", pa.string())]
     yield pa.RecordBatch.from_pylist(out, schema=pa.schema(kind))
@@ -327,3 +332,27 @@ def remove_repeats(docs: DataFrame, minimum: int = MINIMUM, gram: int = GRAM) ->
         _remove,
         "doc_id long, n_bytes long, n_removed long, n_spans long, kept binary, kept_sha256 string",
     )
+
+
+def shortened_documents(docs: DataFrame, minimum: int = MINIMUM, gram: int = GRAM) -> DataFrame:
+    """All rows and columns, with the remaining text in place of the text.
+
+    A character of several bytes that a span cuts through is dropped whole; a null text stays null.
+    """
+    rows, spans = with_row_hash(docs, "own_hash"), repeated_spans(docs, minimum, gram)
+    spans = spans.select(F.col("doc_id").alias("span_id"), F.col("row_hash").alias("span_hash"), "spans")
+    same = (rows["own_hash"] == spans["span_hash"]) & rows["doc_id"].cast("long").eqNullSafe(spans["span_id"])
+    joined = rows.join(spans, same, "left").select(*[rows[c] for c in docs.columns], "spans")
+    names, schema = docs.columns, docs.schema
+    place = names.index("text")
+
+    def shorten(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        texts = batch.column(place).to_pylist()
+        for k, found in enumerate(batch.column(batch.num_columns - 1).to_pylist()):
+            if found:
+                texts[k] = _cut_out(texts[k].encode(), found)[0].decode(errors="ignore")
+        columns = [batch.column(i) for i in range(batch.num_columns - 1)]
+        columns[place] = pa.array(texts, pa.string())
+        yield pa.RecordBatch.from_arrays(columns, names=names)
+
+    return by_batch(joined, shorten, schema)

@@ -1,12 +1,14 @@
 """Severity of toxic language by cumulative-link ordinal regression.
 
-A text's features are the log counts of its lower-cased words, each by a 64-bit hash. One weight
+A text's features are the log counts of its lower-cased words and of the first ``PREFIXES`` bytes of
+longer words, which stand for inflected and compound forms; each goes by a 64-bit hash. One weight
 vector ``w`` is shared by all thresholds: ``P(grade >= j) = sigmoid(w.x - threshold_j)``, and the
-expected severity is the sum of these probabilities. An L1 penalty keeps the words that matter.
+expected severity is the sum of these probabilities. Features are screened first: only those that are
+far more frequent in toxic documents than chance allows take part, with weights of zero or more, so
+that a long text is not judged by the sum of thousands of accidental ones. An L1 penalty thins them out.
 
 Labels say only whether a document is toxic, so grades are derived from the labelled sample: a toxic
-document's grade is the third in which its number of marker words lies, markers being words that are
-far more frequent in toxic documents; grade 0 is clean.
+document's grade is the third in which its number of screened features lies; grade 0 is clean.
 
 The model is fitted on a bounded sample of labelled rows, ``TOXIC_ROWS`` and ``CLEAN_ROWS`` with the
 least hash of their id. Every document is then scored in the scan; nothing is shuffled.
@@ -29,11 +31,13 @@ from reviewmill.sources.workspace import materialise
 
 TOXIC_ROWS, CLEAN_ROWS = 3000, 6000
 GRADES = 3
-#: sample documents a word must occur in
-SUPPORT = 3
-PENALTY = 2e-4
-STEPS = 300
-REJECT_AT = 0.5
+#: a feature is in so many toxic documents, so many times oftener than in clean ones, and so many
+#: standard deviations above chance
+SUPPORT, RATIO, DEVIATIONS = 5, 4.0, 5.0
+PENALTY, RATE, EPOCHS, BATCH = 2.0, 0.2, 12, 16
+#: share of the clean sample documents that may be rejected
+CLEAN_LOST = 0.001
+PREFIXES = (4, 5, 6, 7)
 
 #: letters of ASCII and every byte of a longer character are parts of words
 NOT_LETTERS = np.ones(256, bool)
@@ -41,36 +45,53 @@ NOT_LETTERS[ord("a") : ord("z") + 1] = False
 NOT_LETTERS[0x80:] = False
 
 
-def word_counts(texts: pa.Array) -> Iterator[tuple]:
-    """For each chunk of texts: its rows from and to, and row, word hash and log count of every distinct word."""
+def chunk_features(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """For each chunk of texts: its rows from and to, and row and hash of every word and prefix."""
     data, offsets = kernels.text_bytes(pc.utf8_lower(pc.fill_null(texts.cast(pa.large_string()), "")))
     for low, high in kernels.chunks(offsets):
         part, ends = data[offsets[low] : offsets[high]], offsets[low : high + 1]
         start, end, first = kernels.words(part, ends, NOT_LETTERS)
-        hashes = kernels.PrefixHash(part.astype(np.uint64) + np.uint64(1)).span(start, end).view(np.int64)
+        prefix = kernels.PrefixHash(part.astype(np.uint64) + np.uint64(1))
         row = np.repeat(np.arange(high - low), np.diff(first))
-        order = np.lexsort((hashes, row))
-        row, hashes = row[order], hashes[order]
-        at = kernels.change_points(row, hashes)
-        counts = np.diff(np.append(at, len(row)))
-        yield low, high, row[at], hashes[at], np.log1p(counts)
+        rows, hashes = [row], [prefix.span(start, end)]
+        for size in PREFIXES:
+            longer = end - start > size
+            rows.append(row[longer])
+            hashes.append(prefix.span(start[longer], start[longer] + size) ^ np.uint64(kernels.BASE))
+        yield low, high, np.concatenate(rows), np.concatenate(hashes).view(np.int64)
+
+
+def log_counts(row: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Row, hash and log count of every distinct feature of a row."""
+    order = np.lexsort((hashes, row))
+    row, hashes = row[order], hashes[order]
+    at = kernels.change_points(row, hashes)
+    return row[at], hashes[at], np.log1p(np.diff(np.append(at, len(row))))
 
 
 @dataclass
 class Model:
-    """Word hashes in ascending order with their weights, and the ascending thresholds of the grades."""
+    """Feature hashes in ascending order with their weights, the ascending thresholds of the grades,
+    and the score above which a text is rejected."""
 
     words: np.ndarray
     weights: np.ndarray
     thresholds: np.ndarray
+    most: float = np.inf
 
     def scores(self, texts: pa.Array) -> np.ndarray:
         out = np.zeros(len(texts))
-        for low, high, row, hashes, value in word_counts(texts):
-            if len(self.words):
-                place = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
-                known = self.words[place] == hashes
-                out[low:high] = np.bincount(row[known], self.weights[place[known]] * value[known], high - low)
+        if not len(self.words):
+            return out
+        maybe = np.zeros(1 << 16, bool)  # by the last bits: most features are ruled out here
+        maybe[self.words & 0xFFFF] = True
+        for low, high, row, hashes in chunk_features(texts):
+            some = np.flatnonzero(maybe[hashes & 0xFFFF])
+            row, hashes = row[some], hashes[some]
+            place = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+            known = self.words[place] == hashes
+            row, hashes, value = log_counts(row[known], hashes[known])
+            out[low:high] = np.bincount(row, self.weights[np.searchsorted(self.words, hashes)] * value, high - low)
         return out
 
     def reach(self, scores: np.ndarray) -> np.ndarray:
@@ -78,50 +99,66 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(scores[:, None] - self.thresholds[None, :], -500, 500)))
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -500, 500)))
-
-
 def fit_ordinal(
     row: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray, columns: int, grades: int,
-    *, penalty: float = PENALTY, steps: int = STEPS,
+    *, penalty: float = PENALTY, epochs: int = EPOCHS, rate: float = RATE,
 ) -> tuple[np.ndarray, np.ndarray]:
-    """Weights and thresholds that minimise the negative log likelihood plus ``penalty * |w|``,
-    by proximal steps with a rate for each coordinate. Deterministic."""
+    """Weights (none below zero) and thresholds that lower the negative log likelihood plus an L1 penalty.
+
+    Sparse proximal steps on small batches in a fixed order, with a rate for each coordinate.
+    ``row`` must ascend. Thresholds keep their order.
+    """
     n = len(grade)
     reached = np.array([(grade >= j).sum() for j in range(1, grades + 1)])
     thresholds = -np.log((reached + 0.5) / (n - reached + 0.5)) + 1e-3 * np.arange(grades)
-    w, seen_w, seen_t = np.zeros(columns), np.full(columns, 1e-12), np.full(grades, 1e-12)
-    each = np.arange(n)
-    for _ in range(steps):
-        score = np.bincount(row, w[column] * value, n)
-        edges = np.concatenate([np.full((n, 1), -np.inf), thresholds[None, :] - score[:, None], np.full((n, 1), np.inf)], axis=1)
-        with np.errstate(over="ignore"):
-            below = 1 / (1 + np.exp(-edges))
-        low, high = below[each, grade], below[each, grade + 1]
-        slope = 1 - low - high  # of the loss by the score
-        gradient = np.bincount(column, slope[row] * value, columns) / n
-        chance = np.maximum(high - low, 1e-12)
-        by_threshold = np.zeros(grades)
-        np.add.at(by_threshold, grade[grade > 0] - 1, (low * (1 - low) / chance)[grade > 0])
-        np.add.at(by_threshold, grade[grade < grades], -(high * (1 - high) / chance)[grade < grades])
-        by_threshold /= n
-        seen_w += gradient**2
-        seen_t += by_threshold**2
-        rate = 0.3 / np.sqrt(seen_w)
-        w = w - rate * gradient
-        w = np.sign(w) * np.maximum(np.abs(w) - rate * penalty, 0)
-        thresholds = np.maximum.accumulate(thresholds - 0.3 / np.sqrt(seen_t) * by_threshold)
-    return w, thresholds
-
-
-def severity_grades(row: np.ndarray, column: np.ndarray, value: np.ndarray, toxic: np.ndarray, columns: int) -> np.ndarray:
-    """Grades 0 to 3 of the sample: thirds of the number of marker words among the toxic."""
+    z, seen, seen_t = np.zeros(columns), np.zeros(columns), np.full(grades, 1.0)
+    first = np.searchsorted(row, np.arange(n + 1))
+    order = np.argsort(kernels.mix(np.arange(n, dtype=np.uint64)))
+
+    def current(at: np.ndarray) -> np.ndarray:
+        w = -(z[at] + penalty) * rate / (1 + np.sqrt(seen[at]))
+        return np.where(z[at] >= -penalty, 0.0, w)  # weights are not negative
+
+    for _ in range(epochs):
+        for low in range(0, n, BATCH):
+            chosen = order[low : low + BATCH]
+            size = first[chosen + 1] - first[chosen]
+            place = np.arange(size.sum()) + np.repeat(first[chosen] - np.cumsum(size) + size, size)
+            own = np.repeat(np.arange(len(chosen)), size)
+            at, local = np.unique(column[place], return_inverse=True)
+            x, g = value[place], grade[chosen]
+            w = current(at)
+            score = np.bincount(own, w[local] * x, len(chosen))
+            edges = np.concatenate([np.full((len(chosen), 1), -np.inf), thresholds - score[:, None], np.full((len(chosen), 1), np.inf)], axis=1)
+            below = 1 / (1 + np.exp(-np.clip(edges, -700, 700)))
+            below[:, 0], below[:, -1] = 0, 1
+            under, over = below[np.arange(len(chosen)), g], below[np.arange(len(chosen)), g + 1]
+            gradient = np.bincount(local, (1 - under - over)[own] * x, len(at))
+            total = seen[at] + gradient**2
+            z[at] += gradient - (np.sqrt(total) - np.sqrt(seen[at])) / rate * w
+            seen[at] = total
+            chance = np.maximum(over - under, 1e-9)
+            move = np.zeros(grades)
+            np.add.at(move, g[g > 0] - 1, (under * (1 - under) / chance)[g > 0])
+            np.add.at(move, g[g < grades], -(over * (1 - over) / chance)[g < grades])
+            seen_t += move**2
+            thresholds = np.maximum.accumulate(thresholds - rate * move / np.sqrt(seen_t))
+    return current(np.arange(columns)), thresholds
+
+
+def telling_features(row: np.ndarray, column: np.ndarray, toxic: np.ndarray, columns: int) -> np.ndarray:
+    """Which features are far more frequent in toxic documents."""
     bad, good = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     in_bad = np.bincount(column[toxic[row]], minlength=columns)
     in_good = np.bincount(column[~toxic[row]], minlength=columns)
-    marker = (in_bad >= 0.02 * bad) & (in_bad / bad > 10 * (in_good + 0.5) / good)
-    hits = np.bincount(row, marker[column] * np.expm1(value), len(toxic))
+    expected = (in_bad + in_good) * bad / (bad + good)
+    often = (in_bad >= SUPPORT) & (in_bad / bad >= RATIO * in_good / good)
+    return often & (in_bad - expected >= DEVIATIONS * np.sqrt(expected))
+
+
+def severity_grades(row: np.ndarray, value: np.ndarray, toxic: np.ndarray) -> np.ndarray:
+    """Grades 0 to 3 of the sample: thirds of the number of telling features among the toxic."""
+    hits = np.bincount(row, np.expm1(value), len(toxic))
     found = hits[toxic & (hits > 0)]
     cuts = np.quantile(found, [1 / 3, 2 / 3]) if len(found) else np.array([np.inf, np.inf])
     return np.where(toxic, 1 + (hits > cuts[0]) + (hits > cuts[1]), 0)
@@ -140,7 +177,8 @@ def fit(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = TOXIC_ROWS, cle
     sample = rows.join(F.broadcast(chosen), "doc_id").select("doc_id", "toxic", "text")
 
     def features(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        for low, high, row, hashes, value in word_counts(batch["text"]):
+        for low, high, row, hashes in chunk_features(batch["text"]):
+            row, hashes, value = log_counts(row, hashes)
             lengths = np.bincount(row, minlength=high - low)
             yield pa.RecordBatch.from_arrays(
                 [batch["doc_id"][low:high], batch["toxic"][low:high],
@@ -156,27 +194,31 @@ def fit(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = TOXIC_ROWS, cle
     row = np.repeat(np.arange(rows.num_rows), lengths)
     hashes = pc.list_flatten(rows["words"]).to_numpy()
     value = pc.list_flatten(rows["logs"]).to_numpy().astype(float)
-    words, column, held_by = np.unique(hashes, return_inverse=True, return_counts=True)
-    often = held_by >= SUPPORT
+    words, column = np.unique(hashes, return_inverse=True)
+    toxic = rows["toxic"].to_numpy() == 1
+    often = telling_features(row, column, toxic, len(words))
     kept = often[column]
     renumbered = np.cumsum(often) - 1
     row, column, value, words = row[kept], renumbered[column[kept]], value[kept], words[often]
-    toxic = rows["toxic"].to_numpy() == 1
-    grade = severity_grades(row, column, value, toxic, len(words))
+    grade = severity_grades(row, value, toxic)
     weights, thresholds = fit_ordinal(row, column, value, grade, len(words), GRADES)
     used = weights != 0
-    return Model(words[used], weights[used], thresholds)
+    clean = np.bincount(row, weights[column] * value, len(toxic))[~toxic]
+    most = float(np.quantile(clean, 1 - CLEAN_LOST, method="higher")) if len(clean) else 0.0
+    return Model(words[used], weights[used], thresholds, most)
 
 
 def severity(docs: DataFrame, model: Model) -> DataFrame:
     """``doc_id, severity (the likeliest grade), expected_severity, p_toxic, toxic``, one row for each row.
 
-    Null and empty texts have no words and get the score of a text without evidence. Equal texts
+    A text is toxic (to be rejected) if its score is above that of all but ``CLEAN_LOST`` of the clean
+    sample. Null and empty texts have no words and get the score of a text without evidence. Equal texts
     get equal results; other columns are ignored.
     """
 
     def score(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        reach = model.reach(model.scores(batch["text"]))
+        scores = model.scores(batch["text"])
+        reach = model.reach(scores)
         edges = np.concatenate([np.ones((len(reach), 1)), reach, np.zeros((len(reach), 1))], axis=1)
         yield pa.RecordBatch.from_arrays(
             [
@@ -184,7 +226,7 @@ def severity(docs: DataFrame, model: Model) -> DataFrame:
                 pa.array(np.argmax(edges[:, :-1] - edges[:, 1:], axis=1).astype(np.int32)),
                 pa.array(reach.sum(axis=1)),
                 pa.array(reach[:, 0]),
-                pa.array(reach[:, 0] >= REJECT_AT),
+                pa.array(scores > model.most),
             ],
             names=["doc_id", "severity", "expected_severity", "p_toxic", "toxic"],
         )
@@ -193,17 +235,11 @@ def severity(docs: DataFrame, model: Model) -> DataFrame:
     return by_batch(rows, score, "doc_id long, severity int, expected_severity double, p_toxic double, toxic boolean")
 
 
-def toxic_texts(model: Model):
-    """A pandas UDF that tells whether a text is rejected; for filters that keep all other columns."""
-
-    @F.pandas_udf("boolean")
-    def rejected(texts):
-        return _as_series(model.reach(model.scores(pa.array(texts, pa.string())))[:, 0] >= REJECT_AT)
-
-    return rejected
-
+def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
+    """The rows whose text is not rejected, with all their columns."""
+    place = docs.columns.index("text")
 
-def _as_series(values: np.ndarray):
-    import pandas as pd
+    def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        yield batch.filter(pa.array(model.scores(batch.column(place)) <= model.most))
 
-    return pd.Series(values)
+    return by_batch(docs, keep, docs.schema)

@@ -1,8 +1,11 @@
 from __future__ import annotations
 
 import random
+import re
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import EDGES
 
@@ -44,22 +47,23 @@ def test_gradient_and_thresholds():
     n, x = 2000, rnd.normal(size=2000)
     latent = 2 * x + rnd.logistic(size=n)
     grade = (latent > 0).astype(int) + (latent > 2) + (latent > 4)
-    w, t = toxicity.fit_ordinal(np.arange(n), np.zeros(n, int), x, grade, 1, 3, penalty=0, steps=2000)
+    w, t = toxicity.fit_ordinal(np.arange(n), np.zeros(n, int), x, grade, 1, 3, penalty=0, epochs=60)
     assert w[0] == pytest.approx(2, abs=0.2) and t == pytest.approx([0, 2, 4], abs=0.35)
 
 
-def test_word_counts_equal_brute_force():
-    import re
-
-    import pyarrow as pa
-
-    texts = ["The the, cat9dog É é", None, "", "a-b A"]
+def test_features_equal_brute_force():
+    texts = ["The the, cat9dog abcdefghi É é", None, "", "a-b A"]
     got = {}
-    for low, _, row, hashes, value in toxicity.word_counts(pa.array(texts)):
-        for r, h, v in zip(row, hashes, value):
-            got.setdefault(low + r, []).append((h, round(np.expm1(v))))
-    assert sorted(c for _, c in got[0]) == [1, 1, 2, 2] and sorted(c for _, c in got[3]) == [1, 2]
-    assert len(re.findall("[a-zé]+", texts[0].lower())) == sum(c for _, c in got[0])
+    for low, _, row, hashes in toxicity.chunk_features(pa.array(texts)):
+        for r, _, v in zip(*toxicity.log_counts(row, hashes), strict=True):
+            got.setdefault(low + r, []).append(round(np.expm1(v)))
+    want = {}
+    for k, t in enumerate(texts):
+        words = re.findall("[a-zé]+", (t or "").lower())
+        found = Counter(words) + Counter(("prefix", w[:n]) for w in words for n in toxicity.PREFIXES if len(w) > n)
+        if found:
+            want[k] = sorted(found.values())
+    assert {k: sorted(v) for k, v in got.items()} == want
 
 
 def test_without_labels_or_documents(tables):
