@@ -6,12 +6,6 @@ functions, no histograms, hash ranges or fitted objects.
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
-
-import pyspark
-
 from checks.queries import (
     DESCRIBED,
     ISSUE_IDS,
@@ -20,8 +14,9 @@ from checks.queries import (
     METRIC_IDS,
     OWN_STOP_WORDS,
 )
-from reviewmill.operators.quality import TREATMENT
-from reviewmill.schema import COLUMN_ROLES, LABELS, NUMERIC_FEATURES, REVIEW_COLUMNS
+from reviewmill.functions.stopwords import ENGLISH
+from reviewmill.operators.quality import ACTIONS
+from reviewmill.schema import LABELS, NUMERIC_FEATURES, REVIEW_COLUMNS
 from reviewmill.plans.reports import RANGE_METRICS
 
 TEXT_COLUMNS = ("Year_Month", "Reviewer_Location", "Review_Text", "Branch")
@@ -115,14 +110,6 @@ def quoted(words: list[str]) -> str:
     return "[" + ",".join("'" + w.replace("'", "''") + "'" for w in words) + "]"
 
 
-def spark_english() -> list[str]:
-    """Spark's English stop words, read from the library file without starting a session."""
-    jar = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))[0]
-    with zipfile.ZipFile(jar) as archive:
-        text = archive.read("org/apache/spark/ml/feature/stopwords/english.txt").decode("utf-8")
-    return [line for line in text.splitlines() if line]
-
-
 def describe(source_ctes: str, table: str, columns: list[str]) -> str:
     lines = []
     for c in columns:
@@ -384,7 +371,7 @@ def oracle() -> dict[str, str]:
     sql["p1_column_inventory"] = RAW + "\nUNION ALL\n".join(
         f"SELECT '{c}' AS \"column\", '{types.get(c, 'string')}' AS dtype, count(DISTINCT {c}) AS \"unique\", "
         f"CAST(count_if({c} IS NULL) AS BIGINT) AS nulls, {share(f'count_if({c} IS NULL)', 'count(*)')} AS pct_null, "
-        f"count(DISTINCT {c}) <= 1 AS constant, count(DISTINCT {c}) = count(*) AS unique_key, {literal(COLUMN_ROLES[c])} AS role FROM reviews"
+        f"count(DISTINCT {c}) <= 1 AS constant, count(DISTINCT {c}) = count(*) AS unique_key, CASE WHEN count(DISTINCT {c}) <= 1 THEN 'constant' WHEN count(DISTINCT {c}) = count(*) THEN 'key' WHEN count(DISTINCT {c}) <= 50 THEN 'category' WHEN 2 * count(DISTINCT {c}) > count(*) THEN 'free' ELSE 'repeated' END AS role FROM reviews"
         for c in REVIEW_COLUMNS
     )
     counts = issue_counts()
@@ -392,7 +379,7 @@ def oracle() -> dict[str, str]:
         sql[f"{key}_{ISSUE_NAMES[key]}"] = RAW + f"SELECT {literal(issue)} AS issue, CAST(({counts[issue]}) AS BIGINT) AS count"
     sql["p16_quality_report"] = RAW + "\nUNION ALL\n".join(
         f"SELECT {literal(issue)} AS issue, CAST(({counts[issue]}) AS BIGINT) AS count, "
-        f"{share(f'({counts[issue]})', '(SELECT count(*) FROM reviews)')} AS pct, {literal(TREATMENT[issue])} AS suggested_treatment"
+        f"{share(f'({counts[issue]})', '(SELECT count(*) FROM reviews)')} AS pct, {literal(ACTIONS[issue])} AS suggested_treatment"
         for issue in counts
     )
     summary = [
@@ -535,7 +522,7 @@ def oracle() -> dict[str, str]:
     )
 
     # n-grams
-    english = with_(REVIEWS, LABELLED, token_rows(spark_english()))
+    english = with_(REVIEWS, LABELLED, token_rows(list(ENGLISH)))
 
     def top(ctes: str, body: str, limit: int) -> str:
         return ctes + f"SELECT ngram, count(*) AS count FROM ({body}) GROUP BY ngram ORDER BY count DESC, ngram LIMIT {limit}"

@@ -372,7 +372,7 @@ def _(spark, folder):
 
 @query("p18_describe_numbers")
 def _(spark, folder):
-    return distribution.describe_numbers(reviews(spark, folder), [REVIEW_ID, RATING], open_domain=True)
+    return distribution.describe_numbers(reviews(spark, folder), [REVIEW_ID, RATING])
 
 
 @query("p19_describe_categories")
@@ -527,7 +527,7 @@ def _(spark, folder):
 
 @query("r2_spearman_matrix")
 def _(spark, folder):
-    matrix = correlation.spearman_matrix(analysed(spark, folder), MATRIX_COLUMNS, open_domain=False)
+    matrix = correlation.spearman_matrix(analysed(spark, folder), MATRIX_COLUMNS)
     return rounded(matrix, 6, "rho")
 
 

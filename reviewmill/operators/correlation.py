@@ -12,13 +12,13 @@ from reviewmill.operators.distribution import running_totals
 from reviewmill.sources.workspace import materialise, materialise_by
 
 
-def spearman_pairs(
-    df: DataFrame,
-    pairs: Sequence[tuple[str, str]],
-    *,
-    open_domain: bool = True,
-    plain_limit: int | None = None,
-) -> DataFrame:
+def rank_inputs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The columns as doubles ``v0, v1, ...``, written once: the histogram and the joins read these
+    few numbers, not the texts behind them."""
+    return materialise(df.select(*[F.col(c).cast("double").alias(f"v{i}") for i, c in enumerate(columns)]), "rank-inputs")
+
+
+def spearman_pairs(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
     """Spearman's rho of column pairs: ``(left, right, rho)``, computed from all rows at once.
 
     Rank means position among the rows where *both* columns of the pair are present, so a value
@@ -29,11 +29,11 @@ def spearman_pairs(
     skewed values).
     """
     columns = list(dict.fromkeys(c for pair in pairs for c in pair))
-    place = {c: i for i, c in enumerate(columns)}
-    # Written once: the histogram and the join read these few numbers, not the texts behind them.
-    narrow = df.select(*[F.col(c).cast("double").alias(f"v{i}") for c, i in place.items()])
-    values = materialise(narrow, "rank-inputs")
+    return _correlations(rank_inputs(df, columns), columns, pairs)
 
+
+def _correlations(values: DataFrame, columns: Sequence[str], pairs: Sequence[tuple[str, str]]) -> DataFrame:
+    place = {c: i for i, c in enumerate(columns)}
     present = F.array(*[F.col(f"v{i}").isNotNull() for i in place.values()])
     cells = F.array(*[F.struct(F.lit(i).alias("metric"), F.col(f"v{i}").alias("value")) for i in place.values()])
     counted = (
@@ -48,8 +48,7 @@ def spearman_pairs(
         F.sum(F.when(F.col("present")[i], F.col("n")).otherwise(F.lit(0))).alias(f"n{i}") for i in place.values()
     ]
     distinct = counted.groupBy("metric", "value").agg(*shared)
-    limit = {} if plain_limit is None else {"plain_limit": plain_limit}
-    ranked = running_totals(distinct, ["metric"], "value", totals, open_domain=open_domain, **limit)
+    ranked = running_totals(distinct, ["metric"], "value", totals)
     ranks = ranked.select(
         "metric", "value", *[(F.col(f"before_{t}") + (F.col(t) + 1) / 2.0).alias(f"r{t[1:]}") for t in totals]
     )
@@ -76,13 +75,14 @@ def spearman_pairs(
     return wide.select(F.inline(F.array(*rows)))
 
 
-def spearman_matrix(df: DataFrame, columns: Sequence[str], **options) -> DataFrame:
+def spearman_matrix(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Full symmetric matrix in long form: ``(left, right, rho)`` for every ordered pair."""
-    upper = spearman_pairs(df, [*combinations(columns, 2)], **options)
+    values = rank_inputs(df, columns)
+    upper = _correlations(values, columns, [*combinations(columns, 2)])
     mirrored = F.array(F.struct("left", "right", "rho"), F.struct(F.col("right").alias("left"), F.col("left").alias("right"), "rho"))
     off_diagonal = upper.select(F.inline(mirrored))
     # The diagonal is 1 for a column that varies, as its correlation with itself.
-    same = df.agg(*[(F.min(c) < F.max(c)).alias(f"d{i}") for i, c in enumerate(columns)])
+    same = values.agg(*[(F.min(f"v{i}") < F.max(f"v{i}")).alias(f"d{i}") for i in range(len(columns))])
     cells = [
         F.struct(F.lit(c).alias("left"), F.lit(c).alias("right"), F.when(F.col(f"d{i}"), F.lit(1.0)).alias("rho"))
         for i, c in enumerate(columns)

@@ -3,10 +3,12 @@
 Quantiles, ranks and areas under curves all need "how many rows have a smaller value". Sorting
 the rows for that would put a large group into one task. Instead the rows are first counted per
 distinct value, which combines before the shuffle, and only the distinct values are accumulated:
+inside ranges of neighbouring values, each a task's work, and over the totals of the ranges.
 
-* values from a limited domain (ratings, lengths, rounded ratios) fit one window per group;
-* values from an open domain (ids, model scores) may be as many as the rows, so they are placed
-  into value ranges, accumulated inside each range, and shifted by the totals of lower ranges.
+A range is a function of the value alone, its power of two and the next ``RANGE_BITS`` bits, so the
+ranges need no sample, no count and no cut points. Each holds less than one part in
+``2 ** RANGE_BITS`` of the values between two powers of two, and their number depends on how far the
+values reach, not on how many rows there are.
 """
 
 from __future__ import annotations
@@ -17,12 +19,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.functions.numeric import half_even, percent
-from reviewmill.sources.workspace import materialise
 
-# Up to this many distinct values, one window per group is cheaper than value ranges.
-PLAIN_WINDOW_LIMIT = 2_000_000
-# Distinct values one task should accumulate, and the most ranges a group is cut into.
-VALUES_PER_RANGE, MOST_RANGES = 1_000_000, 4096
+RANGE_BITS = 10
 
 
 def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
@@ -34,38 +32,26 @@ def value_histogram(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (
     return long.where("value is not null").groupBy(*by, "metric", "value").agg(F.count(F.lit(1)).alias("n"))
 
 
-def running_totals(
-    table: DataFrame,
-    by: Sequence[str],
-    value: str,
-    totals: Sequence[str],
-    *,
-    open_domain: bool = False,
-    ranges: int | None = None,
-    plain_limit: int = PLAIN_WINDOW_LIMIT,
-) -> DataFrame:
+def value_range(value: Column) -> Column:
+    """The range of a double as a number that never falls when the value rises; NaN is highest."""
+    size = F.abs(value)
+    power = F.floor(F.log2(size))
+    place = F.floor(size / F.pow(F.lit(2.0), power) * F.lit(float(1 << RANGE_BITS)))
+    # Powers start above -1,100; twice the places of a power, as rounding may reach the next one.
+    key = ((power + 1100) * F.lit(1 << (RANGE_BITS + 1)) + place).cast("long")
+    limit = F.lit(1 << 40)
+    signed = F.when(size == float("inf"), limit).otherwise(key) * F.signum(value).cast("long")
+    return F.when(F.isnan(value), limit + 1).when(size == 0, F.lit(0)).otherwise(signed)
+
+
+def running_totals(table: DataFrame, by: Sequence[str], value: str, totals: Sequence[str]) -> DataFrame:
     """Add ``before_x`` (sum of x over smaller values) and ``total_x`` (sum over the group).
 
-    ``table`` has one row per group and value, and ``by`` is a short fixed list of groups. The
-    result is exact in both forms: the value ranges only decide which task accumulates what.
+    ``table`` has one row per group and value, and ``by`` is a short fixed list of groups. Rows are
+    accumulated inside their value range and shifted by the totals of lower ranges.
     """
-    if open_domain:
-        table = materialise(table, "histogram")
-        size = table.count()
-        open_domain = size > plain_limit
+    placed = table.withColumn("range", value_range(F.col(value).cast("double")))
     group = Window.partitionBy(*by)
-    if not open_domain:
-        smaller = group.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-        return table.select("*", *_sums(totals, "before", smaller), *_sums(totals, "total", group))
-
-    # The cut points are written down, so every later read sees the same ranges.
-    ranges = ranges or min(MOST_RANGES, max(16, size // VALUES_PER_RANGE))
-    steps = [i / ranges for i in range(1, ranges)]
-    cuts = materialise(
-        table.groupBy(*by).agg(F.percentile_approx(value, steps, 20 * ranges).alias("cuts")), "cuts"
-    )
-    placed = table.join(cuts, list(by)).withColumn("range", _cuts_below(F.col(value), ranges)).drop("cuts")
-
     per_range = placed.groupBy(*by, "range").agg(*[F.sum(t).alias(t) for t in totals])
     lower = group.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = per_range.select(
@@ -81,15 +67,6 @@ def running_totals(
     )
 
 
-def _cuts_below(value: Column, ranges: int) -> Column:
-    """How many of the sorted ``cuts`` lie below a value: whole blocks first, then inside one block."""
-    block = max(2, round(ranges**0.5))
-    ends = [i for i in range(block, ranges, block)]  # one-based positions of the block ends
-    ahead = sum(((F.element_at("cuts", end) < value).cast("int") for end in ends), F.lit(0)) * F.lit(block)
-    inside = F.slice("cuts", ahead + 1, F.lit(block))
-    return ahead + F.size(F.filter(inside, lambda cut: cut < value))
-
-
 def _sums(totals: Sequence[str], prefix: str, window: Window) -> list[Column]:
     return [F.coalesce(F.sum(t).over(window), F.lit(0)).alias(f"{prefix}_{t}") for t in totals]
 
@@ -112,12 +89,10 @@ def exact_quantiles(
     columns: Sequence[str],
     probabilities: dict[str, float],
     by: Sequence[str] = (),
-    *,
-    open_domain: bool = False,
 ) -> DataFrame:
     """Exact quantiles per group and column: ``(*by, metric, n, <names of probabilities>)``."""
     keys = [*by, "metric"]
-    ranked = running_totals(value_histogram(df, columns, by), keys, "value", ["n"], open_domain=open_domain)
+    ranked = running_totals(value_histogram(df, columns, by), keys, "value", ["n"])
     return ranked.groupBy(*keys).agg(
         F.max("total_n").alias("n"),
         *[quantile_of_ranked(p).alias(name) for name, p in probabilities.items()],
@@ -125,7 +100,7 @@ def exact_quantiles(
 
 
 def describe_numbers(
-    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), *, open_domain: bool = False, digits: int = 3
+    df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), *, digits: int = 3
 ) -> DataFrame:
     """Count, mean, sample deviation, minimum, quartiles and maximum of numeric columns.
 
@@ -133,7 +108,7 @@ def describe_numbers(
     """
     keys = [*by, "metric"]
     hist = value_histogram(df, columns, by).withColumn("s", F.col("value") * F.col("n"))
-    ranked = running_totals(hist, keys, "value", ["n", "s"], open_domain=open_domain)
+    ranked = running_totals(hist, keys, "value", ["n", "s"])
     mean = F.col("total_s") / F.col("total_n")
     spread = F.col("n") * (F.col("value") - mean) * (F.col("value") - mean)
     out = ranked.groupBy(*keys).agg(
@@ -154,27 +129,28 @@ def box_statistics(df: DataFrame, column: str, by: str) -> DataFrame:
     """Quartiles and whiskers per group; a whisker ends at the last value within 1.5 times the
     quartile distance, and no further in than its quartile."""
     keys = [by, "metric"]
-    ranked = running_totals(value_histogram(df, [column], [by]), keys, "value", ["n"])
+    hist = value_histogram(df, [column], [by])
+    ranked = running_totals(hist, keys, "value", ["n"])
     quartiles = ranked.groupBy(*keys).agg(
-        F.max("total_n").alias("n"),
+        F.max("total_n").alias("total"),
         quantile_of_ranked(0.25).alias("q1"),
         quantile_of_ranked(0.5).alias("median"),
         quantile_of_ranked(0.75).alias("q3"),
-        # The distinct values of a length are few; they travel along to find the whiskers.
-        F.collect_list("value").alias("values"),
     )
-    q1, q3 = F.col("q1"), F.col("q3")
+    q1, q3, value = F.col("q1"), F.col("q3"), F.col("value")
     low_fence, high_fence = q1 - F.lit(1.5) * (q3 - q1), q3 + F.lit(1.5) * (q3 - q1)
-    lowest = F.array_min(F.filter("values", lambda v: v >= low_fence))
-    highest = F.array_max(F.filter("values", lambda v: v <= high_fence))
-    return quartiles.select(
-        by,
-        "n",
-        F.least(lowest, q1).alias("whisker_low"),
-        "q1",
-        "median",
-        "q3",
-        F.greatest(highest, q3).alias("whisker_high"),
+    return (
+        hist.join(quartiles, keys)
+        .groupBy(*keys)
+        .agg(
+            F.max("total").alias("n"),
+            F.least(F.min(F.when(value >= low_fence, value)), F.max(q1)).alias("whisker_low"),
+            F.max(q1).alias("q1"),
+            F.max("median").alias("median"),
+            F.max(q3).alias("q3"),
+            F.greatest(F.max(F.when(value <= high_fence, value)), F.max(q3)).alias("whisker_high"),
+        )
+        .drop("metric")
     )
 
 

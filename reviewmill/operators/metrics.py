@@ -118,7 +118,6 @@ def auc_one_vs_rest(
     *,
     label: str = SENTIMENT,
     labels: Sequence[str] = LABELS,
-    plain_limit: int | None = None,
 ) -> DataFrame:
     """Area under the ROC curve of each class against the rest: ``(*by, label, auc)``.
 
@@ -140,8 +139,7 @@ def auc_one_vs_rest(
     long = scored.select(*by, F.inline(cells))
     keys = [*by, "class"]
     hist = long.groupBy(*keys, "score").agg(F.count(F.lit(1)).alias("n"), F.sum("positive").alias("pos"))
-    limit = {} if plain_limit is None else {"plain_limit": plain_limit}
-    ranked = running_totals(hist, keys, "score", ["n"], open_domain=True, **limit)
+    ranked = running_totals(hist, keys, "score", ["n"])
     rank = F.col("before_n") + (F.col("n") + 1) / 2.0
     sums = ranked.groupBy(*keys).agg(
         F.sum(F.col("pos") * rank).alias("rank_sum"),

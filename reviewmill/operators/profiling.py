@@ -13,7 +13,6 @@ from reviewmill.operators.cleaning import surplus_rows, text_digest
 from reviewmill.operators.distribution import exact_quantiles, running_totals, quantile_of_ranked, value_histogram
 from reviewmill.schema import (
     BRANCH,
-    COLUMN_ROLES,
     MISSING_PERIOD,
     RATING,
     REVIEW_COLUMNS,
@@ -23,10 +22,13 @@ from reviewmill.schema import (
 )
 
 
+# A column of at most so many distinct values is one of categories.
+MOST_CATEGORIES = 50
+
+
 def short_key(column: Column) -> Column:
-    """A value as text, or its SHA-256 where it is long, so that counting moves few bytes."""
-    text = column.cast("string")
-    return F.when(F.length(text) > 40, F.sha2(text, 256)).otherwise(text)
+    """SHA-256 of a value as text, so that counting moves few bytes."""
+    return F.sha2(column.cast("string"), 256)
 
 
 def value_counts(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
@@ -39,9 +41,13 @@ def value_counts(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
 def column_inventory(
     df: DataFrame,
     columns: Sequence[str] = REVIEW_COLUMNS,
-    roles: Mapping[str, str] = COLUMN_ROLES,
+    roles: Mapping[str, str] | None = None,
 ) -> DataFrame:
-    """One row per column: type, distinct values, NULLs, whether constant or a key, and its role."""
+    """One row per column: type, distinct values, NULLs, whether constant or a key, and its role.
+
+    A role that ``roles`` does not give follows from the profile: ``constant``, ``key``, ``category``
+    (few values), ``free`` (over half of the rows have a value of their own) or ``repeated``.
+    """
     counts = value_counts(df, {c: short_key(F.col(c)) for c in columns})
     per_column = counts.groupBy("column").agg(
         F.count("value").alias("unique"),
@@ -54,6 +60,15 @@ def column_inventory(
         pairs = [F.lit(x) for name in columns for x in (name, values.get(name, "unmapped"))]
         return F.create_map(*pairs)[F.col("column")]
 
+    given = {c: r for c, r in (roles or {}).items() if c in columns}
+    known = F.create_map(*[F.lit(x) for pair in given.items() for x in pair])[F.col("column")] if given else F.lit(None)
+    role = (
+        F.when(F.col("unique") <= 1, "constant")
+        .when(F.col("unique") == F.col("rows"), "key")
+        .when(F.col("unique") <= MOST_CATEGORIES, "category")
+        .when(2 * F.col("unique") > F.col("rows"), "free")
+        .otherwise("repeated")
+    )
     return per_column.select(
         "column",
         lookup(types).alias("dtype"),
@@ -62,7 +77,7 @@ def column_inventory(
         percent(F.col("nulls"), F.col("rows")).alias("pct_null"),
         (F.col("unique") <= 1).alias("constant"),
         (F.col("unique") == F.col("rows")).alias("unique_key"),
-        lookup(roles).alias("role"),
+        F.coalesce(known, role).alias("role"),
     )
 
 
@@ -147,6 +162,7 @@ _RANGE = {"min": F.min, "mean": F.avg, "max": F.max}
 CAPS_LIMIT, EXCLAIM_LIMIT, REPETITION_LIMIT = 0.30, 10, 0.30
 
 
+# The names of the flags are fixed values.
 def spam_flags(metrics: DataFrame) -> DataFrame:
     """Reviews per warning sign: ``(flag, reviews)``; expects the text metrics."""
     signs = {

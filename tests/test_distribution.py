@@ -17,15 +17,23 @@ def hot_values(n):
     return values
 
 
-@pytest.mark.parametrize("plain_limit,ranges", [(10**9, None), (0, None), (0, 2), (0, 7), (0, 50)])
-def test_running_totals_in_both_forms(spark, plain_limit, ranges):
-    values = hot_values(3000)
+def test_value_ranges_never_fall(spark):
+    values = np.sort(np.concatenate([RNG.normal(0, 1e6, 500), 2.0 ** np.arange(-60, 60), np.arange(-50, 50), np.nextafter(2.0 ** np.arange(1, 40), 0)]))
+    values = [-np.inf, -1e308, *values.tolist(), 5e-324, 1e308, np.inf, np.nan]
+    df = spark.createDataFrame([(float(v),) for v in values], "v double")
+    got = [tuple(r) for r in df.select("v", distribution.value_range(distribution.F.col("v")).alias("r")).orderBy("v").collect()]
+    ranges = [r for _, r in got]
+    assert ranges == sorted(ranges) and len(set(ranges)) > 300
+
+
+@pytest.mark.parametrize("bits", [0, 3, 10])
+def test_running_totals(spark, monkeypatch, bits):
+    monkeypatch.setattr(distribution, "RANGE_BITS", bits)
+    values = hot_values(3000) - 20
     frame = pd.DataFrame({"g": np.where(np.arange(3000) % 2, "a", "b"), "v": values})
     hist = frame.groupby(["g", "v"]).size().rename("n").reset_index()
     table = spark.createDataFrame(hist).repartition(7)
-    got = distribution.running_totals(
-        table, ["g"], "v", ["n"], open_domain=True, ranges=ranges, plain_limit=plain_limit
-    ).toPandas()
+    got = distribution.running_totals(table, ["g"], "v", ["n"]).toPandas()
     hist["before_n"] = hist.groupby("g")["n"].cumsum() - hist["n"]
     hist["total_n"] = hist.groupby("g")["n"].transform("sum")
     both = got.sort_values(["g", "v"]).reset_index(drop=True)[hist.columns]
@@ -33,11 +41,10 @@ def test_running_totals_in_both_forms(spark, plain_limit, ranges):
 
 
 @pytest.mark.parametrize("size", [1, 2, 5, 1000])
-@pytest.mark.parametrize("open_domain", [False, True])
-def test_quantiles_match_numpy(spark, size, open_domain):
+def test_quantiles_match_numpy(spark, size):
     values = hot_values(size)
     df = spark.createDataFrame(pd.DataFrame({"x": values}))
-    got = distribution.exact_quantiles(df, ["x"], {"a": 0.25, "b": 0.5, "c": 0.9}, open_domain=open_domain).first()
+    got = distribution.exact_quantiles(df, ["x"], {"a": 0.25, "b": 0.5, "c": 0.9}).first()
     assert [got["a"], got["b"], got["c"]] == pytest.approx(np.quantile(values, [0.25, 0.5, 0.9]))
 
 
@@ -71,15 +78,14 @@ def test_boxes_and_fences(spark):
     assert (fence["iqr_upper_bound"], fence["above"], fence["pct"], fence["max"]) == (7, 1, 20.0, 100)
 
 
-@pytest.mark.parametrize("plain_limit", [None, 0])
-def test_spearman_matches_pandas_with_nulls(spark, plain_limit):
+def test_spearman_matches_pandas_with_nulls(spark):
     n = 400
     frame = pd.DataFrame({"a": hot_values(n), "b": RNG.integers(1, 6, n).astype(float), "c": np.arange(n, dtype=float)})
     frame.loc[::7, "a"] = np.nan
     frame.loc[::5, "c"] = np.nan
     rows = [tuple(None if pd.isna(x) else float(x) for x in r) for r in frame.itertuples(index=False)]
     df = spark.createDataFrame(rows, "a double, b double, c double").repartition(5)
-    got = correlation.spearman_matrix(df, ["a", "b", "c"], plain_limit=plain_limit).collect()
+    got = correlation.spearman_matrix(df, ["a", "b", "c"]).collect()
     for row in got:
         # Pearson of average ranks over the rows where both are present.
         pair = frame[[row["left"], row["right"]]].dropna()
@@ -93,13 +99,12 @@ def brute_auc(scores, positive):
     return np.mean(above)
 
 
-@pytest.mark.parametrize("plain_limit", [None, 0])
-def test_auc_matches_pair_counting(spark, plain_limit):
+def test_auc_matches_pair_counting(spark):
     n = 300
     truth = RNG.choice(LABELS, n, p=[0.1, 0.2, 0.7])
     chances = np.round(RNG.dirichlet([1, 1, 1], n), 1)  # many ties
     chances[: n // 3] = [0.2, 0.3, 0.5]
     df = spark.createDataFrame([(str(t), [float(x) for x in c]) for t, c in zip(truth, chances)], "sentiment string, probability array<double>")
-    got = {r["label"]: r["auc"] for r in metrics.auc_one_vs_rest(df, plain_limit=plain_limit).collect()}
+    got = {r["label"]: r["auc"] for r in metrics.auc_one_vs_rest(df).collect()}
     for i, label in enumerate(LABELS):
         assert got[label] == pytest.approx(brute_auc(chances[:, i], truth == label))
