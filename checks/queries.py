@@ -133,7 +133,7 @@ def gold(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
     """Silver and its saved split, built as a user would build them."""
     silver_path, gold_path = fresh_path(spark, "silver"), fresh_path(spark, "gold")
     silver = layers.build_splits(spark, silver_path, gold_path, raw=lambda: reviews(spark, folder))
-    return silver, layers.load_splits(spark, gold_path)
+    return layers.with_saved_splits(silver, gold_path), layers.load_splits(spark, gold_path)
 
 
 @query("s7_save_splits")
@@ -157,7 +157,7 @@ def _(spark, folder):
 @query("s10_subset")
 def _(spark, folder):
     silver, splits = gold(spark, folder)
-    return layers.split_rows(silver, splits, "validation").select(ROW_ID, REVIEW_ID, SENTIMENT, TEXT)
+    return layers.split_rows(silver.drop(SPLIT), splits, "validation").select(ROW_ID, REVIEW_ID, SENTIMENT, TEXT)
 
 
 @query("s11_export_overwrite")

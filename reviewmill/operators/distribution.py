@@ -50,16 +50,16 @@ def running_totals(table: DataFrame, by: Sequence[str], value: str, totals: Sequ
     ``table`` has one row per group and value, and ``by`` is a short fixed list of groups. Rows are
     accumulated inside their value range and shifted by the totals of lower ranges.
     """
-    placed = table.withColumn("range", value_range(F.col(value).cast("double")))
+    placed = table.withColumn("value_range", value_range(F.col(value).cast("double")))
     group = Window.partitionBy(*by)
-    per_range = placed.groupBy(*by, "range").agg(*[F.sum(t).alias(t) for t in totals])
-    lower = group.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    per_range = placed.groupBy(*by, "value_range").agg(*[F.sum(t).alias(t) for t in totals])
+    lower = group.orderBy("value_range").rowsBetween(Window.unboundedPreceding, -1)
     shifts = per_range.select(
-        *by, "range", *_sums(totals, "shift", lower), *_sums(totals, "total", group)
+        *by, "value_range", *_sums(totals, "shift", lower), *_sums(totals, "total", group)
     )
-    inside = Window.partitionBy(*by, "range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
+    inside = Window.partitionBy(*by, "value_range").orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
     local = placed.select("*", *_sums(totals, "inside", inside))
-    joined = local.join(shifts, [*by, "range"])
+    joined = local.join(shifts, [*by, "value_range"])
     return joined.select(
         *table.columns,
         *[(F.col(f"shift_{t}") + F.col(f"inside_{t}")).alias(f"before_{t}") for t in totals],

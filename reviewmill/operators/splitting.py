@@ -37,7 +37,7 @@ def split_cuts(
     of one range of one class.
     """
     keyed = labelled.select(label, ROW_ID, split_hash(F.col(ROW_ID), seed).alias("hash")).withColumn(
-        "range", F.substring("hash", 1, prefix)
+        "range", F.conv(F.substring("hash", 1, prefix), 16, 10).cast("long")
     )
     sizes = keyed.groupBy(label, "range").agg(F.count(F.lit(1)).alias("n"))
     ranges = running_totals(sizes, [label], "range", ["n"])
@@ -85,12 +85,17 @@ def assign_splits(
     """
     known = labelled.where(F.col(label).isin(*labels))
     cuts = split_cuts(known, leading_shares(test_size, val_size), seed=seed, label=label, prefix=prefix)
+    return place_rows(known, cuts, seed=seed, label=label)
+
+
+def place_rows(rows: DataFrame, cuts: DataFrame, *, seed: int = SEED, label: str = SENTIMENT) -> DataFrame:
+    """Add ``split`` by comparing each row's hash with the cuts of its class: no row is moved."""
     key = F.struct(split_hash(F.col(ROW_ID), seed).alias("hash"), F.col(ROW_ID))
     # One row per class of the fixed label domain.
-    placed = known.join(F.broadcast(cuts), label, "left")
+    placed = rows.join(F.broadcast(cuts), label, "left")
     train, validation, test = SPLITS
     name = F.when(key <= F.col("cut0"), train).when(key <= F.col("cut1"), validation).otherwise(test)
-    return placed.select(*known.columns, name.alias(SPLIT))
+    return placed.select(*rows.columns, name.alias(SPLIT))
 
 
 def expected_sizes(rows: int, test_size: float = 0.15, val_size: float = 0.15) -> dict[str, int]:

@@ -14,18 +14,35 @@ from pyspark.sql import functions as F
 from reviewmill.functions.labels import scheme_labels
 from reviewmill.operators.cleaning import clean_reviews
 from reviewmill.operators.contract import check_contract
-from reviewmill.operators.splitting import assign_splits
+from reviewmill.operators.splitting import leading_shares, place_rows, split_cuts
 from reviewmill.schema import ROW_ID, SEED, SENTIMENT, SPLIT, SPLITS
-from reviewmill.sources.workspace import path_exists
+from reviewmill.sources.workspace import materialise, path_exists
+
+
+# The cut points of the splits, in a folder that partition discovery passes over.
+CUTS = "_cuts"
 
 
 class SchemeError(ValueError):
     """The stored labels do not belong to the requested scheme."""
 
 
+class IncompleteTable(RuntimeError):
+    """A folder whose write did not finish."""
+
+
+def is_present(spark: SparkSession, path: str) -> bool:
+    """Whether a finished table is at ``path``; a folder that a broken write left behind is an error."""
+    if not path_exists(spark, path):
+        return False
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        raise IncompleteTable(f"{path} has no _SUCCESS file: its write did not finish; remove it and build it again")
+    return True
+
+
 def read_if_present(spark: SparkSession, path: str) -> DataFrame | None:
     """The Parquet table at ``path``, or None if there is no such path."""
-    return spark.read.parquet(path) if path_exists(spark, path) else None
+    return spark.read.parquet(path) if is_present(spark, path) else None
 
 
 def bronze_table(raw: DataFrame, path: str) -> DataFrame:
@@ -77,6 +94,8 @@ def save_splits(assigned: DataFrame, path: str, *, seed: int = SEED) -> None:
 
 def load_splits(spark: SparkSession, path: str) -> DataFrame:
     """``(row_id, split, seed)`` as saved."""
+    if not is_present(spark, path):
+        raise FileNotFoundError(f"no splits at {path}")
     schema = f"{ROW_ID} long, seed int, {SPLIT} string"
     return spark.read.schema(schema).parquet(path).select(ROW_ID, SPLIT, "seed")
 
@@ -92,19 +111,38 @@ def build_splits(
 ) -> DataFrame:
     """Silver and gold, each written only if absent; returns silver as read back from storage."""
     silver = load_silver(spark, silver_path, scheme=scheme, raw=raw)
-    if read_if_present(spark, gold_path) is None:
-        keys = silver.select(ROW_ID, SENTIMENT)
-        save_splits(assign_splits(keys, seed=seed, labels=scheme_labels(scheme)), gold_path, seed=seed)
+    if not is_present(spark, gold_path):
+        keys = silver.select(ROW_ID, SENTIMENT).where(F.col(SENTIMENT).isin(*scheme_labels(scheme)))
+        cuts = materialise(split_cuts(keys, leading_shares(0.15, 0.15), seed=seed), "split-cuts")
+        save_splits(place_rows(keys, cuts, seed=seed), gold_path, seed=seed)
+        cuts.withColumn("seed", F.lit(seed)).coalesce(1).write.parquet(f"{gold_path}/{CUTS}")
     return silver
 
 
+def with_saved_splits(silver: DataFrame, gold_path: str) -> DataFrame:
+    """Silver with the saved ``split`` of each row, found while silver is scanned.
+
+    The cut points beside the splits place a row by its hash, so no text is shuffled for it.
+    """
+    spark = silver.sparkSession
+    if not is_present(spark, f"{gold_path}/{CUTS}"):
+        raise FileNotFoundError(f"no cut points at {gold_path}/{CUTS}")
+    cuts = spark.read.parquet(f"{gold_path}/{CUTS}")
+    seed = cuts.select("seed").first()
+    return place_rows(silver, cuts.drop("seed"), seed=seed["seed"] if seed else SEED)
+
+
 def split_rows(silver: DataFrame, splits: DataFrame, name: str) -> DataFrame:
-    """The silver rows of one split, by key lookup."""
+    """The silver rows of one split: by its own ``split`` column if it has one, else by key lookup."""
     if name not in SPLITS:
         raise ValueError(f"unknown split {name!r}; known: {list(SPLITS)}")
+    if SPLIT in silver.columns:
+        return silver.where(F.col(SPLIT) == name).drop(SPLIT)
     return silver.join(splits.where(F.col(SPLIT) == name).select(ROW_ID), ROW_ID)
 
 
 def all_split_rows(silver: DataFrame, splits: DataFrame) -> DataFrame:
     """Silver with the split of each row."""
+    if SPLIT in silver.columns:
+        return silver
     return silver.join(splits.select(ROW_ID, SPLIT), ROW_ID)

@@ -6,25 +6,16 @@ and size statistics, so Catalyst itself decides from the real size whether to br
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """Folder named by ``spark.checkpoint.dir``; a temporary one only in a local session without it."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    """Folder named by ``spark.checkpoint.dir``, or the warehouse, which executors share as well."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir", None)
+    if not configured:
         raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    if context.applicationId not in _LOCAL_FOLDERS:
-        _LOCAL_FOLDERS[context.applicationId] = tempfile.mkdtemp(prefix="reviewmill-")
-    return _LOCAL_FOLDERS[context.applicationId]
+    return configured.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:

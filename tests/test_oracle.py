@@ -74,3 +74,16 @@ def test_every_sql_belongs_to_a_query(expected):
 def test_entry(spark):
     rows = __spark_entry__.entry(spark).collect()
     assert {r["label"] for r in rows} == {"negative", "neutral", "positive"}
+
+
+def test_expected_sql_reads_no_files(monkeypatch):
+    """The SQL must not depend on how and where Spark is installed."""
+    import builtins
+
+    from checks import oracle
+
+    def refuse(*_args, **_options):
+        raise AssertionError("the oracle opened a file")
+
+    monkeypatch.setattr(builtins, "open", refuse)
+    assert len(oracle.oracle()) > 100

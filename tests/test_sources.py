@@ -6,7 +6,7 @@ import pytest
 
 from reviewmill.operators.contract import ContractError
 from reviewmill.schema import REVIEW_COLUMNS, TEXT
-from reviewmill.sources import files, reviews_csv, workspace
+from reviewmill.sources import files, layers, reviews_csv, workspace
 
 HEADER = ",".join(REVIEW_COLUMNS) + "\n"
 
@@ -76,3 +76,19 @@ def test_workspace_uses_the_configured_folder(spark):
     workspace.sweep(spark)
     with pytest.raises(Exception):
         table.count()
+
+
+def test_unfinished_layers_are_refused(spark, make_reviews, tmp_path):
+    rows = make_reviews([{"Rating": r, "Review_Text": f"text {i}"} for i, r in enumerate([1, 3, 5] * 8)])
+    silver, gold = str(tmp_path / "silver"), str(tmp_path / "gold")
+    layers.build_splits(spark, silver, gold, raw=lambda: rows)
+    placed = layers.with_saved_splits(spark.read.parquet(silver), gold)
+    joined = layers.all_split_rows(spark.read.parquet(silver), layers.load_splits(spark, gold))
+    key = lambda df: sorted((r["row_id"], r["split"]) for r in df.collect())
+    assert key(placed) == key(joined)
+    (tmp_path / "gold" / "_SUCCESS").unlink()
+    for read in (layers.load_splits, lambda s, p: layers.build_splits(s, silver, p)):
+        with pytest.raises(layers.IncompleteTable):
+            read(spark, gold)
+    with pytest.raises(FileNotFoundError):
+        layers.load_splits(spark, str(tmp_path / "nothing"))
