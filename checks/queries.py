@@ -105,8 +105,8 @@ def _(spark, folder):
 
 @query("s4_file_inventory")
 def _(spark, folder):
-    found = files.file_inventory(spark, folder, pattern="documents.parquet")
-    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "md5", "sha256")
+    found = files.file_inventory(spark, folder)
+    return found.select(F.element_at(F.split("path", "/"), -1).alias("file"), "length", "md5", "sha256", "verified")
 
 
 @query("s4_text_digests")
@@ -436,11 +436,10 @@ def _(spark, folder):
 
 @query("p29_corpus_report")
 def _(spark, folder):
-    sections = reports.corpus_report(reviews(spark, folder), bronze_folder=folder)
     out = None
-    for name, table in sections.items():
-        size = table.agg(F.count(F.lit(1)).alias("lines")).select(F.lit(name).alias("section"), "lines")
-        out = size if out is None else out.unionByName(size)
+    for name, table in reports.corpus_report(reviews(spark, folder), bronze_folder=folder).items():
+        lines = table.select(F.lit(name).alias("section"), F.to_json(F.struct(*table.columns)).alias("line"))
+        out = lines if out is None else out.unionByName(lines)
     return out
 
 
