@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.functions.labels import period_month, sentiment
@@ -14,13 +14,13 @@ from reviewmill.schema import PERIOD, RATING, REVIEW_COLUMNS, ROW_ID, SENTIMENT,
 def keep_first(df: DataFrame, keys: Sequence[str], order: str = ROW_ID) -> DataFrame:
     """Keep the row with the lowest ``order`` of every group of equal ``keys`` (NULLs are equal).
 
-    The rank filter is pushed below the shuffle as a group limit, so a group holding a large part
-    of the table leaves each task as one row. Leading with a hash lets the sort compare eight
-    bytes and look at the texts only on a tie; the keys themselves keep the comparison exact.
+    ``order`` is unique. The rows are counted by digest, which combines before the shuffle, so a
+    group holding a large part of the table leaves each task as one short row; the table itself is
+    then filtered by the surviving ``order`` values.
     """
-    fingerprint = F.xxhash64(*keys)
-    first = Window.partitionBy(fingerprint, *keys).orderBy(order)
-    return df.withColumn("_rank", F.row_number().over(first)).where("_rank = 1").drop("_rank")
+    digest = text_digest(keys[0]) if len(keys) == 1 else row_digest(keys)
+    firsts = df.groupBy(digest.alias("digest")).agg(F.min(order).alias(order)).select(order)
+    return df.join(firsts, order, "left_semi")
 
 
 def drop_full_duplicates(df: DataFrame) -> DataFrame:

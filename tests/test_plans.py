@@ -37,8 +37,11 @@ def test_text_metrics_need_no_shuffle_and_no_python(stored):
     assert "Exchange" not in plan and "Python" not in plan
 
 
-def test_cleaning_shuffles_once(stored):
-    assert plan_of(cleaning.clean_reviews(stored)).count("Exchange hashpartitioning") == 1
+def test_cleaning_moves_digests_and_ids_only(stored):
+    plan = plan_of(cleaning.clean_reviews(stored))
+    assert plan.count("Exchange hashpartitioning") == 1  # of digests that are combined before it
+    below = plan.split("Exchange hashpartitioning")[1]
+    assert "partial_min(row_id" in below and "LeftSemi" in plan
 
 
 def test_quality_report_scans_twice(stored):
