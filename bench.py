@@ -37,7 +37,10 @@ HEADLINE = (
     "l1_stratified_split",
     "f2_tfidf_weights",
     "f4_feature_matrix",
+    "f6_feature_vectors",
+    "m5_feature_splits",
     "m4_naive_bayes",
+    "m6_train_and_evaluate",
     "e7_leaderboard",
 )
 

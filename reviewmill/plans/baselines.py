@@ -128,10 +128,18 @@ def bayes_predictions(features: FeatureModel, train: DataFrame, rows: DataFrame)
 
 
 def train_and_predict(
-    silver: DataFrame, splits: DataFrame, split: str = "validation", *, models: Sequence[str] = MODELS, min_df: int = 1
+    silver: DataFrame,
+    splits: DataFrame,
+    split: str = "validation",
+    *,
+    models: Sequence[str] = MODELS,
+    min_df: int = 1,
+    hashed_terms: int | None = None,
 ) -> DataFrame:
     """Predictions of the chosen models for one split, as a written table.
 
+    ``hashed_terms`` lets the linear model and the forest work on any vocabulary (see ``features``).
+
     Only the rows that are scored are featurised; the other held-out split is not read.
     """
     if split not in ("validation", "test"):
@@ -144,7 +152,7 @@ def train_and_predict(
     if set(models) - {MAJORITY}:
         features = fit_features(train, min_df=min_df)
         if LOGISTIC in models or FOREST in models:
-            vectoriser = features.vectoriser(train)
+            vectoriser = features.vectoriser(train, hashed_terms=hashed_terms)
             vectors = training_vectors(features, vectoriser, train)
         if LOGISTIC in models:
             parts.append(logistic_predictions(features, vectoriser, vectors, rows))

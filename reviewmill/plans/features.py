@@ -1,15 +1,16 @@
 """Featurisation: fitted on training rows, applied to any rows.
 
 Two forms of the same matrix are offered. The table form ``(row_id, feature, value)`` has no size
-limit. The vector form is what ``pyspark.ml`` estimators need; it keeps the vocabulary on the
-driver and is therefore refused for vocabularies over a stated size.
+limit. The vector form is what ``pyspark.ml`` estimators need. It has either one place for each
+term, which keeps the vocabulary on the driver and is refused over a stated size, or a fixed number of
+places that terms are hashed to (``hashed_terms``), which works for any vocabulary.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, Normalizer, VectorAssembler
+from pyspark.ml.feature import IDF, CountVectorizer, ElementwiseProduct, HashingTF, Normalizer, VectorAssembler
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -79,27 +80,34 @@ class FeatureModel:
         pairs = [F.lit(x) for pair in self.weights.items() for x in pair]
         return F.create_map(*pairs)[label]
 
-    def vectoriser(self, train: DataFrame, max_terms: int = MAX_VECTOR_TERMS) -> Vectoriser:
-        """The vector form, if the vocabulary is short enough to live on the driver.
+    def vectoriser(
+        self, train: DataFrame, max_terms: int = MAX_VECTOR_TERMS, *, hashed_terms: int | None = None
+    ) -> Vectoriser:
+        """The vector form: by term if the vocabulary is short enough to live on the driver, else say
+        how many places its terms are to be hashed to.
 
         The size is known from the vocabulary table before anything is collected.
         """
+        if hashed_terms:
+            return Vectoriser(self, train, hashed_terms, hashed=True)
         terms = self.tfidf.vocabulary.count()
         if terms > max_terms:
-            raise VocabularyTooLarge(f"{terms} terms exceed {max_terms}")
+            raise VocabularyTooLarge(f"{terms} terms exceed {max_terms}; set hashed_terms")
         return Vectoriser(self, train, terms)
 
 
 class Vectoriser:
     """Sparse TF-IDF followed by the numeric features in one ``features`` vector."""
 
-    def __init__(self, model: FeatureModel, train: DataFrame, terms: int):
+    def __init__(self, model: FeatureModel, train: DataFrame, terms: int, *, hashed: bool = False):
         self.model = model
         tokens = tokenised(prepared_rows(train))
-        counter = CountVectorizer(
-            inputCol="tokens", outputCol="tf", vocabSize=max(terms, 1), minDF=float(model.tfidf.min_df)
-        )
-        counts = counter.fit(tokens)
+        if hashed:
+            counts = HashingTF(inputCol="tokens", outputCol="tf", numFeatures=terms)
+        else:
+            counts = CountVectorizer(
+                inputCol="tokens", outputCol="tf", vocabSize=max(terms, 1), minDF=float(model.tfidf.min_df)
+            ).fit(tokens)
         # Spark's idf is ln((1 + n) / (1 + df)); the model adds one.
         idf = IDF(inputCol="tf", outputCol="unused").fit(counts.transform(tokens)).idf
         weighted = ElementwiseProduct(
@@ -107,7 +115,7 @@ class Vectoriser:
         )
         unit = Normalizer(p=2.0, inputCol="tf_idf", outputCol="text_block")
         assembled = VectorAssembler(inputCols=["text_block", *NUMERIC_FEATURES], outputCol="features")
-        self.terms = counts.vocabulary
+        self.terms = [f"place {i}" for i in range(terms)] if hashed else counts.vocabulary
         self.stages = [counts, weighted, unit, assembled]
 
     @property

@@ -64,6 +64,20 @@ def test_table_and_vector_forms_agree(spark, make_reviews):
         model.vectoriser(train, max_terms=3)
 
 
+def test_hashed_terms_need_no_vocabulary(make_reviews):
+    train = corpus(make_reviews)
+    model = features.fit_features(train)
+    hashed = model.vectoriser(train, max_terms=3, hashed_terms=1 << 16)
+    plain = model.vectoriser(train)
+    assert hashed.size == (1 << 16) + len(NUMERIC_FEATURES)
+
+    def values(vectoriser):
+        rows = vectoriser.transform(train).select(ROW_ID, vector_to_array("features").alias("v")).collect()
+        return {r[ROW_ID]: sorted(round(x, 9) for x in r["v"] if x) for r in rows}
+
+    assert values(hashed) == values(plain)  # other places, the same weights: no two terms share one here
+
+
 def test_min_df_is_the_same_in_both_forms(make_reviews):
     train = corpus(make_reviews)
     model = features.fit_features(train, min_df=13)
