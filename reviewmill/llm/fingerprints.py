@@ -184,7 +184,9 @@ def first_ids(docs: DataFrame) -> list[int]:
     Only ids are shuffled for it. Ids that are equal fall into one part; null ids come first.
     """
     ids = pick(docs, "doc_id").select(F.col("doc_id").cast("long")).where("doc_id is not null")
-    parts = ids.repartitionByRange("doc_id").select(F.spark_partition_id().alias("part"), "doc_id")
+    # With a number, since adaptive execution would put a few megabytes of ids into one range.
+    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    parts = ids.repartitionByRange(ranges, "doc_id").select(F.spark_partition_id().alias("part"), "doc_id")
     return sorted(r["first"] for r in parts.groupBy("part").agg(F.min("doc_id").alias("first")).collect())
 
 
@@ -228,5 +230,5 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
 
     nulls = pick(docs, "doc_id").where("doc_id is null").limit(1).count()
     placed = keyed_texts(docs).mapInArrow(place, "part int, ahead boolean, doc_id long, row_hash long, packed binary")
-    ordered = placed.repartition("part").sortWithinPartitions("part", "ahead", "doc_id", "row_hash")
+    ordered = placed.repartition(max(1, len(cuts)), "part").sortWithinPartitions("part", "ahead", "doc_id", "row_hash")
     return ordered.mapInArrow(_neighbours, SCHEMA)
