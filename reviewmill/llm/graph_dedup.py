@@ -5,10 +5,11 @@ the node of its last ones. Only edges that two documents have matter, so the gra
 
 1. Neighbouring edges of a document with one anchor, the least hash of the short grams in a window,
    form a *path*. Equal edges have equal anchors; equal paths become one row by partial aggregation.
-2. An anchor within a single document is dropped. A path that is alone with its anchor is repeated as
-   a whole; its source is the first document that has it.
-3. Other paths may branch: they are read again and expanded into edges, each with two independent
-   hashes and the coordinate of its first place. The edges' sources come from an aggregate and a join.
+2. An anchor within a single document is dropped. A path of several documents is repeated as a whole;
+   its source is the first document that has it.
+3. Paths that share their anchor may branch: they are read again and expanded into edges, each with two
+   independent hashes and the coordinate of its first place. The edges' sources come from an aggregate
+   and a join.
 4. Consecutive edges whose sources are consecutive places of one document are compacted into a path
    again. A path so keeps the coordinates of its source, from end to end.
 5. Spans go back to every document that has the path, by a join, if their source is an earlier one.
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm import kernels
-from reviewmill.llm.fingerprints import BASES, PrefixArrays
+from reviewmill.llm.fingerprints import PrefixArrays
 from reviewmill.llm.frames import by_batch, join_texts, keyed_texts, unpack
 from reviewmill.sources.workspace import materialise
 
@@ -76,83 +77,94 @@ def document_paths(texts: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
     )
 
 
-EDGE = "anchor long, content long, n int, place int, edge long, proof long, source_id long, source_at int"
+EDGE = "path long, place int, edge long, proof int, source_id long, source_at int"
 
 
 def _edges(batch: pa.RecordBatch, width: int) -> Iterator[pa.RecordBatch]:
-    """The edges of the paths wanted from each text, with their place in it."""
+    """The edges of the paths wanted from each text, with the place of their path's first occurrence."""
     names = [f.split(" ")[0] for f in EDGE.split(", ")]
-    for doc_id, packed, wanted in zip(*[batch[c].to_pylist() for c in ("doc_id", "packed", "wanted")], strict=True):
+    for packed, wanted in zip(batch["packed"].to_pylist(), batch["wanted"].to_pylist(), strict=True):
         data = np.frombuffer(unpack(packed), np.uint8)
         hashes, _ = _word_hashes(data, np.array([0, len(data)]))
         prefix, arrays = kernels.PrefixHash(hashes), PrefixArrays((hashes % np.uint64(kernels.PRIME)).astype(np.int64))
-        n = np.array([w["n"] for w in wanted])
-        begin = np.array([w["start"] for w in wanted])
+        n, begin, low_at = (np.array([w[k] for w in wanted]) for k in ("n", "start", "low_at"))
         place = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         at = place + np.repeat(begin, n)
-        proof = np.zeros(len(at), np.int64)
-        for k in range(len(BASES)):
-            sums, back = arrays.sums[k], arrays.back[k]
-            proof = proof << 31 | (sums[at + width] - sums[at]) % kernels.PRIME * back[at] % kernels.PRIME
+        sums, back = arrays.sums[0], arrays.back[0]
+        proof = (sums[at + width] - sums[at]) % kernels.PRIME * back[at] % kernels.PRIME
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array(np.repeat(np.array([w["anchor"] for w in wanted]), n)),
-                pa.array(np.repeat(np.array([w["content"] for w in wanted]), n)),
-                pa.array(np.repeat(n, n).astype(np.int32)),
+                pa.array(np.repeat(np.array([w["path"] for w in wanted]), n)),
                 pa.array(place.astype(np.int32)),
                 pa.array(prefix.span(at, at + width).view(np.int64)),
-                pa.array(proof),
-                pa.array(np.full(len(at), doc_id)),
-                pa.array(at.astype(np.int32)),
+                pa.array(proof.astype(np.int32)),
+                pa.array(np.repeat(np.array([w["low"] for w in wanted]), n)),
+                pa.array((place + np.repeat(low_at, n)).astype(np.int32)),
             ],
             names=names,
         )
 
 
-def _compacted(edges: str) -> Column:
-    """Runs of consecutive edges with consecutive sources: ``a, b, source_id, source_at``."""
+def _with_runs(rows: DataFrame) -> DataFrame:
+    """Add ``runs``, of ``a, b, source_id, source_at``, to rows with ``edges`` in order: consecutive edges
+    whose sources are consecutive places of one document."""
 
-    def begins(e: Column, i: Column) -> Column:
-        before = F.get(edges, i - 1)
-        follows = (before.source_id == e.source_id) & (before.source_at + 1 == e.source_at)
+    def begins(e: Column) -> Column:
+        before = F.get("edges", e.i - 1)
+        follows = (before.source_id == e.source_id) & (before.source_at + 1 == e.source_at) & (before.place + 1 == e.place)
         return ~F.coalesce(follows, F.lit(False))
 
-    heads = F.filter(edges, begins)
-    return F.transform(
-        heads,
-        lambda e, i: F.struct(
-            e.place.alias("a"),
-            F.coalesce(F.get(heads, i + 1).place, F.size(edges)).alias("b"),
-            e.source_id.alias("source_id"),
-            e.source_at.alias("source_at"),
-        ),
+    numbered = F.transform(
+        "edges", lambda e, i: F.struct(i.alias("i"), e.place.alias("place"), e.source_id.alias("source_id"), e.source_at.alias("source_at"))
     )
+    rows = rows.withColumn("heads", F.filter(numbered, begins))
+
+    def run(e: Column, k: Column) -> Column:
+        after = F.coalesce(F.get("heads", k + 1).i, F.size("edges"))
+        last = F.get("edges", after - 1).place
+        return F.struct(e.place.alias("a"), (last + 1).alias("b"), e.source_id.alias("source_id"), e.source_at.alias("source_at"))
+
+    return rows.withColumn("runs", F.transform("heads", run))
+
+
+def shared_paths(texts: DataFrame, width: int, gram: int) -> DataFrame:
+    """The document paths whose anchor is in more than one document."""
+    ids = document_paths(texts, width, gram).groupBy("anchor").agg(F.min("doc_id").alias("least"), F.max("doc_id").alias("most"))
+    return document_paths(texts, width, gram).join(ids.where("least < most").select("anchor"), "anchor", "left_semi")
 
 
 def sourced_paths(texts: DataFrame, found: DataFrame, width: int) -> DataFrame:
-    """Paths of more than one document with their runs: ``anchor, content, n, runs``."""
-    place = F.struct("doc_id", "start", "row_hash")
-    paths = found.groupBy(*PATH).agg(F.min(place).alias("first"), F.max("doc_id").alias("last"))
-    paths = materialise(paths, "paths")
-    anchors = paths.groupBy("anchor").agg(
-        F.count(F.lit(1)).alias("paths"), F.min("first.doc_id").alias("low"), F.max("last").alias("high")
-    )
-    shared = paths.join(anchors.where("low < high"), "anchor").select(*PATH, "paths", "first")
-    run = F.struct(
-        F.lit(0).alias("a"), F.col("n").alias("b"), F.col("first.doc_id").alias("source_id"), F.col("first.start").alias("source_at")
+    """Runs of paths with an earlier source: ``path (a hash of anchor, content, n), runs``.
+
+    A path of several documents is a run as a whole, from the first of them. A path that shares its
+    anchor with others also has runs of those edges that are in a document before its own first one.
+    """
+    # Every one of these is a hash aggregate of fixed width. ``low`` is the path's source; the text
+    # that it is read from is another representative, by row, so that its place and row agree.
+    paths = found.groupBy(*PATH).agg(
+        F.min("doc_id").alias("low"),
+        F.min_by("start", "doc_id").alias("low_at"),
+        F.max("doc_id").alias("high"),
+        F.min("row_hash").alias("row_hash"),
+        F.min_by("doc_id", "row_hash").alias("doc_id"),
+        F.min_by("start", "row_hash").alias("start"),
     )
-    alone = shared.where("paths = 1").select(*PATH, F.array(run).alias("runs"))
+    paths = materialise(paths.withColumn("path", F.xxhash64(*PATH)), "paths")
+    run = F.struct(F.lit(0).alias("a"), F.col("n").alias("b"), F.col("low").alias("source_id"), F.col("low_at").alias("source_at"))
+    whole = paths.where("low < high").select("path", F.array(run).alias("runs"))
 
-    branching = shared.where("paths > 1")
-    by_row = branching.groupBy(F.col("first.doc_id").alias("doc_id"), F.col("first.row_hash").alias("row_hash")).agg(
-        F.collect_list(F.struct(*PATH, F.col("first.start").alias("start"))).alias("wanted")
+    anchors = paths.groupBy("anchor").agg(F.count(F.lit(1)).alias("paths")).where("paths > 1")
+    by_row = paths.join(anchors, "anchor").groupBy("doc_id", "row_hash").agg(
+        F.collect_list(F.struct("path", "n", "start", "low", "low_at")).alias("wanted")
     )
     edges = by_batch(join_texts(texts, by_row, "inner"), lambda batch: _edges(batch, width), EDGE)
-    edges = materialise(edges, "edges")
-    sources = edges.groupBy("edge", "proof").agg(F.min(F.struct("source_id", "source_at")).alias("source"))
-    joined = edges.select(*PATH, "place", "edge", "proof").join(sources, ["edge", "proof"])
-    lists = joined.groupBy(*PATH).agg(F.sort_array(F.collect_list(F.struct("place", "source.*"))).alias("edges"))
-    return alone.unionByName(lists.select(*PATH, _compacted("edges").alias("runs")))
+    sources = edges.groupBy("edge", "proof").agg(F.min("source_id").alias("first_id"), F.min_by("source_at", "source_id").alias("first_at"))
+    joined = edges.select("path", "place", "edge", "proof", "source_id").join(sources, ["edge", "proof"])
+    earlier = joined.where("first_id < source_id").select(
+        "path", F.struct("place", F.col("first_id").alias("source_id"), F.col("first_at").alias("source_at")).alias("edge")
+    )
+    lists = earlier.groupBy("path").agg(F.sort_array(F.collect_list("edge")).alias("edges"))
+    return whole.unionByName(_with_runs(lists).select("path", "runs"))
 
 
 def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> DataFrame:
@@ -162,9 +174,10 @@ def repeated_spans(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
     words nor make others lose them.
     """
     texts = keyed_texts(docs).where("doc_id is not null")
-    found = materialise(document_paths(texts, width, gram), "document-paths")
+    found = materialise(shared_paths(texts, width, gram), "document-paths")
     runs = sourced_paths(texts, found, width)
-    placed = found.join(runs, PATH).select("doc_id", "row_hash", "start", F.explode("runs").alias("r"))
+    named = found.select("doc_id", "row_hash", "start", F.xxhash64(*PATH).alias("path"))
+    placed = named.join(runs, "path").select("doc_id", "row_hash", "start", F.explode("runs").alias("r"))
     return placed.where("r.source_id < doc_id").select(
         "doc_id",
         "row_hash",
