@@ -134,7 +134,9 @@ def mix_slots(sources: DataFrame, *, slots_per_shard: int = SLOTS_PER_SHARD, see
     chunk = chunk.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("draws") - 1) / F.col("side")))).alias("chunk"))
     first = F.col("chunk") * F.col("side")
     last = F.least(first + F.col("side"), F.col("draws")) - 1
-    draws = chunk.repartition("rank", "chunk").select(
+    # By number, since rows that are a few bytes here become many: adaptive execution would put them into one task.
+    tasks = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    draws = chunk.repartition(tasks, "rank", "chunk").select(
         "rank", "blocks", "first_ticket", "slots", F.explode(F.sequence(first, last)).alias("draw")
     )
     turn = F.floor(F.col("draw") / F.col("blocks"))
@@ -158,6 +160,9 @@ class Mix:
     Other columns are ignored. An empty table gives an empty mix.
     """
 
+    # What is generated from a small table looks small to the optimizer, which would broadcast it;
+    # the joins by block and by offset are therefore asked to shuffle.
+
     def __init__(self, docs: DataFrame, *, block_words: int = BLOCK_WORDS, slots_per_shard: int = SLOTS_PER_SHARD, seed: int = SEED):
         self.docs = docs
         sized = materialise(sized_documents(docs), "sizes")
@@ -169,11 +174,11 @@ class Mix:
     def taken(self) -> DataFrame:
         """Documents with the number of words the mix takes from them, repeats counted."""
         times = self.slots.groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
-        words = self.pieces.join(times, ["rank", "block"]).groupBy("rank", "offset").agg(
+        words = self.pieces.join(times.hint("merge"), ["rank", "block"]).groupBy("rank", "offset").agg(
             F.sum(F.col("words") * F.col("times")).alias("taken")
         )
         # Documents without words share an offset with the next one and take nothing.
-        rows = self.placed.join(words, ["rank", "offset"], "left")
+        rows = self.placed.join(words.hint("merge"), ["rank", "offset"], "left")
         taken = F.when(F.col("size") > 0, F.col("taken"))
         return rows.select("doc_id", "source", "size", "source_size", "target", F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
 
@@ -182,7 +187,7 @@ class Mix:
         block in order; a block has at most ``block_words`` of them."""
         part = F.struct("offset", "start", "words")
         built = self.pieces.groupBy("rank", "block").agg(F.sort_array(F.collect_list(part)).alias("parts"))
-        return self.slots.join(built, ["rank", "block"])
+        return self.slots.hint("merge").join(built, ["rank", "block"])
 
     def texts(self) -> DataFrame:
         """What each pass takes of each document: ``doc_id, text, lang, source, turn, pass``.
@@ -190,9 +195,9 @@ class Mix:
         Neighbouring parts stay as they are in the text, white space included.
         """
         part = F.struct("start", "words")
-        used = self.slots.select("rank", "block", "pass").join(self.pieces, ["rank", "block"])
+        used = self.slots.select("rank", "block", "pass").hint("merge").join(self.pieces, ["rank", "block"])
         used = used.groupBy("rank", "offset", "pass").agg(F.sort_array(F.collect_list(part)).alias("parts"))
-        found = self.placed.where("size > 0").select("doc_id", "row_hash", "rank", "offset").join(used, ["rank", "offset"])
+        found = self.placed.where("size > 0").select("doc_id", "row_hash", "rank", "offset").join(used.hint("merge"), ["rank", "offset"])
         # Copies of a row are told apart by their turn among the rows of their key.
         turn = Window.partitionBy("doc_id", "row_hash")
         found = found.select("*", F.dense_rank().over(turn.orderBy("offset")).alias("turn"))
