@@ -146,14 +146,18 @@ def fit_ordinal(
     return current(np.arange(columns)), thresholds
 
 
-def telling_features(row: np.ndarray, column: np.ndarray, toxic: np.ndarray, columns: int) -> np.ndarray:
-    """Which features are far more frequent in toxic documents."""
-    bad, good = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
-    in_bad = np.bincount(column[toxic[row]], minlength=columns)
-    in_good = np.bincount(column[~toxic[row]], minlength=columns)
-    expected = (in_bad + in_good) * bad / (bad + good)
-    often = (in_bad >= SUPPORT) & (in_bad / bad >= RATIO * in_good / good)
-    return often & (in_bad - expected >= DEVIATIONS * np.sqrt(expected))
+def telling_features(sample: DataFrame) -> np.ndarray:
+    """Hashes of the features that are far more frequent in toxic documents, counted on the executors."""
+    row = sample.agg(F.coalesce(F.sum("toxic"), F.lit(0)), F.count(F.lit(1))).first()
+    bad, every = max(1, row[0]), max(1, row[1])
+    good = max(1, every - bad)
+    counted = sample.select("toxic", F.explode("words").alias("word")).groupBy("word").agg(
+        F.sum("toxic").alias("in_bad"), F.count(F.lit(1)).alias("n")
+    )
+    in_bad, expected = F.col("in_bad"), F.col("n") * F.lit(bad / (bad + good))
+    often = (in_bad >= SUPPORT) & (in_bad / bad >= RATIO * (F.col("n") - in_bad) / good)
+    found = counted.where(often & (in_bad - expected >= DEVIATIONS * F.sqrt(expected))).select("word").toArrow()
+    return np.sort(found["word"].to_numpy())
 
 
 def severity_grades(row: np.ndarray, value: np.ndarray, toxic: np.ndarray) -> np.ndarray:
@@ -186,20 +190,31 @@ def fit(docs: DataFrame, labels: DataFrame, *, toxic_rows: int = TOXIC_ROWS, cle
                 names=["doc_id", "toxic", "words", "logs"],
             )
 
-    rows = by_batch(sample, features, "doc_id long, toxic int, words array<long>, logs array<float>").toArrow()
+    schema = "doc_id long, toxic int, words array<long>, logs array<float>"
+    table = materialise(by_batch(sample, features, schema), "toxicity-features")
+    words = telling_features(table)
+
+    def telling(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        lengths = pc.fill_null(pc.list_value_length(batch["words"]), 0).to_numpy()
+        row = np.repeat(np.arange(batch.num_rows), lengths)
+        kept = np.isin(pc.list_flatten(batch["words"]).to_numpy(), words)
+        lengths = np.bincount(row[kept], minlength=batch.num_rows)
+        flat = [pc.list_flatten(batch[c]).filter(pa.array(kept)) for c in ("words", "logs")]
+        yield pa.RecordBatch.from_arrays(
+            [batch["doc_id"], batch["toxic"], *[kernels.list_array(f, lengths) for f in flat]],
+            names=["doc_id", "toxic", "words", "logs"],
+        )
+
+    # Only the telling features of the sample come to the driver.
+    rows = by_batch(table, telling, schema).toArrow()
     if rows.num_rows == 0:
         return Model(np.zeros(0, np.int64), np.zeros(0), np.full(GRADES, 50.0))
     rows = rows.sort_by("doc_id").combine_chunks()
     lengths = pc.fill_null(pc.list_value_length(rows["words"]), 0).to_numpy()
     row = np.repeat(np.arange(rows.num_rows), lengths)
-    hashes = pc.list_flatten(rows["words"]).to_numpy()
     value = pc.list_flatten(rows["logs"]).to_numpy().astype(float)
-    words, column = np.unique(hashes, return_inverse=True)
+    column = np.searchsorted(words, pc.list_flatten(rows["words"]).to_numpy())
     toxic = rows["toxic"].to_numpy() == 1
-    often = telling_features(row, column, toxic, len(words))
-    kept = often[column]
-    renumbered = np.cumsum(often) - 1
-    row, column, value, words = row[kept], renumbered[column[kept]], value[kept], words[often]
     grade = severity_grades(row, value, toxic)
     weights, thresholds = fit_ordinal(row, column, value, grade, len(words), GRADES)
     used = weights != 0
