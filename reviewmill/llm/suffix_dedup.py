@@ -13,8 +13,8 @@ that can be equal are first brought together:
 4. An anchor with many strings, such as a passage quoted by a large part of the corpus in as many
    surroundings, is split: its strings are cut into segments again by anchors of another hash, and
    steps 2 and 3 are repeated. Strings that are still crowded after ``LEVELS`` of this are cut down
-   to their windows whose hash occurs twice, counted by an aggregate with partial sums, so that the
-   surroundings drop out and the rest is, again, a few equal strings.
+   to their windows whose hash occurs twice, counted in buckets of hashes whose number follows the
+   number of strings, so that the surroundings drop out and the rest is, again, a few equal strings.
 5. The repeated spans go back to every segment that has the string, by a join.
 """
 
@@ -112,21 +112,56 @@ def _cut(batch: pa.RecordBatch, minimum: int) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_pylist(out, schema=CUT)
 
 
-def _windows(batch: pa.RecordBatch, minimum: int) -> Iterator[pa.RecordBatch]:
-    """One hash for each window of a string."""
-    for anchor, content, n, copies, data in zip(*[batch[c].to_pylist() for c in (*STRING, "copies", "bytes")], strict=True):
+SHARE = "anchor long, bucket long, content long, n int, copies long, places array<int>, windows array<long>"
+
+
+def _shares(batch: pa.RecordBatch, minimum: int) -> Iterator[pa.RecordBatch]:
+    """The window hashes of each string, dealt to as many buckets as its anchor has times ``MANY_STRINGS`` strings."""
+    out = []
+    for anchor, content, n, copies, strings, data in zip(
+        *[batch[c].to_pylist() for c in (*STRING, "copies", "strings", "bytes")], strict=True
+    ):
         hashes = _byte_hash(np.frombuffer(data, np.uint8)).spans_of(minimum)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.full(n, anchor)),
-                pa.array(np.full(n, content)),
-                pa.array(np.full(n, n, np.int32)),
-                pa.array(np.full(n, copies)),
-                pa.array(np.arange(n, dtype=np.int32)),
-                pa.array(hashes.view(np.int64)),
-            ],
-            names=[*STRING, "copies", "place", "window"],
-        )
+        bucket = (hashes % np.uint64(-(-strings // MANY_STRINGS))).astype(np.int64)
+        order = np.argsort(bucket, kind="stable")
+        cuts = np.append(kernels.change_points(bucket[order]), n)
+        for a, b in zip(cuts[:-1], cuts[1:], strict=True):
+            at = order[a:b]
+            out.append(
+                {"anchor": anchor, "bucket": int(bucket[at[0]]), "content": content, "n": n, "copies": copies,
+                 "places": at.astype(np.int32), "windows": hashes[at].view(np.int64)}
+            )
+    kind = [("anchor", pa.int64()), ("bucket", pa.int64()), ("content", pa.int64()), ("n", pa.int32()), ("copies", pa.int64()),
+            ("places", pa.list_(pa.int32())), ("windows", pa.list_(pa.int64()))]
+    yield pa.RecordBatch.from_pylist(out, schema=pa.schema(kind))
+
+
+def _twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Places whose window hash is there twice in its bucket; the buckets arrive one after the other."""
+    names = ["anchor", "bucket", "content", "n", "copies", "places", "windows"]
+    kind = pa.schema([("anchor", pa.int64()), ("content", pa.int64()), ("n", pa.int32()), ("places", pa.list_(pa.int32()))])
+    held: list[tuple] = []
+
+    def results() -> pa.RecordBatch:
+        sizes = [len(h[6]) for h in held]
+        _, which = np.unique(np.concatenate([np.array(h[6], np.int64) for h in held]), return_inverse=True)
+        times = np.bincount(which, np.repeat([h[4] for h in held], sizes))[which] > 1
+        out, at = [], 0
+        for (anchor, _, content, n, _, places, _), size in zip(held, sizes, strict=True):
+            found = np.array(places, np.int32)[times[at : at + size]]
+            if len(found):
+                out.append({"anchor": anchor, "content": content, "n": n, "places": found})
+            at += size
+        return pa.RecordBatch.from_pylist(out, schema=kind)
+
+    for batch in batches:
+        for row in zip(*[batch[c].to_pylist() for c in names], strict=True):
+            if held and row[:2] != held[0][:2]:
+                yield results()
+                held = []
+            held.append(row)
+    if held:
+        yield results()
 
 
 PART = "anchor long, content long, n int, offset int, part_anchor long, part long, part_n int, copies long, bytes binary"
@@ -237,10 +272,15 @@ def _back(links: DataFrame, spans: DataFrame) -> DataFrame:
 
 def repeated_strings(texts: DataFrame, found: DataFrame, minimum: int, gram: int) -> DataFrame:
     """Strings with their repeated windows: ``anchor, content, n, spans``."""
-    place = F.struct("doc_id", "row_hash", "start")
-    strings = found.groupBy(*STRING).agg(F.count(F.lit(1)).alias("copies"), F.min(place).alias("first"))
+    # Hash aggregates of fixed width; place and row are those of one occurrence.
+    strings = found.groupBy(*STRING).agg(
+        F.count(F.lit(1)).alias("copies"),
+        F.min("row_hash").alias("row_hash"),
+        F.min_by("doc_id", "row_hash").alias("doc_id"),
+        F.min_by("start", "row_hash").alias("start"),
+    )
     decided, wanted = _judged(materialise(strings, "strings"), minimum, gram)
-    by_row = wanted.select(*STRING, "copies", "strings", "first.*").groupBy("doc_id", "row_hash").agg(
+    by_row = wanted.groupBy("doc_id", "row_hash").agg(
         F.collect_list(F.struct(*STRING, "copies", "strings", "start")).alias("wanted")
     )
     cut = by_batch(
@@ -263,12 +303,11 @@ def repeated_strings(texts: DataFrame, found: DataFrame, minimum: int, gram: int
     compared.append(pool.where(F.col("strings") <= MANY_STRINGS).select(*STRING, "copies", "bytes"))
 
     # Windows of anchors that are crowded still: only those whose hash occurs twice are compared.
-    crowded = pool.where(F.col("strings") > MANY_STRINGS).select(*STRING, "copies", "bytes")
-    held = by_batch(
-        crowded, lambda batch: _windows(batch, minimum), "anchor long, content long, n int, copies long, place int, window long"
-    )
-    often = held.groupBy("anchor", "window").agg(F.sum("copies").alias("times")).where("times > 1")
-    places = held.join(often, ["anchor", "window"], "left_semi").groupBy(*STRING).agg(F.collect_list("place").alias("places"))
+    crowded = pool.where(F.col("strings") > MANY_STRINGS).select(*STRING, "copies", "strings", "bytes")
+    shares = by_batch(crowded, lambda batch: _shares(batch, minimum), SHARE)
+    dealt = shares.repartition("anchor", "bucket").sortWithinPartitions("anchor", "bucket")
+    twice = dealt.mapInArrow(_twice, "anchor long, content long, n int, places array<int>")
+    places = twice.groupBy(*STRING).agg(F.flatten(F.collect_list("places")).alias("places"))
     trimmed = materialise(by_batch(crowded.join(places, STRING), lambda batch: _trim(batch, minimum), PART), "strings-trimmed")
 
     everything = _own_strings(trimmed)
