@@ -8,8 +8,9 @@ that can be equal are first brought together:
    one anchor form a *segment*; equal windows have equal anchors.
 2. Equal segments become one *string* with a count, by partial aggregation. A group of copies of
    any size is then a single row.
-3. Only strings that share their anchor with another string, or hold it twice, are read again and
-   expanded. A string that is alone with its anchor is repeated just if its count is above one.
+3. Only strings that share their anchor with another string, or hold a window twice themselves (as
+   a periodic stretch does), are read again and expanded. Any other string is repeated just if its
+   count is above one.
 4. An anchor with many strings, such as a passage quoted by a large part of the corpus in as many
    surroundings, is split: its strings are cut into segments again by anchors of another hash, and
    steps 2 and 3 are repeated. Strings that are still crowded after ``LEVELS`` of this are cut down
@@ -51,26 +52,55 @@ def _byte_hash(data: np.ndarray) -> kernels.PrefixHash:
     return kernels.PrefixHash(data.astype(np.uint64) + np.uint64(1))
 
 
+def _places(low: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For ranges laid end to end: the range and the place of every item."""
+    return np.repeat(np.arange(len(low)), size), np.arange(size.sum()) + np.repeat(low - np.cumsum(size) + size, size)
+
+
+def _own_repeats(
+    prefix: kernels.PrefixHash, grams: np.ndarray, anchor: np.ndarray, start: np.ndarray, stop: np.ndarray, minimum: int, gram: int
+) -> np.ndarray:
+    """Which segments hold a window hash twice. Equal windows have their anchor at two places of the
+    segment, so only segments with two such places have their windows compared."""
+    reach = minimum - gram + 1
+    pad = np.zeros(reach - 1, np.uint64)
+    chosen = np.flatnonzero(kernels.sliding_min(~np.concatenate([pad, anchor, pad]), reach) == ~grams)  # least of some window
+    low = np.searchsorted(chosen, start)
+    own, at = _places(low, np.searchsorted(chosen, stop + reach - 1) - low)
+    times = np.bincount(own[grams[chosen[at]] == anchor[start][own]], minlength=len(start))
+    again, some = np.zeros(len(start), bool), np.flatnonzero(times > 1)
+    own, at = _places(start[some], (stop - start)[some])
+    windows = prefix.span(at, at + minimum)
+    order = np.lexsort((windows, own))
+    own, windows = own[order], windows[order]
+    again[some[own[1:][(own[1:] == own[:-1]) & (windows[1:] == windows[:-1])]]] = True
+    return again
+
+
 def _segment_bounds(
     part: np.ndarray, ends: np.ndarray, minimum: int, gram: int, salt: int = 0
-) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Row, first window, end of windows, anchor and content hash of the segments of texts laid end to end."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Row, first window, end of windows, anchor and content hash of the segments of texts laid end
+    to end, and whether a segment holds a window twice."""
     prefix = _byte_hash(part)
     grams = prefix.spans_of(gram)
-    anchor = kernels.sliding_min(kernels.mix(grams ^ np.uint64(salt)) if salt else grams, minimum - gram + 1)
+    if salt:
+        grams = kernels.mix(grams ^ np.uint64(salt))
+    anchor = kernels.sliding_min(grams, minimum - gram + 1)
     row = np.repeat(np.arange(len(ends) - 1), np.diff(ends))[: len(anchor)]
     whole = np.arange(len(anchor)) + minimum <= ends[1:][row]
     start = kernels.change_points(anchor, row, whole)
     stop = np.append(start[1:], len(anchor)).astype(np.int64) if len(start) else start
     start, stop = start[whole[start]], stop[whole[start]]
-    return row[start], start, stop, anchor[start], prefix.span(start, stop + minimum - 1)
+    again = _own_repeats(prefix, grams, anchor, start, stop, minimum, gram) if len(start) else np.zeros(0, bool)
+    return row[start], start, stop, anchor[start], prefix.span(start, stop + minimum - 1), again
 
 
 def _segments(batch: pa.RecordBatch, minimum: int, gram: int) -> Iterator[pa.RecordBatch]:
     data, offsets = kernels.text_bytes(batch["text"])
     for low, high in kernels.chunks(offsets):
         part, ends = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
-        at, start, stop, anchor, content = _segment_bounds(part, ends, minimum, gram)
+        at, start, stop, anchor, content, again = _segment_bounds(part, ends, minimum, gram)
         if not len(start):
             continue
         rows = batch.slice(low, high - low).take(pa.array(at))
@@ -82,17 +112,18 @@ def _segments(batch: pa.RecordBatch, minimum: int, gram: int) -> Iterator[pa.Rec
                 pa.array((stop - start).astype(np.int32)),
                 pa.array(anchor.view(np.int64)),
                 pa.array(content.view(np.int64)),
+                pa.array(again),
             ],
-            names=["doc_id", "row_hash", "start", "n", "anchor", "content"],
+            names=["doc_id", "row_hash", "start", "n", "anchor", "content", "again"],
         )
 
 
 def segments(texts: DataFrame, minimum: int = MINIMUM, gram: int = GRAM) -> DataFrame:
-    """Runs of neighbouring windows with one anchor: ``start`` in bytes, ``n`` windows."""
+    """Runs of neighbouring windows with one anchor: ``start`` in bytes, ``n`` windows, ``again`` if two are equal."""
     return by_batch(
         texts,
         lambda batch: _segments(batch, minimum, gram),
-        "doc_id long, row_hash long, start int, n int, anchor long, content long",
+        "doc_id long, row_hash long, start int, n int, anchor long, content long, again boolean",
     )
 
 
@@ -164,10 +195,10 @@ def _twice(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield results()
 
 
-PART = "anchor long, content long, n int, offset int, part_anchor long, part long, part_n int, copies long, bytes binary"
+PART = "anchor long, content long, n int, offset int, part_anchor long, part long, part_n int, again boolean, copies long, bytes binary"
 _PART = pa.schema(
     [("anchor", pa.int64()), ("content", pa.int64()), ("n", pa.int32()), ("offset", pa.int32()), ("part_anchor", pa.int64()),
-     ("part", pa.int64()), ("part_n", pa.int32()), ("copies", pa.int64()), ("bytes", pa.binary())]
+     ("part", pa.int64()), ("part_n", pa.int32()), ("again", pa.bool_()), ("copies", pa.int64()), ("bytes", pa.binary())]
 )
 
 
@@ -177,12 +208,13 @@ def _split(batch: pa.RecordBatch, minimum: int, gram: int, salt: int) -> Iterato
     found = []
     for anchor, content, n, copies, data in zip(*[batch[c].to_pylist() for c in (*STRING, "copies", "bytes")], strict=True):
         part = np.frombuffer(data, np.uint8)
-        _, start, stop, anchors, contents = _segment_bounds(part, np.array([0, len(part)]), minimum, gram, salt)
+        _, start, stop, anchors, contents, again = _segment_bounds(part, np.array([0, len(part)]), minimum, gram, salt)
         groups = kernels.mix(anchors + np.uint64(anchor & (2**64 - 1)) * np.uint64(3)).view(np.int64)
-        for a, b, group, own in zip(start.tolist(), stop.tolist(), groups.tolist(), contents.view(np.int64).tolist(), strict=True):
+        parts = (start, stop, groups, contents.view(np.int64), again)
+        for a, b, group, own, twice in zip(*[x.tolist() for x in parts], strict=True):
             found.append(
                 {"anchor": anchor, "content": content, "n": n, "offset": a, "part_anchor": group, "part": own,
-                 "part_n": b - a, "copies": copies, "bytes": data[a : b + minimum - 1]}
+                 "part_n": b - a, "again": twice, "copies": copies, "bytes": data[a : b + minimum - 1]}
             )
     yield pa.RecordBatch.from_pylist(found, schema=_PART)
 
@@ -201,7 +233,7 @@ def _trim(batch: pa.RecordBatch, minimum: int) -> Iterator[pa.RecordBatch]:
         for a, b, own in zip(start.tolist(), stop.tolist(), contents.tolist(), strict=True):
             found.append(
                 {"anchor": anchor, "content": content, "n": n, "offset": a, "part_anchor": anchor, "part": own,
-                 "part_n": b - a, "copies": copies, "bytes": data[a : b + minimum - 1]}
+                 "part_n": b - a, "again": True, "copies": copies, "bytes": data[a : b + minimum - 1]}
             )
     yield pa.RecordBatch.from_pylist(found, schema=_PART)
 
@@ -244,12 +276,12 @@ def expand(strings: DataFrame, minimum: int) -> DataFrame:
     return placed.mapInArrow(lambda batches: _expand(batches, minimum), f"anchor long, content long, n int, spans {SPANS}")
 
 
-def _judged(strings: DataFrame, minimum: int, gram: int) -> tuple[DataFrame, DataFrame]:
+def _judged(strings: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Strings that are decided, with spans, and those to compare, with the number of their anchor's strings."""
     anchors = strings.groupBy("anchor").agg(F.count(F.lit(1)).alias("strings"))
     judged = strings.join(anchors, "anchor")
-    # A segment longer than the anchor's reach holds the anchor twice and may repeat itself.
-    alone = (F.col("strings") == 1) & (F.col("n") <= minimum - gram + 1)
+    # However short, a segment may repeat itself: windows that overlap can be equal.
+    alone = (F.col("strings") == 1) & ~F.col("again")
     whole = F.array(F.struct(F.lit(0).alias("a"), F.col("n").alias("b"))).cast(SPANS)
     decided = judged.where(alone & (F.col("copies") > 1)).select(*STRING, whole.alias("spans"))
     return decided, judged.where(~alone)
@@ -259,13 +291,13 @@ def _own_strings(links: DataFrame) -> DataFrame:
     """Parts as strings, equal ones once."""
     return links.groupBy(
         F.col("part_anchor").alias("anchor"), F.col("part").alias("content"), F.col("part_n").alias("n")
-    ).agg(F.sum("copies").alias("copies"), F.first("bytes").alias("bytes"))
+    ).agg(F.sum("copies").alias("copies"), F.max("again").alias("again"), F.first("bytes").alias("bytes"))
 
 
 def _back(links: DataFrame, spans: DataFrame) -> DataFrame:
     """Spans of parts as spans of the strings they were cut from."""
     named = spans.select(F.col("anchor").alias("part_anchor"), F.col("content").alias("part"), F.col("n").alias("part_n"), "spans")
-    found = links.drop("bytes", "copies").join(named, ["part_anchor", "part", "part_n"])
+    found = links.drop("bytes", "copies", "again").join(named, ["part_anchor", "part", "part_n"])
     moved = F.transform("spans", lambda s: F.struct((s.a + F.col("offset")).alias("a"), (s.b + F.col("offset")).alias("b")))
     return found.groupBy(*STRING).agg(F.flatten(F.collect_list(moved)).alias("spans"))
 
@@ -275,11 +307,12 @@ def repeated_strings(texts: DataFrame, found: DataFrame, minimum: int, gram: int
     # Hash aggregates of fixed width; place and row are those of one occurrence.
     strings = found.groupBy(*STRING).agg(
         F.count(F.lit(1)).alias("copies"),
+        F.max("again").alias("again"),
         F.min("row_hash").alias("row_hash"),
         F.min_by("doc_id", "row_hash").alias("doc_id"),
         F.min_by("start", "row_hash").alias("start"),
     )
-    decided, wanted = _judged(materialise(strings, "strings"), minimum, gram)
+    decided, wanted = _judged(materialise(strings, "strings"))
     by_row = wanted.groupBy("doc_id", "row_hash").agg(
         F.collect_list(F.struct(*STRING, "copies", "strings", "start")).alias("wanted")
     )
@@ -297,7 +330,7 @@ def repeated_strings(texts: DataFrame, found: DataFrame, minimum: int, gram: int
         crowded = pool.where(F.col("strings") > MANY_STRINGS).select(*STRING, "copies", "bytes")
         cuts = by_batch(crowded, lambda batch, salt=level: _split(batch, minimum, gram, salt), PART)
         links.append(materialise(cuts, f"strings-parts-{level}"))
-        decided, pool = _judged(_own_strings(links[-1]), minimum, gram)
+        decided, pool = _judged(_own_strings(links[-1]))
         pool = materialise(pool, f"strings-level-{level}")
         settled.append(decided)
     compared.append(pool.where(F.col("strings") <= MANY_STRINGS).select(*STRING, "copies", "bytes"))
@@ -310,7 +343,7 @@ def repeated_strings(texts: DataFrame, found: DataFrame, minimum: int, gram: int
     places = twice.groupBy(*STRING).agg(F.flatten(F.collect_list("places")).alias("places"))
     trimmed = materialise(by_batch(crowded.join(places, STRING), lambda batch: _trim(batch, minimum), PART), "strings-trimmed")
 
-    everything = _own_strings(trimmed)
+    everything = _own_strings(trimmed).drop("again")
     for strings in compared:
         everything = everything.unionByName(strings)
     expanded = materialise(expand(everything, minimum), "strings-expanded")

@@ -47,3 +47,16 @@ def test_production_width(make_docs, corpus):
 
 def test_empty_table(make_docs):
     assert result(make_docs([(1, "x")]).where("doc_id < 0"), 40, 6) == []
+
+
+@pytest.mark.parametrize("many", [64, 1])
+def test_short_periodic_texts(make_docs, monkeypatch, many):
+    """A stretch that repeats itself within one segment, which is alone with its anchor."""
+    monkeypatch.setattr(suffix_dedup, "MANY_STRINGS", many)
+    rnd = random.Random(8)
+    line = lambda k: "".join(rnd.choice("abcdefghij ") for _ in range(k))
+    rows = [(i, (line(50) * 16)[:size]) for i, size in enumerate([449, 450, 500, 600, 700, 776])]
+    rows += [(20, "-" * 450), (21, "x " * 300), (22, line(300) + line(30) * 20 + line(300)), (23, line(776))]
+    got = result(make_docs(rows), suffix_dedup.MINIMUM, suffix_dedup.GRAM)
+    assert got == brute.suffix_dedup(rows, suffix_dedup.MINIMUM)
+    assert [r[2] for r in got if r[0] < 6] == [0, 450, 500, 600, 700, 776]
