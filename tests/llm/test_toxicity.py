@@ -71,3 +71,20 @@ def test_without_labels_or_documents(tables):
     model = toxicity.fit(docs, labels.where("doc_id < 0"))
     assert not any(r["toxic"] for r in toxicity.severity(docs, model).collect())
     assert toxicity.severity(docs.where("doc_id < 0"), model).collect() == []
+
+
+def test_mislabelled_clean_rows_do_not_move_the_decision(spark, tables):
+    docs, labels = tables
+    strong = [(5000 + i, " ".join(BAD * 10)) for i in range(3)]
+    labelled = labels.union(spark.createDataFrame([(i, 1, 0) for i, _ in strong], labels.schema))
+    more = docs.union(spark.createDataFrame(strong, docs.schema))
+    model = toxicity.fit(more, labelled)
+    out = {r["doc_id"]: r["toxic"] for r in toxicity.severity(more, model).collect()}
+    assert all(out[i] == (i % 4 == 0) for i in range(400, 600))  # mild ones have two words of evidence
+    assert model.clean_lost == pytest.approx(3 / 303)
+
+
+def test_only_toxic_labels_reject_nothing_without_evidence(tables):
+    docs, labels = tables
+    model = toxicity.fit(docs, labels.where("toxic = 1"))
+    assert not any(r["toxic"] for r in toxicity.severity(docs, model).collect() if r["doc_id"] is None or r["doc_id"] >= 1000)
