@@ -1,9 +1,11 @@
 """Quality rules: counts of a text, and the log-likelihood ratio of its hashed n-grams.
 
 Two multinomials over ``buckets`` hash buckets of lower-cased words and word pairs are counted, one
-from all documents and one from documents labelled as good. A text's score is the mean over its
+from all documents and one from all documents labelled as good. A text's score is the mean over its
 n-grams of ``log p_trusted - log p_raw``; the threshold is a low quantile of the trusted texts'
-own scores. Everything is built from DataFrame functions; texts are never shuffled.
+own scores. Everything is built from DataFrame functions. Labels are of any number, so texts meet
+them in a join, which shuffles the texts once if the labels are too many for a broadcast; the
+threshold's join and the scoring pass move none.
 """
 
 from __future__ import annotations
@@ -14,11 +16,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm.frames import BREAK_CLASS, pick
+from reviewmill.operators.distribution import exact_quantiles
 from reviewmill.sources.workspace import materialise
 
 BUCKETS = 1 << 14
-#: at most so many trusted documents, those with the least hash of their id, give the target multinomial
-TRUSTED_DOCUMENTS = 20_000
 SMOOTHING = 1.0
 #: share of the trusted documents that may score below the threshold
 TRUSTED_BELOW = 0.002
@@ -86,18 +87,19 @@ def gram_buckets(words: str, buckets: int) -> Column:
     return F.concat(single, pair)
 
 
-def trusted_ids(labels: DataFrame, limit: int = TRUSTED_DOCUMENTS) -> DataFrame:
-    """Ids whose every non-null quality label is 1, at most ``limit``; a table small enough to broadcast."""
+def trusted_ids(labels: DataFrame) -> DataFrame:
+    """Ids whose every non-null quality label is 1, once each."""
     rows = pick(labels, "doc_id", "quality").select(F.col("doc_id").cast("long"), F.col("quality").cast("int"))
     good = rows.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("q"))
-    return good.where("q = 1").select("doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(limit)
+    return good.where("q = 1").select("doc_id")
 
 
 def weights(rows: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
     """``log p_trusted - log p_raw`` of each bucket; ``buckets`` numbers, however large the corpus."""
     chosen = trusted.withColumn("trusted", F.lit(1))
-    flagged = rows.select("doc_id", "text").join(F.broadcast(chosen), "doc_id", "left")
-    grams = flagged.select("trusted", text_words(F.col("text")).alias("words"))
+    named = rows.where("doc_id is not null").select("doc_id", "text").join(chosen, "doc_id", "left")
+    nameless = rows.where("doc_id is null").select("doc_id", "text", F.lit(None).cast("int").alias("trusted"))
+    grams = named.unionByName(nameless).select("trusted", text_words(F.col("text")).alias("words"))
     grams = grams.select("trusted", F.explode(gram_buckets("words", buckets)).alias("bucket"))
     counted = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target"))
     found = {r["bucket"]: (r["raw"], r["target"]) for r in counted.collect()}
@@ -122,7 +124,6 @@ def quality_rules(
     labels: DataFrame,
     *,
     buckets: int = BUCKETS,
-    trusted_documents: int = TRUSTED_DOCUMENTS,
     trusted_below: float = TRUSTED_BELOW,
 ) -> DataFrame:
     """``doc_id, text``, the base counts, ``log_ratio``, ``base_failed`` and ``kept``, a row for each row.
@@ -132,11 +133,13 @@ def quality_rules(
     ties get equal results; other columns are ignored.
     """
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    trusted = materialise(trusted_ids(labels, trusted_documents), "trusted")
+    trusted = materialise(trusted_ids(labels), "trusted")
     weight = weights(rows, trusted, buckets)
-    scored = rows.join(F.broadcast(trusted), "doc_id", "left_semi").select(text_words(F.col("text")).alias("words"))
-    scores = scored.select(mean_ratio("words", weight).alias("log_ratio"))
-    threshold = scores.agg(F.percentile("log_ratio", trusted_below).alias("t")).first()["t"]
+    # Scored before the join, and an inner one, which stays above the scores: only ids and scores move.
+    scored = rows.select("doc_id", text_words(F.col("text")).alias("words"))
+    scores = scored.select("doc_id", mean_ratio("words", weight).alias("log_ratio")).join(trusted, "doc_id")
+    found = exact_quantiles(scores, ["log_ratio"], {"t": trusted_below}).first()
+    threshold = found["t"] if found else None
     out = with_counts(rows).withColumn("log_ratio", mean_ratio("words", weight))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     passes = F.lit(True) if threshold is None else F.col("log_ratio") >= F.lit(threshold)

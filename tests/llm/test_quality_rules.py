@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 
 import brute
+import numpy as np
 import pytest
 from conftest import EDGES
 
@@ -65,3 +66,13 @@ def test_no_python_in_the_plan(tables):
     _, docs, labels = tables
     plan = quality_rules.quality_rules(docs, labels)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Exchange hash" not in plan
+
+
+def test_every_label_counts(spark, tables):
+    _, docs, labels = tables
+    assert quality_rules.trusted_ids(spark.range(20_050).selectExpr("id doc_id", "1 quality")).count() == 20_050
+    got = quality_rules.quality_rules(docs, labels, trusted_below=0.4).collect()
+    threshold = np.quantile([r["log_ratio"] for r in got if r["doc_id"] in range(100, 125)], 0.4)
+    for r in got:
+        near = r["log_ratio"] is not None and abs(r["log_ratio"] - threshold) < 1e-9
+        assert near or r["kept"] == (not r["base_failed"] and r["log_ratio"] >= threshold)
