@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.llm import (
+    divergence,
     fingerprints,
     graph_dedup,
     jaccard_join,
@@ -92,3 +93,11 @@ def _(spark, folder):
 def _(spark, folder):
     found = jaccard_join.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", "class_id", "n_links", "text_class", "copies")
+
+
+@query("op12_source_divergence")
+def _(spark, folder):
+    return divergence.audit(table(spark, folder, "documents")).report()
+
+
+SQL["op12_source_divergence"] = divergence.SQL
