@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from reviewmill.llm import (
     divergence,
+    embedding_dedup,
     fingerprints,
     graph_dedup,
     jaccard_join,
@@ -101,3 +102,11 @@ def _(spark, folder):
 
 
 SQL["op12_source_divergence"] = divergence.SQL
+
+
+@query("op13_embedding_near_dedup")
+def _(spark, folder):
+    return embedding_dedup.near_duplicates(table(spark, folder, "embeddings"))
+
+
+SQL["op13_embedding_near_dedup"] = embedding_dedup.SQL
