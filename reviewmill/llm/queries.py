@@ -11,6 +11,7 @@ from reviewmill.llm import (
     embedding_dedup,
     fingerprints,
     graph_dedup,
+    hard_negatives,
     jaccard_join,
     language,
     mixing,
@@ -110,3 +111,11 @@ def _(spark, folder):
 
 
 SQL["op13_embedding_near_dedup"] = embedding_dedup.SQL
+
+
+@query("op11_hard_negatives")
+def _(spark, folder):
+    return hard_negatives.mine(table(spark, folder, "embeddings"))
+
+
+SQL["op11_hard_negatives"] = hard_negatives.SQL
