@@ -358,7 +358,8 @@ def search(index: Index, blocks: DataFrame, queries: DataFrame, width: int, *, s
     packs = -(-queries.count() // pack)
     dealt = queries.withColumn("pack", F.pmod(F.xxhash64("key"), F.lit(max(packs, 1)))).groupBy("pack")
     sent = dealt.applyInArrow(lambda t: _send(t.drop_columns(["pack"]), index, width, same, k), PACKS)
-    met = sent.join(blocks, ["leaf", "block"])
+    # the size of packed arrays cannot be estimated, so neither side may be taken for a small one
+    met = sent.hint("merge").join(blocks, ["leaf", "block"])
     found = met.mapInArrow(lambda b: _best(b, width, same, k), "anchor long, window int, id long, key long, score long")
     order = Window.partitionBy("anchor", "window").orderBy(F.desc("score"), "id", "key")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
