@@ -265,7 +265,8 @@ def near_duplicates(
     guests = blocks.join(places, "label").mapInArrow(
         lambda batches: _visits(batches, index, width), "label string, block int, origin int, guests binary, guest_copies binary, guest_units binary"
     )
-    met = guests.join(blocks.drop("cells"), ["label", "block"])
+    # the size of packed arrays cannot be estimated, so neither side may be taken for a small one
+    met = guests.hint("merge").join(blocks.drop("cells"), ["label", "block"])
     compared = materialise(met.mapInArrow(lambda batches: _verify(batches, cosine, width), "class long, links long, least long"), "verified-vectors")
 
     links = compared.groupBy("class").agg(F.sum("links").alias("links"))
