@@ -240,6 +240,53 @@ def bayes_ctes(held: str = "validation") -> list[str]:
     ]
 
 
+FOLDS = 5
+
+
+def fold_cte(source: str) -> str:
+    """``folds``: equal shares of each class of ``source``, in order of a hash."""
+    passed = "+".join(f"CAST(rn > floor(n*CAST({i / FOLDS} AS DOUBLE)+0.5) AS INTEGER)" for i in range(1, FOLDS))
+    return f"""folds AS MATERIALIZED (SELECT row_id, sentiment, {passed} AS fold FROM (SELECT row_id, sentiment,
+      row_number() OVER (PARTITION BY sentiment ORDER BY md5(concat(CAST(row_id AS VARCHAR),':43')), row_id) AS rn,
+      count(*) OVER (PARTITION BY sentiment) AS n FROM {source}))"""
+
+
+def fold_bayes_ctes() -> list[str]:
+    """Naive Bayes fitted once for each fold ``j`` on the rows of the other folds, scored on its own."""
+    tokens = MODEL_TOKENS.format(MODEL_TEXT)
+    mass = ", ".join(f"sum(CASE WHEN sentiment='{c}' THEN value ELSE 0.0 END)+1.0 AS m_{c}" for c in LABELS)
+    logs = ", ".join(f"ln(m_{c}/sum(m_{c}) OVER (PARTITION BY j)) AS l_{c}" for c in LABELS)
+    sums = ", ".join(f"sum(value*l_{c}) AS s_{c}" for c in LABELS)
+    priors = ", ".join(f"ln(count_if(sentiment='{c}')/CAST(count(*) AS DOUBLE)) AS q_{c}" for c in LABELS)
+    joint = ", ".join(f"coalesce(s_{c},0.0)+q_{c} AS j_{c}" for c in LABELS)
+    top = "greatest(" + ",".join(f"j_{c}" for c in LABELS) + ")"
+    total = "+".join(f"exp(j_{c}-{top})" for c in LABELS)
+    chances = ", ".join(f"exp(j_{c}-{top})/({total}) AS p_{c}" for c in LABELS)
+    pick = " ".join(f"WHEN j_{c}={top} THEN '{c}'" for c in LABELS)
+    return [
+        *SPLIT_CTES,
+        fold_cte("(SELECT * FROM splits WHERE split='train')"),
+        f"rows_ AS (SELECT row_id, sentiment, fold, {tokens} AS t, Review_Text FROM silver JOIN folds USING (row_id, sentiment))",
+        f"numbers AS MATERIALIZED (SELECT row_id, sentiment, fold, {FILLED} FROM {text_metrics('rows_')})",
+        f"models AS (SELECT unnest(range(0,{FOLDS})) AS j)",
+        "sizes AS (SELECT j, count(*) AS n, " + priors + " FROM rows_ JOIN models ON fold<>j GROUP BY j)",
+        "tf AS MATERIALIZED (SELECT row_id, sentiment, fold, term, count(*) AS tf FROM (SELECT row_id, sentiment, fold, unnest(t) AS term FROM rows_) GROUP BY ALL)",
+        "vocabulary AS MATERIALIZED (SELECT j, term, ln((1.0+any_value(n))/(1.0+count(*)))+1.0 AS idf FROM tf JOIN sizes ON fold<>j GROUP BY j, term)",
+        "weights AS MATERIALIZED (SELECT j, row_id, sentiment, fold, term, tf*idf / sqrt(sum(tf*idf*tf*idf) OVER (PARTITION BY j, row_id)) AS weight FROM tf JOIN vocabulary USING (term))",
+        "scales AS MATERIALIZED (SELECT j, term, max(abs(weight)) AS scale FROM weights WHERE fold<>j GROUP BY j, term)",
+        f"long AS MATERIALIZED (SELECT row_id, sentiment, fold, name, x FROM (UNPIVOT numbers ON {', '.join(NUMERIC_LIST)} INTO NAME name VALUE x))",
+        "ranges AS (SELECT j, name, min(x) AS low, CASE WHEN max(x)=min(x) THEN 1.0 ELSE max(x)-min(x) END AS span FROM long JOIN models ON fold<>j GROUP BY j, name)",
+        """matrix AS MATERIALIZED (
+          SELECT j, row_id, sentiment, fold, 'term:' || term AS feature, weight/scale AS value FROM weights JOIN scales USING (j, term)
+          UNION ALL SELECT j, row_id, sentiment, fold, 'number:' || name, (x-low)/span FROM long JOIN ranges USING (name))""",
+        f"mass AS MATERIALIZED (SELECT j, feature, {mass} FROM matrix WHERE fold<>j GROUP BY j, feature)",
+        f"logs AS MATERIALIZED (SELECT j, feature, {logs} FROM mass)",
+        f"sums AS (SELECT row_id, {sums} FROM matrix JOIN logs USING (j, feature) WHERE fold=j GROUP BY row_id)",
+        f"joints AS MATERIALIZED (SELECT r.row_id, r.sentiment, r.fold, {joint} FROM rows_ r JOIN sizes ON r.fold=sizes.j LEFT JOIN sums USING (row_id))",
+        f"oof AS MATERIALIZED (SELECT row_id, sentiment, fold, CASE {pick} END AS prediction, {chances} FROM joints)",
+    ]
+
+
 MAJORITY_SQL = "(SELECT sentiment FROM splits WHERE split='train' GROUP BY sentiment ORDER BY count(*) DESC, sentiment LIMIT 1)"
 
 
@@ -592,6 +639,21 @@ def oracle() -> dict[str, str]:
     board = f"SELECT model, {even('accuracy', 6)} AS accuracy, {even('auc_roc', 6)} AS auc_roc, {even('macro_f1', 6)} AS macro_f1 FROM board"
     sql["m6_train_and_evaluate"] = with_(*bayes_ctes(), both, *score_ctes("preds")) + board
 
+    # cross-validation
+    sql["l4_stratified_folds"] = with_(REVIEWS, LABELLED, SILVER, fold_cte("silver")) + "SELECT * FROM folds"
+    by_fold = "SELECT '{0}' || '/' || fold AS model, row_id, sentiment, {1} AS prediction, {2} FROM {3}"
+    none = ", ".join(f"CAST(NULL AS DOUBLE) AS p_{c}" for c in LABELS)
+    bayes = by_fold.format("Multinomial naive Bayes", "prediction", ", ".join(f"p_{c}" for c in LABELS), "oof")
+    largest = f"SELECT j, arg_max(sentiment, (n, -i)) AS label FROM (SELECT j, sentiment, list_position({quoted(list(LABELS))}, sentiment) AS i, count(*) AS n FROM rows_ JOIN models ON fold<>j GROUP BY ALL) GROUP BY j"
+    plain = by_fold.format("Majority class", "label", none, f"oof JOIN ({largest}) ON fold=j")
+    scored = "SELECT split_part(model,'/',1) AS model, CAST(split_part(model,'/',2) AS INTEGER) AS fold, CAST(support AS BIGINT) AS rows, accuracy, macro_f1 FROM board JOIN (SELECT model, sum(support) AS support FROM classes GROUP BY model) USING (model)"
+    sql["m7_fold_scores"] = with_(*fold_bayes_ctes(), f"preds AS MATERIALIZED ({bayes})", *score_ctes("preds")) + (
+        f"SELECT model, fold, rows, {even('accuracy', 6)} AS accuracy, {even('macro_f1', 6)} AS macro_f1 FROM ({scored})"
+    )
+    sql["m7_cross_validation"] = with_(*fold_bayes_ctes(), f"preds AS MATERIALIZED ({bayes} UNION ALL {plain})", *score_ctes("preds")) + (
+        f"SELECT model, count(*) AS folds, {even('avg(macro_f1)', 6)} AS mean, {even('stddev_pop(macro_f1)', 6)} AS sigma FROM ({scored}) GROUP BY model"
+    )
+
     # metrics
     rules = with_(*rule_ctes())
     cells = "\nUNION ALL\n".join(

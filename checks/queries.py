@@ -25,7 +25,7 @@ from reviewmill.operators import (
     splitting,
     tfidf,
 )
-from reviewmill.plans import baselines, features, reports
+from reviewmill.plans import baselines, features, reports, validation
 from reviewmill.schema import (
     BRANCH,
     LABELS,
@@ -734,6 +734,32 @@ def _(spark, folder):
     return rounded(baselines.evaluate(predictions)["leaderboard"], 6, "accuracy", "auc_roc", "macro_f1")
 
 
+# --- cross-validation --------------------------------------------------------------------------------
+
+
+def folded(spark: SparkSession, folder: str) -> DataFrame:
+    """Training rows with their fold."""
+    return validation.folded_rows(layers.split_rows(*gold(spark, folder), "train"))
+
+
+@query("l4_stratified_folds")
+def _(spark, folder):
+    return splitting.assign_folds(silver_keys(spark, folder), validation.FOLDS)
+
+
+@query("m7_fold_scores")
+def _(spark, folder):
+    scores = validation.fold_scores(validation.cross_validated(folded(spark, folder), [baselines.BAYES]))
+    return rounded(scores, 6, "accuracy", "macro_f1")
+
+
+@query("m7_cross_validation")
+def _(spark, folder):
+    chosen = [baselines.MAJORITY, baselines.BAYES]
+    scores = validation.fold_scores(validation.cross_validated(folded(spark, folder), chosen))
+    return rounded(validation.cross_validation_summary(scores), 6, "mean", "sigma")
+
+
 # --- metrics -----------------------------------------------------------------------------------------
 
 

@@ -98,6 +98,34 @@ def place_rows(rows: DataFrame, cuts: DataFrame, *, seed: int = SEED, label: str
     return placed.select(*rows.columns, name.alias(SPLIT))
 
 
+FOLD = "fold"
+
+
+def assign_folds(
+    labelled: DataFrame,
+    folds: int,
+    *,
+    seed: int = SEED + 1,
+    label: str = SENTIMENT,
+    labels: Sequence[str] = LABELS,
+    prefix: int = 4,
+) -> DataFrame:
+    """Add ``fold``, 0 to ``folds - 1``: equal shares of every class, by the rule of the split.
+
+    ``labelled`` is read three times, so pass a written table; its other columns stay, and no row is
+    moved. Rows outside the label domain are dropped. The hash is not the one of the split.
+    """
+    if folds < 2:
+        raise ValueError("cross-validation needs two folds at least")
+    known = labelled.where(F.col(label).isin(*labels))
+    cuts = split_cuts(known, [i / folds for i in range(1, folds)], seed=seed, label=label, prefix=prefix)
+    key = F.struct(split_hash(F.col(ROW_ID), seed).alias("hash"), F.col(ROW_ID))
+    # One row per class of the fixed label domain. A class with fewer rows than folds lacks early cuts.
+    placed = known.join(F.broadcast(cuts), label, "left")
+    passed = [F.coalesce(key > F.col(f"cut{i}"), F.lit(True)).cast("int") for i in range(folds - 1)]
+    return placed.select(*known.columns, sum(passed[1:], passed[0]).alias(FOLD))
+
+
 def expected_sizes(rows: int, test_size: float = 0.15, val_size: float = 0.15) -> dict[str, int]:
     """Rows of one class that each split receives."""
     first, second = (floor(rows * share + 0.5) for share in leading_shares(test_size, val_size))

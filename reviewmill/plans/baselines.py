@@ -127,25 +127,20 @@ def bayes_predictions(features: FeatureModel, train: DataFrame, rows: DataFrame)
     return scored.withColumn("model", F.lit(BAYES)).select(*PREDICTION_COLUMNS)
 
 
-def train_and_predict(
-    silver: DataFrame,
-    splits: DataFrame,
-    split: str = "validation",
+def fit_and_score(
+    train: DataFrame,
+    rows: DataFrame,
     *,
     models: Sequence[str] = MODELS,
     min_df: int = 1,
     hashed_terms: int | None = None,
+    forest: dict | None = None,
+    logistic: dict | None = None,
 ) -> DataFrame:
-    """Predictions of the chosen models for one split, as a written table.
+    """Fit the chosen models on prepared rows and score others; pass written tables.
 
-    ``hashed_terms`` lets the linear model and the forest work on any vocabulary (see ``features``).
-
-    Only the rows that are scored are featurised; the other held-out split is not read.
+    ``forest`` and ``logistic`` hold options of the two, such as ``{"trees": 50}``.
     """
-    if split not in ("validation", "test"):
-        raise ValueError("models are scored on 'validation' or 'test'")
-    train = spread_small_scan(materialise(prepared_rows(split_rows(silver, splits, "train")), "train"), ROW_ID)
-    rows = spread_small_scan(materialise(prepared_rows(split_rows(silver, splits, split)), split), ROW_ID)
     parts = []
     if MAJORITY in models:
         parts.append(majority_predictions(train, rows))
@@ -155,15 +150,37 @@ def train_and_predict(
             vectoriser = features.vectoriser(train, hashed_terms=hashed_terms)
             vectors = training_vectors(features, vectoriser, train)
         if LOGISTIC in models:
-            parts.append(logistic_predictions(features, vectoriser, vectors, rows))
+            parts.append(logistic_predictions(features, vectoriser, vectors, rows, **(logistic or {})))
         if FOREST in models:
-            parts.append(forest_predictions(vectoriser, vectors, rows))
+            parts.append(forest_predictions(vectoriser, vectors, rows, **(forest or {})))
         if BAYES in models:
             parts.append(bayes_predictions(features, train, rows))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return materialise(out, "predictions")
+    return out
+
+
+def train_and_predict(
+    silver: DataFrame,
+    splits: DataFrame,
+    split: str = "validation",
+    *,
+    models: Sequence[str] = MODELS,
+    min_df: int = 1,
+    hashed_terms: int | None = None,
+) -> DataFrame:
+    """Predictions of the chosen models for one split, as a written table.
+
+    ``hashed_terms`` lets the linear model and the forest work on any vocabulary (see ``features``).
+
+    Only the rows that are scored are featurised; the other held-out split is not read.
+    """
+    if split not in ("validation", "test"):
+        raise ValueError("models are scored on 'validation' or 'test'")
+    train = spread_small_scan(materialise(prepared_rows(split_rows(silver, splits, "train")), "train"), ROW_ID)
+    rows = spread_small_scan(materialise(prepared_rows(split_rows(silver, splits, split)), split), ROW_ID)
+    return materialise(fit_and_score(train, rows, models=models, min_df=min_df, hashed_terms=hashed_terms), "predictions")
 
 
 def evaluate(predictions: DataFrame) -> dict[str, DataFrame]:
