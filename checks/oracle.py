@@ -15,6 +15,7 @@ from checks.queries import (
     OWN_STOP_WORDS,
 )
 from reviewmill.functions.stopwords import ENGLISH
+from reviewmill.operators.bootstrap import STEPS
 from reviewmill.operators.quality import ACTIONS
 from reviewmill.schema import LABELS, NUMERIC_FEATURES, REVIEW_COLUMNS
 from reviewmill.plans.reports import RANGE_METRICS
@@ -686,4 +687,52 @@ def oracle() -> dict[str, str]:
     sql["e9_off_majority"] = rules + (
         "SELECT model, CAST(count_if(prediction IS DISTINCT FROM 'positive') AS BIGINT) AS off_majority, count(*) AS predictions FROM preds GROUP BY model"
     )
+    replicates = [
+        *rule_ctes(),
+        """digests AS MATERIALIZED (SELECT model, sentiment, prediction, block, sha256(concat_ws(':', CAST(row_id AS VARCHAR), CAST(block AS VARCHAR), '42')) AS h
+          FROM preds CROSS JOIN (SELECT unnest(range(0,25)) AS block))""",
+        "bits AS (SELECT model, sentiment, prediction, block*8+place AS replicate, CAST('0x' || substr(h, CAST(8*place+1 AS INTEGER), 8) AS BIGINT) AS bits FROM digests CROSS JOIN (SELECT unnest(range(0,8)) AS place))",
+        "drawn AS (SELECT model, replicate, sentiment, prediction, sum(" + "+".join(f"CAST(bits>={s} AS BIGINT)" for s in STEPS) + ") AS n FROM bits GROUP BY ALL)",
+        "f1s AS (" + " UNION ALL ".join(
+            f"SELECT model, replicate, coalesce(2.0*sum(CASE WHEN sentiment='{c}' AND prediction='{c}' THEN n END)"
+            f"/nullif(sum(CASE WHEN sentiment='{c}' THEN n ELSE 0 END)+sum(CASE WHEN prediction='{c}' THEN n ELSE 0 END),0),0.0) AS f1 FROM drawn GROUP BY model, replicate"
+            for c in LABELS
+        ) + ")",
+        "replicates AS MATERIALIZED (SELECT model, CAST(replicate AS INTEGER) AS replicate, avg(f1) AS macro_f1 FROM f1s GROUP BY model, replicate)",
+    ]
+    sql["e10_bootstrap_replicates"] = with_(*replicates) + f"SELECT model, replicate, {even('macro_f1', 6)} AS macro_f1 FROM replicates"
+    sql["e10_bootstrap_interval"] = with_(*replicates) + (
+        f"SELECT model, {even('any_value(b.macro_f1)', 6)} AS macro_f1, {even('quantile_cont(r.macro_f1,0.025)', 6)} AS low, "
+        f"{even('quantile_cont(r.macro_f1,0.975)', 6)} AS high, count(*) AS replicates FROM replicates r JOIN board b USING (model) GROUP BY model"
+    )
+
+    def cuts_of(source: str, by: str) -> str:
+        return " UNION ALL ".join(
+            f"""SELECT {by}, '{c}' AS label, threshold, hits, predicted, support, 2.0*hits/(predicted+support) AS f1 FROM (
+              SELECT {by}, p_{c} AS threshold, CAST(sum(count_if(sentiment='{c}')) OVER above AS BIGINT) AS hits,
+                CAST(sum(count(*)) OVER above AS BIGINT) AS predicted, CAST(sum(count_if(sentiment='{c}')) OVER (PARTITION BY {by}) AS BIGINT) AS support
+              FROM {source} WHERE p_{c} IS NOT NULL GROUP BY {by}, p_{c} WINDOW above AS (PARTITION BY {by} ORDER BY p_{c} DESC))"""
+            for c in LABELS
+        )
+
+    cuts = f"cuts AS MATERIALIZED ({cuts_of('preds', 'model')})"
+    sql["e11_cut_points"] = with_(*rule_ctes(), cuts) + (
+        f"SELECT model, label, {even('threshold', 6)} AS threshold, hits, predicted, support, {even('f1', 6)} AS f1 FROM cuts"
+    )
+    best = "(SELECT *, row_number() OVER (PARTITION BY model, label ORDER BY f1 DESC, threshold DESC) AS place FROM cuts) WHERE place=1"
+    sql["e11_thresholds"] = with_(*rule_ctes(), cuts) + (
+        f"SELECT model, label, {even('threshold', 6)} AS threshold, {even('f1', 6)} AS f1 FROM {best}"
+    )
+    ratio = {c: f"p_{c}/greatest((SELECT threshold FROM best WHERE label='{c}'), 1e-9)" for c in LABELS}
+    decided = f"CASE WHEN r_negative>=r_neutral AND r_negative>=r_positive THEN 'negative' WHEN r_neutral>=r_positive THEN 'neutral' ELSE 'positive' END"
+    # the two fits have tables of the same names, so each is a query of its own
+    fold_cuts = with_(*fold_bayes_ctes(), f"cuts AS MATERIALIZED ({cuts_of('(SELECT 0 AS model, * FROM oof)', 'model')})")
+    sql["e11_tuned_bayes"] = with_(
+        f"best AS MATERIALIZED (SELECT * FROM ({fold_cuts} SELECT label, threshold FROM {best}))",
+        f"held AS MATERIALIZED (SELECT * FROM ({with_(*bayes_ctes())} SELECT * FROM bayes))",
+        f"ratios AS (SELECT *, {', '.join(f'{v} AS r_{c}' for c, v in ratio.items())} FROM held)",
+        "preds AS MATERIALIZED (SELECT 'plain' AS model, row_id, sentiment, prediction, p_negative, p_neutral, p_positive FROM held "
+        f"UNION ALL SELECT 'tuned', row_id, sentiment, {decided}, p_negative, p_neutral, p_positive FROM ratios)",
+        *score_ctes("preds"),
+    ) + f"SELECT model, {even('macro_f1', 6)} AS macro_f1 FROM board"
     return sql

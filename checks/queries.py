@@ -11,6 +11,7 @@ from reviewmill.functions import text as tx
 from reviewmill.functions.labels import month_index
 from reviewmill.functions.numeric import half_even
 from reviewmill.operators import (
+    bootstrap,
     cleaning,
     contract,
     correlation,
@@ -24,6 +25,7 @@ from reviewmill.operators import (
     scaling,
     splitting,
     tfidf,
+    thresholds,
 )
 from reviewmill.plans import baselines, features, reports, validation
 from reviewmill.schema import (
@@ -850,6 +852,41 @@ def _(spark, folder):
     return metrics.off_majority(rule_predictions(spark, folder), "positive", ["model"])
 
 
+@query("e10_bootstrap_replicates")
+def _(spark, folder):
+    counts = bootstrap.bootstrap_counts(rule_predictions(spark, folder), ["model"], replicates=200)
+    return rounded(bootstrap.replicate_scores(counts, ["model"]), 6, "macro_f1")
+
+
+@query("e10_bootstrap_interval")
+def _(spark, folder):
+    interval = bootstrap.macro_f1_interval(rule_predictions(spark, folder), ["model"], replicates=200)
+    return rounded(interval, 6, "macro_f1", "low", "high")
+
+
+@query("e11_cut_points")
+def _(spark, folder):
+    return rounded(thresholds.cut_points(rule_predictions(spark, folder), ["model"]), 6, "threshold", "f1")
+
+
+@query("e11_thresholds")
+def _(spark, folder):
+    cuts = thresholds.cut_points(rule_predictions(spark, folder), ["model"])
+    return rounded(thresholds.best_thresholds(cuts, ["model"]), 6, "threshold", "f1")
+
+
+@query("e11_tuned_bayes")
+def _(spark, folder):
+    """Thresholds from out-of-fold predictions of the training rows, judged on the validation rows."""
+    silver, splits = gold(spark, folder)
+    rows = validation.folded_rows(layers.split_rows(silver, splits, "train"))
+    chosen = validation.tuned_thresholds(validation.cross_validated(rows, [baselines.BAYES]))
+    plain = baselines.train_and_predict(silver, splits, models=[baselines.BAYES])
+    tuned = thresholds.apply_thresholds(plain, chosen[baselines.BAYES]).withColumn("model", F.lit("tuned"))
+    both = plain.withColumn("model", F.lit("plain")).unionByName(tuned)
+    return metrics.confusion_counts(both, ["model"]).select("model", half_even(metrics.macro_f1_of(), 6).alias("macro_f1"))
+
+
 # The flagship: duplicates out, labels on, classes counted.
 def flagship(spark: SparkSession, folder: str) -> DataFrame:
     return profiling.class_balance(cleaning.clean_reviews(reviews(spark, folder)), SENTIMENT)

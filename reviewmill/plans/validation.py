@@ -20,7 +20,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.operators import metrics
+from reviewmill.operators import metrics, thresholds
 from reviewmill.operators.naive_bayes import first_largest, softmax
 from reviewmill.operators.scaling import filled
 from reviewmill.operators.splitting import FOLD, assign_folds
@@ -205,3 +205,15 @@ def cross_validation_summary(scores: DataFrame) -> DataFrame:
     return scores.groupBy("model").agg(
         F.count(F.lit(1)).alias("folds"), F.avg("macro_f1").alias("mean"), F.stddev_pop("macro_f1").alias("sigma")
     )
+
+
+def tuned_thresholds(predictions: DataFrame) -> dict[str, dict[str, float]]:
+    """Decision thresholds of each model, chosen on its out-of-fold predictions; one number per class.
+
+    Apply them with ``thresholds.apply_thresholds`` to rows that the models have not been fitted on.
+    """
+    best = thresholds.best_thresholds(thresholds.cut_points(predictions, ["model"]), ["model"])
+    out: dict[str, dict[str, float]] = {}
+    for r in best.collect():
+        out.setdefault(r["model"], {})[r["label"]] = r["threshold"]
+    return out
