@@ -24,9 +24,11 @@ from reviewmill.operators import (
     quality,
     scaling,
     splitting,
+    svd,
     tfidf,
     thresholds,
 )
+from reviewmill.operators.blockmatrix import block_matrix
 from reviewmill.plans import baselines, features, reports, validation
 from reviewmill.schema import (
     BRANCH,
@@ -736,6 +738,38 @@ def _(spark, folder):
     return rounded(baselines.evaluate(predictions)["leaderboard"], 6, "accuracy", "auc_roc", "macro_f1")
 
 
+@query("m6_all_models")
+def _(spark, folder):
+    """All four baselines and the linear SVC, ranked."""
+    chosen = [baselines.MAJORITY, baselines.TABLE_LOGISTIC, baselines.FOREST, baselines.BAYES, baselines.SVC]
+    predictions = baselines.train_and_predict(*gold(spark, folder), models=chosen, linear={"tolerance": 1e-4})
+    return rounded(baselines.evaluate(predictions)["leaderboard"], 6, "accuracy", "auc_roc", "macro_f1")
+
+
+@query("m2_table_logistic")
+def _(spark, folder):
+    """Coefficients of the numbers and of every term, each with its label."""
+    train, _ = parts(spark, folder)
+    fitted = features.fit_features(train)
+    entries = materialise(fitted.matrix(train), "entries")
+    matrix = block_matrix(entries, row=ROW_ID, column="feature", value="value")
+    return baselines.train_table_logistic(fitted, matrix, train, tolerance=1e-4).table()
+
+
+@query("m9_truncated_svd")
+def _(spark, folder):
+    """Singular values of the TF-IDF matrix of the training rows, and how well each pair of vectors fits."""
+    train, _ = parts(spark, folder)
+    entries = materialise(tfidf.fit_tfidf(train).transform(train), "text-entries")
+    matrix = block_matrix(entries, row=ROW_ID, column="term", value="weight")
+    return svd.fit_svd(matrix, 50).checks()
+
+
+@query("m9_svd_forest")
+def _(spark, folder):
+    return model_scores(spark, folder, baselines.SVD_FOREST)
+
+
 # --- cross-validation --------------------------------------------------------------------------------
 
 

@@ -1,15 +1,25 @@
-"""Four baseline classifiers, trained on one split and scored on another."""
+"""Baseline classifiers, trained on one split and scored on another.
+
+Four are the plain baselines. Three more are the ones named next to them: logistic regression and a
+linear SVC with coefficients as a table, which need no vocabulary on the driver, and a random forest on
+the leading singular vectors of the text instead of its terms.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.operators import metrics
+from reviewmill.operators.blockmatrix import BlockMatrix, block_matrix
+from reviewmill.operators.linear import LinearModel, Logistic, SquaredHinge, fit_linear
+from reviewmill.operators.naive_bayes import first_largest, softmax
+from reviewmill.operators.scaling import filled
+from reviewmill.operators.svd import fit_svd
 from reviewmill.plans.features import (
     FeatureModel,
     Vectoriser,
@@ -18,7 +28,7 @@ from reviewmill.plans.features import (
     fit_unit_range,
     prepared_rows,
 )
-from reviewmill.schema import LABELS, ROW_ID, SEED, SENTIMENT
+from reviewmill.schema import LABELS, NUMERIC_FEATURES, ROW_ID, SEED, SENTIMENT
 from reviewmill.sources.layers import split_rows
 from reviewmill.sources.workspace import materialise, spread_small_scan
 
@@ -27,10 +37,16 @@ LOGISTIC = "Logistic regression"
 FOREST = "Random forest"
 BAYES = "Multinomial naive Bayes"
 MODELS = (MAJORITY, LOGISTIC, FOREST, BAYES)
+TABLE_LOGISTIC = "Logistic regression (table)"
+SVC = "Linear SVC"
+SVD_FOREST = "Random forest on SVD"
+ALL_MODELS = (*MODELS, TABLE_LOGISTIC, SVC, SVD_FOREST)
 
 # Model settings. Spark's trees are at most 30 deep.
 LOGISTIC_C, LOGISTIC_ITERATIONS, LOGISTIC_TOLERANCE = 1.0, 1000, 1e-4
 FOREST_TREES, FOREST_DEPTH = 400, 30
+SVC_C = 1.0
+SVD_COMPONENTS = 300
 
 PREDICTION_COLUMNS = ("model", ROW_ID, SENTIMENT, "prediction", "probability")
 
@@ -121,6 +137,60 @@ def forest_predictions(vectoriser: Vectoriser, vectors: DataFrame, rows: DataFra
     return _labelled(model.transform(vectoriser.transform(rows)), FOREST)
 
 
+def feature_blocks(features: FeatureModel, train: DataFrame, rows: DataFrame) -> tuple[BlockMatrix, BlockMatrix]:
+    """The feature matrices of training and scored rows in blocks over the same columns."""
+    entries = [materialise(features.matrix(part), "entries") for part in (train, rows)]
+    names = {"row": ROW_ID, "column": "feature", "value": "value"}
+    fitted = block_matrix(entries[0], **names)
+    return fitted, block_matrix(entries[1], **names, columns=fitted.columns)
+
+
+def train_table_logistic(features: FeatureModel, matrix: BlockMatrix, train: DataFrame, **options) -> LinearModel:
+    """The objective of ``train_logistic``, with coefficients as a table."""
+    weighted = train.select(ROW_ID, SENTIMENT, features.weight_of(F.col(SENTIMENT)).alias("weight"))
+    return fit_linear(matrix, weighted, Logistic, penalty=1.0 / (LOGISTIC_C * features.tfidf.documents), **options)
+
+
+def train_svc(features: FeatureModel, matrix: BlockMatrix, train: DataFrame, **options) -> LinearModel:
+    """One squared-hinge classifier for each class against the rest, balanced class weights, ``C = 1``; the
+    intercept is penalised like a coefficient."""
+    weighted = train.select(ROW_ID, SENTIMENT, features.weight_of(F.col(SENTIMENT)).alias("weight"))
+    penalty = 1.0 / (SVC_C * features.tfidf.documents)
+    return fit_linear(matrix, weighted, SquaredHinge, penalty=penalty, penalise_intercept=True, **options)
+
+
+def linear_predictions(model: LinearModel, matrix: BlockMatrix, rows: DataFrame, name: str, *, chances: bool) -> DataFrame:
+    """Class of the largest margin; probabilities only where the model has them."""
+    scored = rows.select(ROW_ID, SENTIMENT).join(model.margins(matrix), ROW_ID)
+    probability = softmax(F.col("vector")) if chances else F.lit(None).cast("array<double>")
+    return scored.select(
+        F.lit(name).alias("model"), ROW_ID, SENTIMENT, first_largest(F.col("vector"), model.labels).alias("prediction"), probability.alias("probability")
+    )
+
+
+def svd_forest_predictions(
+    features: FeatureModel, train: DataFrame, rows: DataFrame, *, components: int = SVD_COMPONENTS, svd: dict | None = None, **options
+) -> DataFrame:
+    """A forest on ``components`` coordinates of the text and the numbers: short dense rows, so no bin per
+    term and no vocabulary on the driver. A row without a known term has coordinates of zero."""
+    entries = [materialise(features.tfidf.transform(part), "text-entries") for part in (train, rows)]
+    names = {"row": ROW_ID, "column": "term", "value": "weight"}
+    fitted = block_matrix(entries[0], **names)
+    reduced = fit_svd(fitted, components, **(svd or {}))
+    zero = F.array_repeat(F.lit(0.0), reduced.size)
+
+    def vectors(part: DataFrame, matrix: BlockMatrix) -> DataFrame:
+        numbers = F.array(*[filled(c) for c in NUMERIC_FEATURES])
+        both = features.scaler.transform(part).join(reduced.project(matrix), ROW_ID, "left")
+        dense = array_to_vector(F.concat(F.coalesce("vector", zero), numbers)).alias("features")
+        return materialise(both.select(ROW_ID, SENTIMENT, dense), "dense-rows")
+
+    trained = _training_rows(vectors(train, fitted), features)
+    model = train_forest(materialise(trained, "dense-training"), **options)
+    held = vectors(rows, block_matrix(entries[1], **names, columns=fitted.columns))
+    return _labelled(model.transform(held), SVD_FOREST)
+
+
 def bayes_predictions(features: FeatureModel, train: DataFrame, rows: DataFrame) -> DataFrame:
     unit_range = fit_unit_range(features, train)
     scored = fit_bayes(unit_range, train).score(unit_range.numbers(rows))
@@ -136,10 +206,12 @@ def fit_and_score(
     hashed_terms: int | None = None,
     forest: dict | None = None,
     logistic: dict | None = None,
+    svd_forest: dict | None = None,
+    linear: dict | None = None,
 ) -> DataFrame:
     """Fit the chosen models on prepared rows and score others; pass written tables.
 
-    ``forest`` and ``logistic`` hold options of the two, such as ``{"trees": 50}``.
+    ``forest``, ``logistic``, ``svd_forest`` and ``linear`` hold options, such as ``{"trees": 50}``.
     """
     parts = []
     if MAJORITY in models:
@@ -155,6 +227,16 @@ def fit_and_score(
             parts.append(forest_predictions(vectoriser, vectors, rows, **(forest or {})))
         if BAYES in models:
             parts.append(bayes_predictions(features, train, rows))
+        if TABLE_LOGISTIC in models or SVC in models:
+            fitted, held = feature_blocks(features, train, rows)
+        if TABLE_LOGISTIC in models:
+            model = train_table_logistic(features, fitted, train, **(linear or {}))
+            parts.append(linear_predictions(model, held, rows, TABLE_LOGISTIC, chances=True))
+        if SVC in models:
+            model = train_svc(features, fitted, train, **(linear or {}))
+            parts.append(linear_predictions(model, held, rows, SVC, chances=False))
+        if SVD_FOREST in models:
+            parts.append(svd_forest_predictions(features, train, rows, **(svd_forest or {})))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -169,6 +251,7 @@ def train_and_predict(
     models: Sequence[str] = MODELS,
     min_df: int = 1,
     hashed_terms: int | None = None,
+    **options,
 ) -> DataFrame:
     """Predictions of the chosen models for one split, as a written table.
 
@@ -180,7 +263,7 @@ def train_and_predict(
         raise ValueError("models are scored on 'validation' or 'test'")
     train = spread_small_scan(materialise(prepared_rows(split_rows(silver, splits, "train")), "train"), ROW_ID)
     rows = spread_small_scan(materialise(prepared_rows(split_rows(silver, splits, split)), split), ROW_ID)
-    return materialise(fit_and_score(train, rows, models=models, min_df=min_df, hashed_terms=hashed_terms), "predictions")
+    return materialise(fit_and_score(train, rows, models=models, min_df=min_df, hashed_terms=hashed_terms, **options), "predictions")
 
 
 def evaluate(predictions: DataFrame) -> dict[str, DataFrame]:

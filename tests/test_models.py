@@ -9,6 +9,7 @@ from reviewmill.operators import scaling, tfidf
 from reviewmill.plans import baselines, features
 from reviewmill.schema import LABELS, NUMERIC_FEATURES, RATING, ROW_ID, SENTIMENT, TEXT
 from reviewmill.operators.cleaning import add_sentiment
+from reviewmill.sources.workspace import materialise
 
 WORDS = {1: "awful dirty queue", 3: "average fine okay", 5: "great magic lovely"}
 
@@ -163,6 +164,21 @@ def test_classifiers_learn_and_beat_the_majority(spark, make_reviews):
         baselines.train_and_predict(silver, splits, "train")
 
 
+def test_table_models_and_the_reduced_forest_learn(make_reviews):
+    silver = corpus(make_reviews, 96)
+    train, rows = (materialise(features.prepared_rows(silver.where(c)), "part") for c in (F.col(ROW_ID) % 12 < 8, F.col(ROW_ID) % 12 >= 8))
+    chosen = [baselines.MAJORITY, baselines.LOGISTIC, baselines.TABLE_LOGISTIC, baselines.SVC, baselines.SVD_FOREST]
+    options = {"svd_forest": {"components": 6, "trees": 20, "depth": 6}, "linear": {"tolerance": 1e-4}}
+    predictions = materialise(baselines.fit_and_score(train, rows, models=chosen, **options), "predictions")
+    assert {r["model"]: r["count"] for r in predictions.groupBy("model").count().collect()} == {m: 32 for m in chosen}
+    board = {r["model"]: r for r in baselines.evaluate(predictions)["leaderboard"].collect()}
+    for name in chosen[1:]:
+        assert board[name]["macro_f1"] > board[baselines.MAJORITY]["macro_f1"] + 0.4
+    assert board[baselines.SVC]["auc_roc"] is None and board[baselines.TABLE_LOGISTIC]["auc_roc"] > 0.9
+    both = predictions.where(F.col("model").isin(baselines.LOGISTIC, baselines.TABLE_LOGISTIC)).groupBy(ROW_ID).agg(F.collect_set("prediction").alias("p"))
+    assert both.where(F.size("p") > 1).count() == 0
+
+
 def test_majority_tie_goes_to_the_lesser_label(spark):
     df = spark.createDataFrame([("positive",), ("neutral",), (None,), (None,)], "sentiment string")
     assert baselines.majority_class(df).first()["prediction"] == "neutral"
