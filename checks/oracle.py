@@ -593,6 +593,13 @@ def oracle() -> dict[str, str]:
         "SELECT row_id, Review_ID, Year_Month, silver.sentiment, split AS part FROM silver JOIN splits USING (row_id)"
     )
 
+    sql["l3_temporal_split"] = CLEAN + """, months AS (
+      SELECT row_id, Review_ID, period, sentiment, CAST(coalesce(period,
+        (SELECT arg_max(o.period, (o.Review_ID, o.period)) FROM silver o WHERE o.period IS NOT NULL AND o.Review_ID < s.Review_ID),
+        (SELECT min(period) FROM silver)) AS DATE) AS order_month FROM silver s)
+      SELECT row_id, Review_ID, period, sentiment, order_month, CASE WHEN rn <= floor(n*0.7+0.5) THEN 'train' WHEN rn <= floor(n*0.85+0.5) THEN 'validation' ELSE 'test' END AS split
+      FROM (SELECT *, row_number() OVER (ORDER BY order_month, Review_ID, row_id) AS rn, count(*) OVER () AS n FROM months)"""
+
     # learned features
     fitted = with_(*feature_ctes())
     held = "split='validation'"

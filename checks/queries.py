@@ -25,6 +25,7 @@ from reviewmill.operators import (
     scaling,
     splitting,
     svd,
+    temporal,
     tfidf,
     thresholds,
 )
@@ -577,6 +578,12 @@ def _(spark, folder):
     return splitting.assign_splits(silver_keys(spark, folder))
 
 
+@query("l3_temporal_split")
+def _(spark, folder):
+    rows = cleaning.clean_reviews(reviews(spark, folder)).select(ROW_ID, REVIEW_ID, PERIOD, SENTIMENT)
+    return temporal.temporal_split(materialise(rows, "silver-order"))
+
+
 @query("l2_features_and_target")
 def _(spark, folder):
     silver, splits = gold(spark, folder)
