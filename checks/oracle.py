@@ -19,10 +19,11 @@ from reviewmill.operators.bootstrap import STEPS
 from reviewmill.operators.quality import ACTIONS
 from reviewmill.schema import LABELS, NUMERIC_FEATURES, REVIEW_COLUMNS
 from reviewmill.plans.reports import RANGE_METRICS
+from reviewmill.sources.driver_tables import ODDITIES
 
 TEXT_COLUMNS = ("Year_Month", "Reviewer_Location", "Review_Text", "Branch")
 
-REVIEWS = """reviews AS (
+PLAIN_REVIEWS = """reviews AS (
   SELECT r.doc_id*2 + r.copy AS row_id, r.doc_id AS Review_ID,
     CAST(CASE WHEN lang='en' THEN CASE WHEN doc_id % 3 = 0 THEN 4 ELSE 5 END
          WHEN lang='es' THEN CASE WHEN doc_id % 2 = 0 THEN 1 ELSE 2 END
@@ -35,6 +36,23 @@ REVIEWS = """reviews AS (
   FROM (SELECT *, 0 AS copy FROM documents
         UNION ALL SELECT *, 1 AS copy FROM documents WHERE doc_id % 50 = 0) r)"""
 
+
+
+def _odd(name: str) -> str:
+    """The column of an odd row."""
+    cases = " ".join(
+        f"WHEN {kind} THEN " + ("NULL" if value is None else str(value) if isinstance(value, int) else "'" + value + "'")
+        for kind, (column, value) in enumerate(ODDITIES)
+        if column == name
+    )
+    return f"CASE CAST(floor(Review_ID/40) AS INTEGER) % {len(ODDITIES)} {cases} ELSE {name} END AS {name}" if cases else name
+
+
+REVIEWS = PLAIN_REVIEWS.replace("reviews AS (", "plain_reviews AS (", 1) + f""",
+reviews AS (SELECT * FROM plain_reviews UNION ALL
+  SELECT -1 - Review_ID AS row_id, {", ".join(_odd(c) for c in REVIEW_COLUMNS)} FROM plain_reviews
+  WHERE Review_ID % 40 = 7 AND row_id % 2 = 0)"""
+
 THREE_CLASS = "CASE WHEN Rating IN (1,2) THEN 'negative' WHEN Rating=3 THEN 'neutral' WHEN Rating IN (4,5) THEN 'positive' END"
 BINARY = "CASE WHEN Rating IN (1,2,3) THEN 'negative' WHEN Rating IN (4,5) THEN 'positive' END"
 MONTH = "CAST(CASE WHEN regexp_full_match(Year_Month,'[0-9]{4}-[0-9]{1,2}') THEN try_strptime(Year_Month,'%Y-%m') END AS DATE)"
@@ -73,13 +91,13 @@ def text_metrics(source: str, keep: str = "*") -> str:
       SELECT *, CAST(len(lex) AS INTEGER) AS n_tokens, CAST(len(list_distinct(lex)) AS INTEGER) AS n_unique_words FROM (
         SELECT {keep}, CAST(length({t}) AS INTEGER) AS n_chars,
           CAST(len(regexp_extract_all({t},'\\S+')) AS INTEGER) AS n_words,
-          CAST(greatest(len(regexp_extract_all({t},'[.!?]+(?:\\s|$)')),1) AS INTEGER) AS n_sentences,
-          regexp_extract_all(lower({t}),'[a-z'']+') AS lex,
+          CASE WHEN {t} IS NOT NULL THEN CAST(greatest(len(regexp_extract_all({t},'[.!?]+(?:\\s|$)')),1) AS INTEGER) END AS n_sentences,
+          coalesce(regexp_extract_all(lower({t}),'[a-z'']+'),[]) AS lex,
           CAST(len(regexp_extract_all({t},'[A-Z]')) AS INTEGER) AS n_upper,
           CAST(len(regexp_extract_all({t},'!')) AS INTEGER) AS n_exclaim,
           CAST(len(regexp_extract_all({t},'\\?')) AS INTEGER) AS n_question,
-          regexp_matches({t},'(?i)https?://|www\\.') AS has_url,
-          regexp_matches({t},'[\\x{{1F300}}-\\x{{1F9FF}}\\x{{2600}}-\\x{{27BF}}\\x{{1FA70}}-\\x{{1FAFF}}]') AS has_emoji
+          coalesce(regexp_matches({t},'(?i)https?://|www\\.'),false) AS has_url,
+          coalesce(regexp_matches({t},'[\\x{{1F300}}-\\x{{1F9FF}}\\x{{2600}}-\\x{{27BF}}\\x{{1FA70}}-\\x{{1FAFF}}]'),false) AS has_emoji
         FROM {source})))"""
 
 
@@ -336,11 +354,11 @@ def rule_ctes() -> list[str]:
               CASE WHEN a>=b AND a>=c THEN 'negative' WHEN b>=c THEN 'neutral' ELSE 'positive' END AS prediction,
               CAST(a AS DOUBLE)/CAST(a+b+c AS DOUBLE) AS p_negative, CAST(b AS DOUBLE)/CAST(a+b+c AS DOUBLE) AS p_neutral,
               CAST(c AS DOUBLE)/CAST(a+b+c AS DOUBLE) AS p_positive
-            FROM (SELECT row_id, sentiment, {a} AS a, {b} AS b, {c} AS c FROM analysed)"""
+            FROM (SELECT row_id, sentiment, {a} AS a, {b} AS b, {c} AS c FROM analysed WHERE Review_Text IS NOT NULL AND sentiment IS NOT NULL)"""
         )
     parts.append(
         "SELECT 'always positive' AS model, row_id, sentiment, 'positive' AS prediction, "
-        "CAST(NULL AS DOUBLE) AS p_negative, CAST(NULL AS DOUBLE) AS p_neutral, CAST(NULL AS DOUBLE) AS p_positive FROM analysed"
+        "CAST(NULL AS DOUBLE) AS p_negative, CAST(NULL AS DOUBLE) AS p_neutral, CAST(NULL AS DOUBLE) AS p_positive FROM analysed WHERE Review_Text IS NOT NULL AND sentiment IS NOT NULL"
     )
     return [REVIEWS, LABELLED, ANALYSED, "preds AS MATERIALIZED (" + " UNION ALL ".join(parts) + ")", *score_ctes("preds")]
 
@@ -349,7 +367,7 @@ def oracle() -> dict[str, str]:
     sql: dict[str, str] = {}
 
     # scans and layers
-    sql["s1_scan_csv"] = sql["s11_export_overwrite"] = RAW + f"SELECT {SIX} FROM reviews"
+    sql["s1_scan_csv"] = sql["s11_export_overwrite"] = with_(PLAIN_REVIEWS) + f"SELECT {SIX} FROM reviews"
     sql["s3_contract"] = RAW + (
         "SELECT count(Rating) AS rated, CAST(count_if(Rating NOT BETWEEN 1 AND 5) AS BIGINT) AS violations, "
         "min(Rating) AS lowest, max(Rating) AS highest FROM reviews"
@@ -393,7 +411,7 @@ def oracle() -> dict[str, str]:
     for key, metric in METRIC_IDS.items():
         sql[f"{key}_{metric}"] = MET + f"SELECT row_id, {metric} FROM analysed"
     sql["t_all_text_metrics"] = MET + "SELECT row_id, " + ", ".join(METRIC_IDS.values()) + " FROM analysed"
-    sql["t14_non_ascii"] = RAW + "SELECT row_id, regexp_matches(Review_Text,'[^\\x00-\\x7F]') AS non_ascii FROM reviews"
+    sql["t14_non_ascii"] = RAW + "SELECT row_id, coalesce(regexp_matches(Review_Text,'[^\\x00-\\x7F]'),false) AS non_ascii FROM reviews"
     sql["t15_model_text"] = RAW + f"SELECT row_id, {MODEL_TEXT} AS normalised FROM reviews"
     sql["t16_frequency_text"] = RAW + f"SELECT row_id, {FREQUENCY_TEXT} AS normalised FROM reviews"
     sql["t17_model_tokens"] = RAW + (
@@ -440,7 +458,7 @@ def oracle() -> dict[str, str]:
         "SELECT 'rating', CAST(Rating AS VARCHAR), CAST(count(*) AS DOUBLE) FROM reviews WHERE Rating IS NOT NULL GROUP BY Rating",
         "SELECT 'branch', Branch, CAST(count(*) AS DOUBLE) FROM reviews WHERE Branch IS NOT NULL GROUP BY Branch",
         f"SELECT 'majority share', '', {even('(SELECT max(n) FROM (SELECT count(*) AS n FROM reviews WHERE Rating IS NOT NULL GROUP BY Rating))/CAST(count(*) AS DOUBLE)', 6)} FROM reviews",
-        *[f"SELECT 'duplicates', '{c}', CAST(count(*)-count(DISTINCT {c}) AS DOUBLE) FROM reviews" for c in ("Review_ID", "Review_Text")],
+        *[f"SELECT 'duplicates', '{c}', CAST(count(*)-(SELECT count(*) FROM (SELECT DISTINCT {c} FROM reviews)) AS DOUBLE) FROM reviews" for c in ("Review_ID", "Review_Text")],
     ]
     sql["p17_corpus_summary"] = RAW + "\nUNION ALL\n".join(summary)
     sql["p18_describe_numbers"] = describe(RAW, "reviews", ["Review_ID", "Rating"])
@@ -544,14 +562,14 @@ def oracle() -> dict[str, str]:
         "SELECT count(period) AS parseable, CAST(count_if(period IS NULL) AS BIGINT) AS unparseable, min(period) AS first_period, max(period) AS last_period FROM labelled"
     )
     sql["g9_length_histogram"] = MET.rstrip() + f""",
-      clipped AS (SELECT CAST(least(n_words,600) AS DOUBLE) AS v FROM analysed),
+      clipped AS (SELECT CAST(least(n_words,600) AS DOUBLE) AS v FROM analysed WHERE n_words IS NOT NULL),
       edges AS (SELECT min(v) AS lo, max(v) AS hi FROM clipped),
       counts AS (SELECT least(CAST(floor((v-lo)*60.0/(hi-lo)) AS INT)+1,60) AS bin, count(*) AS n FROM clipped, edges GROUP BY 1)
       SELECT CAST(b AS INTEGER) AS bin, {even('lo+(b-1)*(hi-lo)/60.0', 6)} AS lower, {even('lo+b*(hi-lo)/60.0', 6)} AS upper, coalesce(n,0) AS n,
         CAST((SELECT median(n_words) FROM analysed) AS DOUBLE) AS median
       FROM (SELECT unnest(range(1,61)) AS b) CROSS JOIN edges LEFT JOIN counts ON counts.bin=b"""
     sql["g10_length_boxes"] = MET.rstrip() + """,
-      q AS (SELECT Rating, count(*) AS n, quantile_cont(n_words,0.25) AS q1, CAST(median(n_words) AS DOUBLE) AS median, quantile_cont(n_words,0.75) AS q3
+      q AS (SELECT Rating, count(n_words) AS n, quantile_cont(n_words,0.25) AS q1, CAST(median(n_words) AS DOUBLE) AS median, quantile_cont(n_words,0.75) AS q3
             FROM analysed WHERE Rating IS NOT NULL GROUP BY Rating)
       SELECT q.Rating, q.n, CAST(least(min(CASE WHEN n_words >= q1-1.5*(q3-q1) THEN n_words END), any_value(q1)) AS DOUBLE) AS whisker_low,
         any_value(q1) AS q1, any_value(q.median) AS median, any_value(q3) AS q3,
@@ -615,11 +633,7 @@ def oracle() -> dict[str, str]:
         f"SELECT sentiment, count(*) AS n, {even('(SELECT count(*) FROM splits WHERE split=$$train$$)/((SELECT count(DISTINCT sentiment) FROM splits WHERE split=$$train$$)*CAST(count(*) AS DOUBLE))', 6)} AS weight "
         "FROM splits WHERE split='train' GROUP BY sentiment"
     )
-    sql["f6_feature_vectors"] = fitted + (
-        "SELECT s.row_id, s.sentiment, (SELECT count(*) FROM vocabulary) + " + str(len(NUMERIC_LIST)) + " AS width, "
-        "coalesce(w.n,0) + " + " + ".join(f"CAST({c}<>0 AS BIGINT)" for c in NUMERIC_LIST) + " AS stored "
-        f"FROM standard s LEFT JOIN (SELECT row_id, count(*) AS n FROM weights GROUP BY 1) w USING (row_id) WHERE {held}"
-    )
+    sql["f6_feature_vectors"] = f"SELECT * FROM ({sql['f4_feature_matrix']}) WHERE value <> 0"
     unit = with_(*unit_range_ctes())
     sql["f7_max_abs"] = unit + (
         f"SELECT row_id, term, {even('weight/scale', 6)} AS weight FROM weights JOIN scales USING (term) WHERE {held}"

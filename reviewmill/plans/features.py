@@ -133,6 +133,19 @@ class Vectoriser:
         return out.select(ROW_ID, SENTIMENT, vector)
 
 
+def vector_entries(vectors: DataFrame, vectoriser: Vectoriser) -> DataFrame:
+    """``(row_id, feature, value)`` of the stored entries of sparse or dense vectors.
+
+    The vector is taken apart as it is, without filling its gaps, and its places are named by a join.
+    """
+    parts = F.unwrap_udt("features")
+    place = F.coalesce(parts["indices"], F.sequence(F.lit(0), F.size(parts["values"]) - 1))
+    cells = vectors.select(ROW_ID, F.inline(F.arrays_zip(place.alias("place"), parts["values"].alias("value"))).alias("place", "value"))
+    names = [f"term:{t}" for t in vectoriser.terms] + [f"number:{c}" for c in NUMERIC_FEATURES]
+    places = vectors.sparkSession.createDataFrame(list(enumerate(names)), "place int, feature string")
+    return cells.where("value <> 0").join(places, "place").select(ROW_ID, "feature", "value")
+
+
 def fit_features(train: DataFrame, *, min_df: int = 1) -> FeatureModel:
     """Learn vocabulary, numeric scale and class weights from the training rows."""
     rows = prepared_rows(train)
