@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -35,15 +37,35 @@ def same_row(left: DataFrame, right: DataFrame) -> Column:
     return (left["row_hash"] == right["row_hash"]) & left["doc_id"].eqNullSafe(right["doc_id"])
 
 
+#: what an Arrow batch holds at most: texts are long, and a worker holds a batch several times over
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": str(BATCH_ROWS), "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Bound the session's Arrow batches, in the executors' Java memory and in their Python workers."""
+    for key, value in BATCHES.items():
+        if spark.conf.get(key, None) != value:
+            spark.conf.set(key, value)
+
+
+def give_back() -> None:
+    """Return what a finished task has freed; idle workers are kept, and would hold it."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library has its own ways
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def by_batch(
     df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType
 ) -> DataFrame:
     """``mapInArrow`` for a function of one batch, which gets ``BATCH_ROWS`` rows at most."""
+    small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH_ROWS):
                 yield from function(batch.slice(start, BATCH_ROWS))
+        give_back()
 
     return df.mapInArrow(run, schema)
 
@@ -73,6 +95,10 @@ def join_texts(texts: DataFrame, extra: DataFrame, how: str) -> DataFrame:
     return packed.join(extra, same_row(packed, extra), how).select(packed["doc_id"], packed["row_hash"], "packed", *kept)
 
 
-def with_row_hash(docs: DataFrame, name: str) -> DataFrame:
-    """All columns and the hash of ``keyed_texts`` under another name."""
-    return docs.select("*", F.xxhash64(docs["doc_id"].cast("long"), docs["text"].cast("string")).alias(name))
+def held_rows(docs: DataFrame) -> DataFrame:
+    """All columns as ``c0, c1, ...`` and the key of ``keyed_texts`` as ``held_id, held_hash``, so that no
+    name of the table can clash; ``toDF(*docs.columns)`` gives the names back."""
+    held = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    doc_id, text = (F.col(f"c{docs.columns.index(name)}") for name in ("doc_id", "text"))
+    key = doc_id.cast("long")
+    return held.select("*", key.alias("held_id"), F.xxhash64(key, text.cast("string")).alias("held_hash"))

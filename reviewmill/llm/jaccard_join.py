@@ -19,12 +19,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from reviewmill.llm import kernels
 from reviewmill.llm.components import connected_components
-from reviewmill.llm.frames import by_batch, join_texts, keyed_texts, unpack, with_row_hash
+from reviewmill.llm.frames import by_batch, held_rows, join_texts, keyed_texts, unpack
 from reviewmill.sources.workspace import materialise
 
 NGRAM = 5
@@ -242,13 +242,17 @@ def near_duplicates(
 
 
 def one_of_each_group(docs: DataFrame, **options) -> DataFrame:
-    """The row with the least id of every near-duplicate group, with all its columns.
+    """The row with the least id of every near-duplicate group, with all its columns, whatever their names.
 
-    Texts without n-grams are similar to nothing and stay, repeated rows of them once.
+    Texts without n-grams are similar to nothing and stay, repeated rows of them once. Of rows with equal id
+    and text the one with the least hash of all columns stays.
     """
     found = near_duplicates(docs, **options)
     first = found.groupBy("near_group").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "row_hash")).alias("r")).select("r.*")
     kept = first.select(F.col("doc_id").alias("kept_id"), F.col("row_hash").alias("kept_hash"))
-    rows = with_row_hash(docs, "own_hash")
-    same = (rows["own_hash"] == kept["kept_hash"]) & rows["doc_id"].cast("long").eqNullSafe(kept["kept_id"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "own_hash"]).select(*docs.columns)
+    rows = held_rows(docs)
+    same = (rows["held_hash"] == kept["kept_hash"]) & rows["held_id"].eqNullSafe(kept["kept_id"])
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    turn = F.row_number().over(Window.partitionBy("held_id", "held_hash").orderBy(F.xxhash64(*names)))
+    single = rows.join(kept, same, "left_semi").withColumn("turn", turn).where(F.col("turn") == 1)
+    return single.select(*names).toDF(*docs.columns)

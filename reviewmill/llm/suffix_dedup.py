@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from reviewmill.llm import bwt, kernels
-from reviewmill.llm.frames import by_batch, join_texts, keyed_texts, unpack, with_row_hash
+from reviewmill.llm.frames import by_batch, held_rows, join_texts, keyed_texts, unpack
 from reviewmill.sources.workspace import materialise
 
 MINIMUM = 400
@@ -409,14 +409,16 @@ def remove_repeats(docs: DataFrame, minimum: int = MINIMUM, gram: int = GRAM) ->
 def shortened_documents(docs: DataFrame, minimum: int = MINIMUM, gram: int = GRAM) -> DataFrame:
     """All rows and columns, with the remaining text in place of the text.
 
-    A character of several bytes that a span cuts through is dropped whole; a null text stays null.
+    A character of several bytes that a span cuts through is dropped whole; a null text stays null. Other
+    columns may have any names.
     """
-    rows, spans = with_row_hash(docs, "own_hash"), repeated_spans(docs, minimum, gram)
+    rows, spans = held_rows(docs), repeated_spans(docs, minimum, gram)
     spans = spans.select(F.col("doc_id").alias("span_id"), F.col("row_hash").alias("span_hash"), "spans")
-    same = (rows["own_hash"] == spans["span_hash"]) & rows["doc_id"].cast("long").eqNullSafe(spans["span_id"])
-    joined = rows.join(spans, same, "left").select(*[rows[c] for c in docs.columns], "spans")
-    names, schema = docs.columns, docs.schema
-    place = names.index("text")
+    same = (rows["held_hash"] == spans["span_hash"]) & rows["held_id"].eqNullSafe(spans["span_id"])
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    joined = rows.join(spans, same, "left").select(*names, "spans")
+    schema = joined.drop("spans").schema
+    place = docs.columns.index("text")
 
     def shorten(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         texts = batch.column(place).to_pylist()
@@ -427,4 +429,4 @@ def shortened_documents(docs: DataFrame, minimum: int = MINIMUM, gram: int = GRA
         columns[place] = pa.array(texts, pa.string())
         yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return by_batch(joined, shorten, schema)
+    return by_batch(joined, shorten, schema).toDF(*docs.columns)

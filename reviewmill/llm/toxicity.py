@@ -266,4 +266,5 @@ def without_toxic(docs: DataFrame, model: Model) -> DataFrame:
     def keep(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.filter(pa.array(~model.rejected(model.scores(batch.column(place)))))
 
-    return by_batch(docs, keep, docs.schema)
+    held = docs.toDF(*[f"c{i}" for i in range(len(docs.columns))])
+    return by_batch(held, keep, held.schema).toDF(*docs.columns)

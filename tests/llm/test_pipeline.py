@@ -105,3 +105,37 @@ def test_ids(stages):
 def test_run(spark, folder, stages):
     want = Counter((r["doc_id"], tuple(r["ids"])) for r in stages[5].collect())
     assert Counter((r["doc_id"], tuple(r["ids"])) for r in corpus_pipeline.run(spark, folder).collect()) == want
+
+
+def applied(spark, docs, folder, tmp_path_factory):
+    """Every stage on what the stage before kept, as tables that are written and read again."""
+    out = [docs]
+    for _, stage in corpus_pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("odd") / "part")
+        stage(spark, out[-1], folder).write.parquet(path)
+        out.append(spark.read.parquet(path))
+    return out
+
+
+def test_clashing_names_repeated_rows_and_a_very_long_text(spark, folder, tmp_path_factory):
+    rnd = random.Random(9)
+    long = " ".join(f"w{rnd.randrange(10**6)}" for _ in range(150_000))  # more than a megabyte
+    rows = [(i, " ".join(f"v{rnd.randrange(10**5)}" for _ in range(40)), "en", f"s{i % 2}", 0, "T", 5, b"h", 1) for i in range(40)]
+    rows += [(900, long, "en", "s1", 0, "T", 5, b"h", 1), rows[3], rows[3], (3, rows[3][1], "en", "other", 0, "T", 5, b"h", 1)]
+    rows += [(901, None, None, None, None, None, None, None, None), (902, "", "en", "s1", 0, "T", 5, b"h", 1), (902, "", "en", "s1", 0, "T", 5, b"h", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, Text string, doc_ID int, own_hash binary, spans int"
+    clean, single, short, mixed, encoded = applied(spark, spark.createDataFrame(rows, schema).repartition(3), folder, tmp_path_factory)[1:]
+    for df in (clean, single, short):
+        assert df.columns == list(corpus_pipeline.COLUMNS)
+    assert clean.count() == len(rows)
+    ids = sorted(r["doc_id"] for r in single.collect())
+    assert ids == [*range(40), 900, 901, 902]
+    assert texts(short)[900] == long and texts(short)[901] is None
+    taken = {r["doc_id"] for r in mixed.collect()}
+    assert 901 not in taken and 902 not in taken and 900 in taken
+    assert encoded.where("round_trip").count() == mixed.count()
+
+
+def test_empty_table(spark, folder, tmp_path_factory):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").where("doc_id < 0")
+    assert [df.count() for df in applied(spark, docs, folder, tmp_path_factory)] == [0] * 6
