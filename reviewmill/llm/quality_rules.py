@@ -94,17 +94,22 @@ def trusted_ids(labels: DataFrame) -> DataFrame:
     return good.where("q = 1").select("doc_id")
 
 
+def bucket_counts(texts: DataFrame, buckets: int) -> list[int]:
+    """How often each bucket occurs; ``buckets`` numbers, however large the corpus."""
+    grams = texts.select(text_words(F.col("text")).alias("words"))
+    counted = grams.select(F.explode(gram_buckets("words", buckets)).alias("bucket")).groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    found = {r["bucket"]: r["n"] for r in counted.collect()}
+    return [found.get(b, 0) for b in range(buckets)]
+
+
 def weights(rows: DataFrame, trusted: DataFrame, buckets: int = BUCKETS, smoothing: float = SMOOTHING) -> list[float]:
-    """``log p_trusted - log p_raw`` of each bucket; ``buckets`` numbers, however large the corpus."""
-    chosen = trusted.withColumn("trusted", F.lit(1))
-    named = rows.where("doc_id is not null").select("doc_id", "text").join(chosen, "doc_id", "left")
-    nameless = rows.where("doc_id is null").select("doc_id", "text", F.lit(None).cast("int").alias("trusted"))
-    grams = named.unionByName(nameless).select("trusted", text_words(F.col("text")).alias("words"))
-    grams = grams.select("trusted", F.explode(gram_buckets("words", buckets)).alias("bucket"))
-    counted = grams.groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"), F.count("trusted").alias("target"))
-    found = {r["bucket"]: (r["raw"], r["target"]) for r in counted.collect()}
-    raw = [found.get(b, (0, 0))[0] + smoothing for b in range(buckets)]
-    target = [found.get(b, (0, 0))[1] + smoothing for b in range(buckets)]
+    """``log p_trusted - log p_raw`` of each bucket.
+
+    All texts are counted where they are scanned. Those of trusted documents are joined with their ids
+    by merging, at every size, so that the plan does not change with the input.
+    """
+    chosen = rows.where("doc_id is not null").select("doc_id", "text").hint("merge").join(trusted, "doc_id")
+    raw, target = ([n + smoothing for n in bucket_counts(texts, buckets)] for texts in (rows, chosen))
     all_raw, all_target = sum(raw), sum(target)
     return [math.log(t / all_target) - math.log(r / all_raw) for t, r in zip(target, raw, strict=True)]
 
@@ -126,7 +131,7 @@ def quality_rules(
     buckets: int = BUCKETS,
     trusted_below: float = TRUSTED_BELOW,
 ) -> DataFrame:
-    """``doc_id, text``, the base counts, ``log_ratio``, ``base_failed`` and ``kept``, a row for each row.
+    """``doc_id``, the base counts, ``log_ratio``, ``base_failed`` and ``kept``, a row for each row.
 
     Null and empty texts have no words and fail the base rule. Without trusted labels every bucket
     has weight near zero and no threshold exists, so the base rule alone decides. Repeated rows and
@@ -135,12 +140,12 @@ def quality_rules(
     rows = pick(docs, "doc_id", "text").select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     trusted = materialise(trusted_ids(labels), "trusted")
     weight = weights(rows, trusted, buckets)
-    # Scored before the join, and an inner one, which stays above the scores: only ids and scores move.
-    scored = rows.select("doc_id", text_words(F.col("text")).alias("words"))
-    scores = scored.select("doc_id", mean_ratio("words", weight).alias("log_ratio")).join(trusted, "doc_id")
-    found = exact_quantiles(scores, ["log_ratio"], {"t": trusted_below}).first()
+    # Every row is scored once; the narrow result gives the threshold and the answer.
+    scored = with_counts(rows).withColumn("log_ratio", mean_ratio("words", weight)).drop("words", "text")
+    scored = materialise(scored, "quality-scores")
+    known = scored.where("doc_id is not null and log_ratio is not null").select("doc_id", "log_ratio").hint("merge").join(trusted, "doc_id")
+    found = exact_quantiles(known, ["log_ratio"], {"t": trusted_below}).first()
     threshold = found["t"] if found else None
-    out = with_counts(rows).withColumn("log_ratio", mean_ratio("words", weight))
     failed = (F.col("n_words") < 20) | (100 * F.col("n_repeat_words") > 30 * F.col("n_words"))
     passes = F.lit(True) if threshold is None else F.col("log_ratio") >= F.lit(threshold)
-    return out.drop("words").withColumns({"base_failed": failed, "kept": ~failed & F.coalesce(passes, F.lit(False))})
+    return scored.withColumns({"base_failed": failed, "kept": ~failed & F.coalesce(passes, F.lit(False))})

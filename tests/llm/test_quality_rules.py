@@ -76,3 +76,27 @@ def test_every_label_counts(spark, tables):
     for r in got:
         near = r["log_ratio"] is not None and abs(r["log_ratio"] - threshold) < 1e-9
         assert near or r["kept"] == (not r["base_failed"] and r["log_ratio"] >= threshold)
+
+
+def test_ratio_threshold_and_verdict_equal_brute_force(spark, tables):
+    rows, docs, labels = tables
+    buckets = 512
+    trusted = {r["doc_id"] for r in quality_rules.trusted_ids(labels).collect()}
+    weight = quality_rules.weights(quality_rules.pick(docs, "doc_id", "text"), quality_rules.trusted_ids(labels), buckets)
+    grams = spark.createDataFrame([(k, t) for k, (_, t) in enumerate(rows)], "k int, text string")
+    grams = grams.select("k", quality_rules.text_words(quality_rules.F.col("text")).alias("words"))
+    found = {r["k"]: r["b"] for r in grams.select("k", quality_rules.gram_buckets("words", buckets).alias("b")).collect()}
+    ratio = {k: sum(weight[x] for x in b) / len(b) if b else None for k, b in found.items()}
+    known = [v for k, v in ratio.items() if rows[k][0] in trusted and v is not None]
+    threshold = np.quantile(known, 0.2)
+    want = []
+    for k, (i, text) in enumerate(rows):
+        n_words, *_, n_repeat = brute.base_counts(text)
+        failed = n_words < 20 or 100 * n_repeat > 30 * n_words
+        want.append((i, ratio[k], failed, not failed and ratio[k] >= threshold))
+    got = [(r["doc_id"], r["log_ratio"], r["base_failed"], r["kept"]) for r in quality_rules.quality_rules(docs, labels, buckets=buckets, trusted_below=0.2).collect()]
+    order = lambda r: (str(r[0]), r[1] or 0.0)
+    for a, b in zip(sorted(got, key=order), sorted(want, key=order), strict=True):
+        assert a[0] == b[0] and a[1] == pytest.approx(b[1]) and a[2] == b[2]
+        near = b[1] is not None and abs(b[1] - threshold) < 1e-9
+        assert near or a[3] == b[3]
