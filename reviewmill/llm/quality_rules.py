@@ -77,14 +77,17 @@ def with_counts(rows: DataFrame) -> DataFrame:
 
 
 def gram_buckets(words: str, buckets: int) -> Column:
-    """Buckets of a word array's lower-cased words and neighbouring pairs."""
-    lowered = F.transform(words, F.lower)
-    single = F.transform(lowered, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    pair = F.transform(
-        _pairs(F.col(words), F.size(words), 2),
-        lambda i: F.pmod(F.xxhash64(F.lower(F.get(words, i - 1)), F.lower(F.get(words, i))), F.lit(buckets)).cast("int"),
-    )
-    return F.concat(single, pair)
+    """Buckets of a word array's lower-cased words and neighbouring pairs; each word is hashed once."""
+    hashes = F.transform(words, lambda w: F.xxhash64(F.lower(w)))
+
+    def both(h: Column) -> Column:
+        rest = F.greatest(F.size(h) - 1, F.lit(0))
+        single = F.transform(h, lambda x: F.pmod(x, F.lit(buckets)).cast("int"))
+        pair = F.zip_with(F.slice(h, F.lit(1), rest), F.slice(h, F.lit(2), rest), lambda x, y: F.pmod(F.xxhash64(x, y), F.lit(buckets)).cast("int"))
+        return F.concat(single, pair)
+
+    # an array of one array gives the hashes a name inside the expression
+    return F.get(F.transform(F.array(hashes), both), F.lit(0))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:
