@@ -41,11 +41,18 @@ FAMILIES = [
     "n3_ngram_range",
     "n4_top_bigrams_by_class",
     "l1_stratified_split",
+    "l3_temporal_split",
+    "l4_stratified_folds",
     "f4_feature_matrix",
+    "f6_feature_vectors",
     "f8_min_max",
     "m4_naive_bayes",
+    "m7_cross_validation",
     "e3_average_report",
     "e7_leaderboard",
+    "e10_bootstrap_interval",
+    "e11_thresholds",
+    "e11_tuned_bayes",
 ]
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(FOLDER), reason="the driver's tables are not here")
