@@ -434,6 +434,12 @@ def oracle() -> dict[str, str]:
 
     # profiling
     types = {"Review_ID": "bigint", "Rating": "int"}
+    kinds = {"Review_ID": "bigint", "Rating": "int"}
+    sql["p1_approximate_inventory"] = RAW + "\nUNION ALL\n".join(
+        f"SELECT '{c}' AS \"column\", '{kinds.get(c, 'string')}' AS dtype, CAST(count_if({c} IS NULL) AS BIGINT) AS nulls, "
+        f"{share(f'count_if({c} IS NULL)', 'count(*)')} AS pct_null, count(DISTINCT {c}) AS exact, true AS within_three_errors FROM reviews"
+        for c in REVIEW_COLUMNS
+    )
     sql["p1_column_inventory"] = RAW + "\nUNION ALL\n".join(
         f"SELECT '{c}' AS \"column\", '{types.get(c, 'string')}' AS dtype, count(DISTINCT {c}) AS \"unique\", "
         f"CAST(count_if({c} IS NULL) AS BIGINT) AS nulls, {share(f'count_if({c} IS NULL)', 'count(*)')} AS pct_null, "

@@ -339,6 +339,18 @@ def _(spark, folder):
     return profiling.column_inventory(reviews(spark, folder))
 
 
+@query("p1_approximate_inventory")
+def _(spark, folder):
+    """Two loads with a stored sketch each, merged; estimates are compared with exact counts by their error."""
+    rows = reviews(spark, folder)
+    loads = [profiling.column_sketches(rows.where(c)) for c in (F.col(REVIEW_ID) % 2 == 0, F.col(REVIEW_ID) % 2 == 1)]
+    stored = materialise(loads[0].unionByName(loads[1]), "column-sketches")
+    found = profiling.approximate_inventory(profiling.merged_sketches(stored))
+    exact = profiling.column_inventory(rows).select("column", F.col("unique").alias("exact"))
+    close = F.abs(F.col("unique") - F.col("exact")) <= F.lit(3 * profiling.SKETCH_ERROR) * F.col("exact")
+    return found.join(exact, "column").select("column", "dtype", "nulls", "pct_null", "exact", close.alias("within_three_errors"))
+
+
 ISSUE_IDS = dict(zip((f"p{i}" for i in range(2, 16)), quality.ISSUES))
 ISSUE_NAMES = {
     "p2": "null_cells",

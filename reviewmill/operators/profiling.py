@@ -38,16 +38,59 @@ def value_counts(df: DataFrame, columns: Mapping[str, Column]) -> DataFrame:
     return long.groupBy("c.column", "c.value").agg(F.count(F.lit(1)).alias("n"))
 
 
+#: precision of a distinct sketch: 2 ** SKETCH_BITS registers, a relative error of about 1.04 / sqrt of that
+SKETCH_BITS = 14
+SKETCH_ERROR = 1.04 / 2 ** (SKETCH_BITS / 2)
+
+
+def column_sketches(df: DataFrame, columns: Sequence[str] = REVIEW_COLUMNS) -> DataFrame:
+    """``(column, dtype, rows, nulls, sketch)``: state for an approximate inventory, from one scan without
+    a shuffle of values. Store it for each load and merge the loads with ``merged_sketches``."""
+    types = dict(df.dtypes)
+    cells = df.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.count(c).alias(f"n_{i}") for i, c in enumerate(columns)],
+        *[F.hll_sketch_agg(F.col(c).cast("string"), F.lit(SKETCH_BITS)).alias(f"s_{i}") for i, c in enumerate(columns)],
+    )
+    lines = [
+        F.struct(
+            F.lit(c).alias("column"), F.lit(types[c]).alias("dtype"), F.col("rows"), (F.col("rows") - F.col(f"n_{i}")).alias("nulls"), F.col(f"s_{i}").alias("sketch")
+        )
+        for i, c in enumerate(columns)
+    ]
+    return cells.select(F.inline(F.array(*lines)))
+
+
+def merged_sketches(sketches: DataFrame) -> DataFrame:
+    """One line per column from the stored sketches of any number of loads."""
+    return sketches.groupBy("column").agg(
+        F.max("dtype").alias("dtype"), F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.hll_union_agg("sketch").alias("sketch")
+    )
+
+
+def approximate_inventory(sketches: DataFrame, roles: Mapping[str, str] | None = None) -> DataFrame:
+    """``column_inventory`` from sketches. ``unique`` is an estimate, so a column counts as a key if the
+    estimate is within three errors of the number of rows; NULLs are exact."""
+    per_column = sketches.select("column", "dtype", F.hll_sketch_estimate("sketch").alias("unique"), "nulls", "rows")
+    near = F.abs(F.col("unique") - F.col("rows")) <= F.lit(3 * SKETCH_ERROR) * F.col("rows")
+    return _inventory(per_column, (F.col("nulls") == 0) & near & (F.col("rows") > 0), roles)
+
+
 def column_inventory(
     df: DataFrame,
     columns: Sequence[str] = REVIEW_COLUMNS,
     roles: Mapping[str, str] | None = None,
+    *,
+    approximate: bool = False,
 ) -> DataFrame:
     """One row per column: type, distinct values, NULLs, whether constant or a key, and its role.
 
     A role that ``roles`` does not give follows from the profile: ``constant``, ``key``, ``category``
     (few values), ``free`` (over half of the rows have a value of their own) or ``repeated``.
+    ``approximate`` estimates distinct values from sketches, which are bounded in size.
     """
+    if approximate:
+        return approximate_inventory(column_sketches(df, columns), roles)
     counts = value_counts(df, {c: short_key(F.col(c)) for c in columns})
     per_column = counts.groupBy("column").agg(
         F.count("value").alias("unique"),
@@ -55,28 +98,29 @@ def column_inventory(
         F.sum("n").alias("rows"),
     )
     types = dict(df.dtypes)
+    pairs = [F.lit(x) for name in columns for x in (name, types.get(name, "unmapped"))]
+    per_column = per_column.withColumn("dtype", F.create_map(*pairs)[F.col("column")])
+    return _inventory(per_column, F.col("unique") == F.col("rows"), roles)
 
-    def lookup(values: Mapping[str, str]) -> Column:
-        pairs = [F.lit(x) for name in columns for x in (name, values.get(name, "unmapped"))]
-        return F.create_map(*pairs)[F.col("column")]
 
-    given = {c: r for c, r in (roles or {}).items() if c in columns}
+def _inventory(per_column: DataFrame, key: Column, roles: Mapping[str, str] | None) -> DataFrame:
+    given = roles or {}
     known = F.create_map(*[F.lit(x) for pair in given.items() for x in pair])[F.col("column")] if given else F.lit(None)
     role = (
         F.when(F.col("unique") <= 1, "constant")
-        .when(F.col("unique") == F.col("rows"), "key")
+        .when(key, "key")
         .when(F.col("unique") <= MOST_CATEGORIES, "category")
         .when(2 * F.col("unique") > F.col("rows"), "free")
         .otherwise("repeated")
     )
     return per_column.select(
         "column",
-        lookup(types).alias("dtype"),
+        "dtype",
         "unique",
         "nulls",
         percent(F.col("nulls"), F.col("rows")).alias("pct_null"),
         (F.col("unique") <= 1).alias("constant"),
-        (F.col("unique") == F.col("rows")).alias("unique_key"),
+        key.alias("unique_key"),
         F.coalesce(known, role).alias("role"),
     )
 
