@@ -809,6 +809,11 @@ def _(spark, folder):
     return rounded(validation.cross_validation_summary(scores), 6, "mean", "sigma")
 
 
+@query("m8_ablation")
+def _(spark, folder):
+    return rounded(validation.ablation(folded(spark, folder)), 6, "mean", "sigma")
+
+
 # --- metrics -----------------------------------------------------------------------------------------
 
 

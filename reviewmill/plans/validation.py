@@ -99,77 +99,130 @@ class _Numbers:
         return (total - self.count(j, label) * low) / span
 
 
-def cross_validated_bayes(
-    rows: DataFrame,
-    folds: int = FOLDS,
-    *,
-    alpha: float = 1.0,
-    min_df: int = 1,
-    labels: Sequence[str] = LABELS,
-    columns: Sequence[str] = NUMERIC_FEATURES,
-) -> DataFrame:
+class FoldedBayes:
+    """What the naive Bayes models of all folds share: weights, and sums per term, as written tables.
+
+    Models on other blocks of features differ in what they add up, so a table of them costs one scoring
+    pass each.
+    """
+
+    def __init__(self, rows: DataFrame, folds: int = FOLDS, *, min_df: int = 1, labels: Sequence[str] = LABELS, columns: Sequence[str] = NUMERIC_FEATURES):
+        self.rows, self.folds, self.labels, self.columns = rows, folds, labels, columns
+        self.numbers = _Numbers(rows, folds, labels, columns)
+        counts = materialise(term_counts(rows, keep=[SENTIMENT, FOLD]), "fold-terms")
+        vocabulary = materialise(fold_vocabulary(counts, self.numbers.sizes, min_df), "fold-vocabulary")
+        self.weights = materialise(fold_weights(counts, vocabulary, folds), "fold-weights")
+
+        def training(j: int, value: Column) -> Column:
+            return F.when(F.col(FOLD) != j, value)
+
+        cells = []
+        for j in range(folds):
+            cells.append(F.max(training(j, F.abs(f"weight_{j}"))).alias(f"scale_{j}"))
+            for c in self.numbers.seen[j]:
+                own = F.sum(training(j, F.when(F.col(SENTIMENT) == c, F.col(f"weight_{j}"))))
+                cells.append(F.coalesce(own, F.lit(0.0)).alias(f"sum_{j}_{c}"))
+        self.sums = materialise(self.weights.groupBy("term").agg(*cells), "fold-sums")
+
+    def predictions(self, name: str, *, text: bool = True, columns: Sequence[str] | None = None, alpha: float = 1.0) -> DataFrame:
+        """``(model, row_id, sentiment, fold, prediction, probability)`` of the models on the text, on some
+        numbers, or on both."""
+        columns = self.columns if columns is None else columns
+        numbers, folds, labels = self.numbers, self.folds, self.labels
+
+        def scale(j: int) -> Column:
+            return F.when(F.col(f"scale_{j}") == 0, F.lit(1.0)).otherwise(F.col(f"scale_{j}"))
+
+        pairs = [(j, c) for j in range(folds) for c in numbers.seen[j]]
+        mass = {(j, c): F.col(f"sum_{j}_{c}") / scale(j) + F.lit(alpha) for j, c in pairs}  # NULL outside the vocabulary
+        whole = {(j, c): sum(numbers.mass(j, c, f) + alpha for f in columns) for j, c in pairs}
+        if text:
+            totals = self.sums.agg(*[F.coalesce(F.sum(m), F.lit(0.0)).alias(f"{j}_{c}") for (j, c), m in mass.items()]).first()
+            whole = {(j, c): v + totals[f"{j}_{c}"] for (j, c), v in whole.items()}
+
+        def of_fold(values: list[Column]) -> Column:
+            """The value of the model that has not seen the row."""
+            return F.coalesce(*[F.when(F.col(FOLD) == j, v) for j, v in enumerate(values)])
+
+        def term_weight(j: int, label: str) -> Column:
+            return F.col(f"weight_{j}") * F.col(f"w_{j}_{label}") if label in numbers.seen[j] else F.lit(None).cast("double")
+
+        def joint(j: int, label: str) -> Column:
+            if label not in numbers.seen[j]:
+                return F.lit(float("-inf"))
+            value = F.lit(numbers.log_prior(j, label))
+            for f in columns:
+                low, span = numbers.range(j, f)
+                weight = log((numbers.mass(j, label, f) + alpha) / whole[j, label])
+                value = value + (filled(f) - F.lit(low)) / F.lit(span) * F.lit(weight)
+            return value + F.coalesce(f"text_{label}", F.lit(0.0)) if text else value
+
+        scored = self.rows.select(ROW_ID, SENTIMENT, FOLD, *columns)
+        if text:
+            terms = self.sums.select("term", *[(F.log(m / F.lit(whole[k])) / scale(k[0])).alias(f"w_{k[0]}_{k[1]}") for k, m in mass.items()])
+            sums = self.weights.join(materialise(terms, "fold-terms"), "term").groupBy(ROW_ID).agg(
+                *[F.sum(of_fold([term_weight(j, c) for j in range(folds)])).alias(f"text_{c}") for c in labels]
+            )
+            scored = scored.join(sums, ROW_ID, "left")
+        joints = F.array(*[of_fold([joint(j, c) for j in range(folds)]) for c in labels])
+        scored = scored.select(ROW_ID, SENTIMENT, FOLD, joints.alias("joint"))
+        return scored.select(
+            F.lit(name).alias("model"),
+            ROW_ID,
+            SENTIMENT,
+            FOLD,
+            first_largest(F.col("joint"), labels).alias("prediction"),
+            softmax(F.col("joint")).alias("probability"),
+        )
+
+
+def cross_validated_bayes(rows: DataFrame, folds: int = FOLDS, *, alpha: float = 1.0, **options) -> DataFrame:
     """``(model, row_id, sentiment, fold, prediction, probability)`` of ``folded_rows``.
 
     Each row is scored by a naive Bayes whose vocabulary, idf, scales, ranges and probabilities come from
     the other folds only. A row without a known term gets its score from numbers and prior; a class that
     is absent from a model's training rows has probability 0 there.
     """
-    numbers = _Numbers(rows, folds, labels, columns)
-    counts = materialise(term_counts(rows, keep=[SENTIMENT, FOLD]), "fold-terms")
-    vocabulary = materialise(fold_vocabulary(counts, numbers.sizes, min_df), "fold-vocabulary")
-    weights = materialise(fold_weights(counts, vocabulary, folds), "fold-weights")
-
-    def training(j: int, value: Column) -> Column:
-        return F.when(F.col(FOLD) != j, value)
-
-    cells = []
-    for j in range(folds):
-        cells.append(F.max(training(j, F.abs(f"weight_{j}"))).alias(f"scale_{j}"))
-        for c in numbers.seen[j]:
-            own = F.sum(training(j, F.when(F.col(SENTIMENT) == c, F.col(f"weight_{j}"))))
-            cells.append(F.coalesce(own, F.lit(0.0)).alias(f"sum_{j}_{c}"))
-    sums = materialise(weights.groupBy("term").agg(*cells), "fold-sums")
-
-    def scale(j: int) -> Column:
-        return F.when(F.col(f"scale_{j}") == 0, F.lit(1.0)).otherwise(F.col(f"scale_{j}"))
-
-    pairs = [(j, c) for j in range(folds) for c in numbers.seen[j]]
-    mass = {(j, c): F.col(f"sum_{j}_{c}") / scale(j) + F.lit(alpha) for j, c in pairs}  # NULL outside the vocabulary
-    totals = sums.agg(*[F.coalesce(F.sum(m), F.lit(0.0)).alias(f"{j}_{c}") for (j, c), m in mass.items()]).first()
-    whole = {(j, c): totals[f"{j}_{c}"] + sum(numbers.mass(j, c, f) + alpha for f in columns) for j, c in pairs}
-    terms = sums.select("term", *[(F.log(m / F.lit(whole[k])) / scale(k[0])).alias(f"w_{k[0]}_{k[1]}") for k, m in mass.items()])
-
-    def of_fold(values: list[Column]) -> Column:
-        """The value of the model that has not seen the row."""
-        return F.coalesce(*[F.when(F.col(FOLD) == j, v) for j, v in enumerate(values)])
-
-    def term_weight(j: int, label: str) -> Column:
-        return F.col(f"weight_{j}") * F.col(f"w_{j}_{label}") if label in numbers.seen[j] else F.lit(None).cast("double")
-
-    text = weights.join(materialise(terms, "fold-terms"), "term").groupBy(ROW_ID).agg(
-        *[F.sum(of_fold([term_weight(j, c) for j in range(folds)])).alias(f"text_{c}") for c in labels]
-    )
+    return FoldedBayes(rows, folds, **options).predictions(baselines.BAYES, alpha=alpha)
 
-    def joint(j: int, label: str) -> Column:
-        if label not in numbers.seen[j]:
-            return F.lit(float("-inf"))
-        value = F.lit(numbers.log_prior(j, label))
-        for f in columns:
-            low, span = numbers.range(j, f)
-            weight = log((numbers.mass(j, label, f) + alpha) / whole[j, label])
-            value = value + (filled(f) - F.lit(low)) / F.lit(span) * F.lit(weight)
-        return value + F.coalesce(f"text_{label}", F.lit(0.0))
-
-    both = rows.select(ROW_ID, SENTIMENT, FOLD, *columns).join(text, ROW_ID, "left")
-    scored = both.select(ROW_ID, SENTIMENT, FOLD, F.array(*[of_fold([joint(j, c) for j in range(folds)]) for c in labels]).alias("joint"))
-    return scored.select(
-        F.lit(baselines.BAYES).alias("model"),
-        ROW_ID,
-        SENTIMENT,
-        FOLD,
-        first_largest(F.col("joint"), labels).alias("prediction"),
-        softmax(F.col("joint")).alias("probability"),
-    )
+
+def with_tuned_folds(predictions: DataFrame, folds: int = FOLDS, *, labels: Sequence[str] = LABELS) -> DataFrame:
+    """Out-of-fold predictions decided by thresholds; those of a fold come from the other folds' scores."""
+    others = F.explode(F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda j: j != F.col(FOLD))).alias("judged")
+    cuts = thresholds.cut_points(predictions.select("model", SENTIMENT, "probability", others), ["model", "judged"], labels=labels)
+    best = thresholds.best_thresholds(cuts, ["model", "judged"])
+    # one line for each model and fold
+    chosen = {}
+    for r in best.collect():
+        chosen.setdefault((r["model"], r["judged"]), {})[r["label"]] = r["threshold"]
+    decided = F.col("prediction")
+    for (model, fold), found in chosen.items():
+        own = (F.col("model") == model) & (F.col(FOLD) == fold) & F.col("probability").isNotNull()
+        decided = F.when(own, thresholds.decide(F.col("probability"), found, labels)).otherwise(decided)
+    return predictions.withColumn("prediction", decided)
+
+
+ABLATION = {
+    "text": {"columns": ()},
+    "numbers": {"text": False},
+    "text and numbers": {},
+}
+
+
+def ablation(rows: DataFrame, folds: int = FOLDS, configurations: dict[str, dict] | None = None, **options) -> DataFrame:
+    """``(model, folds, mean, sigma)`` of cross-validated macro-F1, one line for each configuration of the
+    naive Bayes features, and one for the same with decision thresholds.
+
+    Rows are prepared once, and what the models of a fold learn is counted once for all configurations.
+    """
+    shared = FoldedBayes(rows, folds, **options)
+    parts = [shared.predictions(name, **chosen) for name, chosen in (configurations or ABLATION).items()]
+    plain = parts[0]
+    for part in parts[1:]:
+        plain = plain.unionByName(part)
+    plain = materialise(plain, "ablation")
+    tuned = with_tuned_folds(plain, folds).withColumn("model", F.concat("model", F.lit(", thresholds")))
+    return cross_validation_summary(fold_scores(materialise(plain.unionByName(tuned), "ablation-tuned")))
 
 
 def cross_validated(rows: DataFrame, models: Sequence[str], folds: int = FOLDS, **options) -> DataFrame:

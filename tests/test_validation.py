@@ -84,3 +84,32 @@ def test_summary(spark, make_reviews):
     means = {r["model"]: r for r in validation.cross_validation_summary(scores).collect()}
     assert means[baselines.MAJORITY]["mean"] == pytest.approx(2 / 9, abs=1e-6) and means[baselines.MAJORITY]["sigma"] == pytest.approx(0)
     assert means[baselines.LOGISTIC]["mean"] > 0.9 and set(LABELS) == {r[SENTIMENT] for r in predictions.select(SENTIMENT).distinct().collect()}
+
+
+def test_ablation_configurations(make_reviews):
+    rows = validation.folded_rows(reviews(make_reviews), 3)
+    shared = validation.FoldedBayes(rows, 3)
+    both = {r[ROW_ID]: r["probability"] for r in shared.predictions("both").collect()}
+    assert both == {r[ROW_ID]: pytest.approx(r["probability"]) for r in validation.cross_validated_bayes(rows, 3).collect()}
+    # the text block alone is a model without numeric columns, and the other way round
+    text = validation.FoldedBayes(rows, 3, columns=()).predictions("text")
+    assert {r[ROW_ID]: r["probability"] for r in shared.predictions("text", columns=()).collect()} == {
+        r[ROW_ID]: pytest.approx(r["probability"]) for r in text.collect()
+    }
+    bare = rows.withColumn("tokens", F.array().cast("array<string>"))
+    numbers = validation.FoldedBayes(bare, 3).predictions("numbers")
+    assert {r[ROW_ID]: r["probability"] for r in shared.predictions("numbers", text=False).collect()} == {
+        r[ROW_ID]: pytest.approx(r["probability"]) for r in numbers.collect()
+    }
+    table = {r["model"]: r for r in validation.ablation(rows, 3).collect()}
+    assert set(table) == {n + t for n in validation.ABLATION for t in ("", ", thresholds")}
+    assert table["text"]["mean"] > table["numbers"]["mean"]
+
+
+def test_thresholds_of_a_fold_ignore_its_own_rows(make_reviews):
+    rows = validation.folded_rows(reviews(make_reviews), 3)
+    scored = validation.materialise(validation.cross_validated_bayes(rows, 3), "scored")
+    other = F.when(F.col("fold") == 1, F.lit("neutral")).otherwise(F.col(SENTIMENT))
+    changed = scored.withColumn(SENTIMENT, other)
+    pick = lambda df: {r[ROW_ID]: r["prediction"] for r in validation.with_tuned_folds(df, 3).where("fold = 1").collect()}
+    assert pick(scored) == pick(changed)
