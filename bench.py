@@ -42,6 +42,9 @@ HEADLINE = (
     "m4_naive_bayes",
     "m6_train_and_evaluate",
     "e7_leaderboard",
+    "e10_bootstrap_interval",
+    "m7_cross_validation",
+    "m2_table_logistic",
 )
 
 

@@ -270,8 +270,11 @@ def fold_cte(source: str) -> str:
       count(*) OVER (PARTITION BY sentiment) AS n FROM {source}))"""
 
 
-def fold_bayes_ctes() -> list[str]:
-    """Naive Bayes fitted once for each fold ``j`` on the rows of the other folds, scored on its own."""
+def fold_bayes_ctes(features: str = "%") -> list[str]:
+    """Naive Bayes fitted once for each fold ``j`` on the rows of the other folds, scored on its own.
+
+    ``features`` is a pattern of the feature names that the models see.
+    """
     tokens = MODEL_TOKENS.format(MODEL_TEXT)
     mass = ", ".join(f"sum(CASE WHEN sentiment='{c}' THEN value ELSE 0.0 END)+1.0 AS m_{c}" for c in LABELS)
     logs = ", ".join(f"ln(m_{c}/sum(m_{c}) OVER (PARTITION BY j)) AS l_{c}" for c in LABELS)
@@ -298,7 +301,7 @@ def fold_bayes_ctes() -> list[str]:
         """matrix AS MATERIALIZED (
           SELECT j, row_id, sentiment, fold, 'term:' || term AS feature, weight/scale AS value FROM weights JOIN scales USING (j, term)
           UNION ALL SELECT j, row_id, sentiment, fold, 'number:' || name, (x-low)/span FROM long JOIN ranges USING (name))""",
-        f"mass AS MATERIALIZED (SELECT j, feature, {mass} FROM matrix WHERE fold<>j GROUP BY j, feature)",
+        f"mass AS MATERIALIZED (SELECT j, feature, {mass} FROM matrix WHERE fold<>j AND feature LIKE '{features}' GROUP BY j, feature)",
         f"logs AS MATERIALIZED (SELECT j, feature, {logs} FROM mass)",
         f"sums AS (SELECT row_id, {sums} FROM matrix JOIN logs USING (j, feature) WHERE fold=j GROUP BY row_id)",
         f"joints AS MATERIALIZED (SELECT r.row_id, r.sentiment, r.fold, {joint} FROM rows_ r JOIN sizes ON r.fold=sizes.j LEFT JOIN sums USING (row_id))",
@@ -682,6 +685,30 @@ def oracle() -> dict[str, str]:
         f"SELECT model, count(*) AS folds, {even('avg(macro_f1)', 6)} AS mean, {even('stddev_pop(macro_f1)', 6)} AS sigma FROM ({scored}) GROUP BY model"
     )
 
+    # each configuration is a query of its own, as their tables have the same names
+    shown = {"text": "term:%", "numbers": "number:%", "text and numbers": "%"}
+    oof = " UNION ALL ".join(f"SELECT '{n}' AS model, * FROM ({with_(*fold_bayes_ctes(p))} SELECT * FROM oof)" for n, p in shown.items())
+    judged = f"judged AS MATERIALIZED (SELECT model || '/' || j AS model, sentiment, p_negative, p_neutral, p_positive FROM oofs JOIN (SELECT unnest(range(0,{FOLDS})) AS j) ON fold<>j)"
+
+    def f1_cuts(c: str) -> str:
+        return f"""SELECT model, '{c}' AS label, threshold, 2.0*hits/(predicted+support) AS f1 FROM (
+          SELECT model, p_{c} AS threshold, sum(count_if(sentiment='{c}')) OVER above AS hits, sum(count(*)) OVER above AS predicted,
+            sum(count_if(sentiment='{c}')) OVER (PARTITION BY model) AS support
+          FROM judged GROUP BY model, p_{c} WINDOW above AS (PARTITION BY model ORDER BY p_{c} DESC))"""
+
+    ratios = ", ".join(f"p_{c}/greatest(max(CASE WHEN label='{c}' THEN threshold END) OVER (PARTITION BY o.model, row_id), 1e-9) AS r_{c}" for c in LABELS)
+    sql["m8_ablation"] = with_(
+        f"oofs AS MATERIALIZED ({oof})",
+        judged,
+        "cuts AS MATERIALIZED (" + " UNION ALL ".join(map(f1_cuts, LABELS)) + ")",
+        "best AS MATERIALIZED (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY model, label ORDER BY f1 DESC, threshold DESC)=1)",
+        f"ratios AS (SELECT DISTINCT o.model, row_id, fold, sentiment, {ratios} FROM oofs o JOIN best b ON b.model = o.model || '/' || o.fold)",
+        f"preds AS MATERIALIZED (SELECT model || '/' || fold AS model, row_id, sentiment, prediction, {none} FROM oofs "
+        "UNION ALL SELECT model || ', thresholds/' || fold, row_id, sentiment, CASE WHEN r_negative>=r_neutral AND r_negative>=r_positive THEN 'negative' "
+        f"WHEN r_neutral>=r_positive THEN 'neutral' ELSE 'positive' END, {none} FROM ratios)",
+        *score_ctes("preds"),
+    ) + f"SELECT model, count(*) AS folds, {even('avg(macro_f1)', 6)} AS mean, {even('stddev_pop(macro_f1)', 6)} AS sigma FROM ({scored}) GROUP BY model"
+
     # metrics
     rules = with_(*rule_ctes())
     cells = "\nUNION ALL\n".join(

@@ -23,6 +23,7 @@ FAMILIES = [
     "t18_whitespace_split",
     "t22_half_even",
     "p1_column_inventory",
+    "p1_approximate_inventory",
     "p16_quality_report",
     "p17_corpus_summary",
     "p18_describe_numbers",
@@ -48,6 +49,7 @@ FAMILIES = [
     "f8_min_max",
     "m4_naive_bayes",
     "m7_cross_validation",
+    "m8_ablation",
     "e3_average_report",
     "e7_leaderboard",
     "e10_bootstrap_interval",
