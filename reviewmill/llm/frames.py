@@ -56,21 +56,25 @@ def give_back() -> None:
 
 
 def by_batch(
-    df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType
+    df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str | StructType, *, trim: bool = True
 ) -> DataFrame:
-    """``mapInArrow`` for a function of one batch, which gets ``BATCH_ROWS`` rows at most."""
+    """``mapInArrow`` for a function of one batch, which gets ``BATCH_ROWS`` rows at most.
+
+    ``trim`` gives freed memory back after each task, at the cost of asking for it again in the next.
+    """
     small_batches(df.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for start in range(0, batch.num_rows, BATCH_ROWS):
                 yield from function(batch.slice(start, BATCH_ROWS))
-        give_back()
+        if trim:
+            give_back()
 
     return df.mapInArrow(run, schema)
 
 
-def packed_texts(texts: DataFrame) -> DataFrame:
+def packed_texts(texts: DataFrame, *, trim: bool = True) -> DataFrame:
     """``doc_id, row_hash, packed``: texts compressed for a shuffle; null becomes empty."""
 
     def pack(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
@@ -81,16 +85,16 @@ def packed_texts(texts: DataFrame) -> DataFrame:
             names=["doc_id", "row_hash", "packed"],
         )
 
-    return by_batch(texts.select("doc_id", "row_hash", "text"), pack, "doc_id long, row_hash long, packed binary")
+    return by_batch(texts.select("doc_id", "row_hash", "text"), pack, "doc_id long, row_hash long, packed binary", trim=trim)
 
 
 def unpack(packed: bytes) -> bytes:
     return zstandard.ZstdDecompressor().decompress(packed)
 
 
-def join_texts(texts: DataFrame, extra: DataFrame, how: str) -> DataFrame:
+def join_texts(texts: DataFrame, extra: DataFrame, how: str, *, trim: bool = True) -> DataFrame:
     """Packed texts with the columns of ``extra`` (one row for each key) beside them."""
-    packed = packed_texts(texts)
+    packed = packed_texts(texts, trim=trim)
     kept = [extra[c] for c in extra.columns if c not in ("doc_id", "row_hash")]
     return packed.join(extra, same_row(packed, extra), how).select(packed["doc_id"], packed["row_hash"], "packed", *kept)
 

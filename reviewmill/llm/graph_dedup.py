@@ -74,6 +74,7 @@ def document_paths(texts: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Da
         texts,
         lambda batch: _paths(batch, width, gram),
         "doc_id long, row_hash long, start int, n int, anchor long, content long",
+        trim=False,
     )
 
 
@@ -157,7 +158,7 @@ def sourced_paths(texts: DataFrame, found: DataFrame, width: int) -> DataFrame:
     by_row = paths.join(anchors, "anchor").groupBy("doc_id", "row_hash").agg(
         F.collect_list(F.struct("path", "n", "start", "low", "low_at")).alias("wanted")
     )
-    edges = by_batch(join_texts(texts, by_row, "inner"), lambda batch: _edges(batch, width), EDGE)
+    edges = by_batch(join_texts(texts, by_row, "inner", trim=False), lambda batch: _edges(batch, width), EDGE, trim=False)
     sources = edges.groupBy("edge", "proof").agg(F.min("source_id").alias("first_id"), F.min_by("source_at", "source_id").alias("first_at"))
     joined = edges.select("path", "place", "edge", "proof", "source_id").join(sources, ["edge", "proof"])
     earlier = joined.where("first_id < source_id").select(
@@ -213,5 +214,5 @@ def remove_repeats(docs: DataFrame, width: int = WIDTH, gram: int = GRAM) -> Dat
     texts = keyed_texts(docs)
     spans = repeated_spans(docs, width, gram)
     by_row = spans.groupBy("doc_id", "row_hash").agg(F.collect_list(F.struct("a", "b")).alias("spans"))
-    joined = join_texts(texts, by_row, "left").select("doc_id", "packed", "spans")
-    return by_batch(joined, _remove, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string")
+    joined = join_texts(texts, by_row, "left", trim=False).select("doc_id", "packed", "spans")
+    return by_batch(joined, _remove, "doc_id long, n_words long, n_removed long, kept string, kept_sha256 string", trim=False)
