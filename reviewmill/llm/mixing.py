@@ -1,20 +1,25 @@
 """Mixing sources to target weights.
 
 The documents of each source are laid end to end and cut into blocks of ``block_words`` words. The
-mix is a sequence of slots, ``slots_per_shard`` to a shard, and every slot takes one block. Source
-counts of the shards are a multinomial draw under the condition that the whole run gives each source
-its number of draws: the run's tickets, so many for each source, are dealt to the slots by a
-pseudorandom permutation. A source's draws walk through a pseudorandom permutation of its block
-indexes, a new one for every pass, so no block is used more than once oftener than another. Slots
-and blocks meet in a join by source and index. No random numbers are drawn at run time: permutations
-are keyed by hashes, so reruns agree.
+mix is a sequence of slots, ``slots_per_shard`` to a shard, and every slot takes one block.
+
+The draw gives each shard its number of slots for each source: a multinomial draw with the targets
+as weights, under the condition that the counts of all shards add up to the draws of each source
+(which is a multivariate hypergeometric distribution). It is made by dealing the run's tickets, so
+many for each source, to the shards by a pseudorandom permutation and counting them there. The
+counts are written, and everything else follows from them: a source's slots are numbered by prefix
+sums over the shards, the numbers walk through a pseudorandom permutation of the source's block
+indexes, a new one for every pass, so that no block is used more than once oftener than another, and
+slots and blocks meet in a join by source and index. No random numbers are drawn at run time:
+permutations are keyed by hashes, so reruns agree.
 
 Permutations are swap-or-not networks: in each round an index either stays or trades places with
 its mirror image, as one hashed bit of the pair says. They need no state and no sort, so any task
 can map any index.
 
 Everything is DataFrame functions. A source of any size is spread: word offsets come from sums over
-hash buckets and then inside a bucket, draws are generated in two levels of about the square root.
+hash buckets and then inside a bucket, prefix sums over shards and tickets are made in two levels of
+about the square root.
 """
 
 from __future__ import annotations
@@ -127,8 +132,8 @@ def block_pieces(placed: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame
     return rows.select("rank", "block", "offset", (begin - offset).alias("start"), (end - begin).alias("words"))
 
 
-def mix_slots(sources: DataFrame, *, slots_per_shard: int = SLOTS_PER_SHARD, seed: int = SEED) -> DataFrame:
-    """``shard, slot, rank, pass, block``: what every slot of the mix takes."""
+def shard_counts(sources: DataFrame, *, slots_per_shard: int = SLOTS_PER_SHARD, seed: int = SEED) -> DataFrame:
+    """``shard, rank, blocks, shards, drawn``: the slots of each source in each shard that has any."""
     side = F.ceil(F.sqrt("draws"))
     chunk = sources.where("draws > 0").withColumn("side", side.cast("long"))
     chunk = chunk.select("*", F.explode(F.sequence(F.lit(0), F.floor((F.col("draws") - 1) / F.col("side")))).alias("chunk"))
@@ -139,17 +144,42 @@ def mix_slots(sources: DataFrame, *, slots_per_shard: int = SLOTS_PER_SHARD, see
     draws = chunk.repartition(tasks, "rank", "chunk").select(
         "rank", "blocks", "first_ticket", "slots", F.explode(F.sequence(first, last)).alias("draw")
     )
-    turn = F.floor(F.col("draw") / F.col("blocks"))
-    slot = permuted(F.col("first_ticket") + F.col("draw"), F.col("slots"), F.lit(seed))
-    block = permuted(F.pmod("draw", "blocks"), F.col("blocks"), F.lit(seed), F.col("rank"), turn)
-    return draws.select(
-        F.floor(slot / F.lit(slots_per_shard)).alias("shard"), slot.alias("slot"), "rank", turn.alias("pass"), block.alias("block")
-    )
+    ticket = F.col("first_ticket") + F.col("draw")
+    shard = F.floor(permuted(ticket, F.col("slots"), F.lit(seed)) / F.lit(slots_per_shard))
+    shards = F.ceil(F.col("slots") / F.lit(float(slots_per_shard)))
+    return draws.groupBy(shard.alias("shard"), "rank", "blocks", shards.alias("shards")).agg(F.count(F.lit(1)).alias("drawn"))
+
+
+def mix_slots(counts: DataFrame, *, slots_per_shard: int = SLOTS_PER_SHARD, seed: int = SEED) -> DataFrame:
+    """``shard, slot, rank, pass, block``: what every slot of the mix takes, from the counts of the shards.
+
+    A shard's slots are in pseudorandom order of sources.
+    """
+    rows = counts.withColumn("stretch", F.floor(F.col("shard") / F.ceil(F.sqrt("shards"))))
+    sums = rows.groupBy("rank", "stretch").agg(F.sum("drawn").alias("total"))
 
+    def before(*keys: str, order: str) -> Window:
+        return Window.partitionBy(*keys).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
 
-def shard_counts(slots: DataFrame) -> DataFrame:
-    """Slots of each source in each shard: the multinomial draw."""
-    return slots.groupBy("shard", "rank").agg(F.count(F.lit(1)).alias("slots"))
+    starts = sums.select("rank", "stretch", F.coalesce(F.sum("total").over(before("rank", order="stretch")), F.lit(0)).alias("start"))
+    seated = rows.select(
+        "*",
+        F.coalesce(F.sum("drawn").over(before("rank", "stretch", order="shard")), F.lit(0)).alias("local"),
+        F.coalesce(F.sum("drawn").over(before("shard", order="rank")), F.lit(0)).alias("seat"),
+        F.sum("drawn").over(Window.partitionBy("shard")).alias("seats"),
+    )
+    numbered = seated.join(starts, ["rank", "stretch"]).withColumn("first", F.col("start") + F.col("local"))
+    tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slots = numbered.repartition(tasks, "rank", "shard").select(
+        "shard", "rank", "blocks", "first", "seat", "seats", F.explode(F.sequence(F.lit(0).cast("long"), F.col("drawn") - 1)).alias("k")
+    )
+    draw = F.col("first") + F.col("k")
+    turn = F.floor(draw / F.col("blocks"))
+    place = permuted(F.col("seat") + F.col("k"), F.col("seats"), F.lit(seed), F.col("shard"))
+    block = permuted(F.pmod(draw, F.col("blocks")), F.col("blocks"), F.lit(seed), F.col("rank"), turn)
+    return slots.select(
+        "shard", (F.col("shard") * F.lit(slots_per_shard) + place).alias("slot"), "rank", turn.alias("pass"), block.alias("block")
+    )
 
 
 class Mix:
@@ -168,19 +198,28 @@ class Mix:
         sized = materialise(sized_documents(docs), "sizes")
         self.sources = materialise(source_targets(sized, block_words=block_words), "mix-sources")
         self.placed = materialise(placed_documents(sized, self.sources), "mix-placed")
-        self.slots = mix_slots(self.sources, slots_per_shard=slots_per_shard, seed=seed)
+        self.shards = materialise(shard_counts(self.sources, slots_per_shard=slots_per_shard, seed=seed), "mix-shards")
+        self.slots = mix_slots(self.shards, slots_per_shard=slots_per_shard, seed=seed)
         self.pieces = block_pieces(self.placed, block_words)
 
     def taken(self) -> DataFrame:
-        """Documents with the number of words the mix takes from them, repeats counted."""
-        times = self.slots.groupBy("rank", "block").agg(F.count(F.lit(1)).alias("times"))
+        """Documents with the number of words the mix takes from them, repeats counted, and the first and
+        last shard that has any of them (null if none)."""
+        times = self.slots.groupBy("rank", "block").agg(
+            F.count(F.lit(1)).alias("times"), F.min("shard").alias("first_shard"), F.max("shard").alias("last_shard")
+        )
         words = self.pieces.join(times.hint("merge"), ["rank", "block"]).groupBy("rank", "offset").agg(
-            F.sum(F.col("words") * F.col("times")).alias("taken")
+            F.sum(F.col("words") * F.col("times")).alias("taken"),
+            F.min("first_shard").alias("first_shard"),
+            F.max("last_shard").alias("last_shard"),
         )
         # Documents without words share an offset with the next one and take nothing.
         rows = self.placed.join(words.hint("merge"), ["rank", "offset"], "left")
-        taken = F.when(F.col("size") > 0, F.col("taken"))
-        return rows.select("doc_id", "source", "size", "source_size", "target", F.coalesce(taken, F.lit(0)).cast("long").alias("taken"))
+        taken, first, last = (F.when(F.col("size") > 0, F.col(c)) for c in ("taken", "first_shard", "last_shard"))
+        return rows.select(
+            "doc_id", "source", "size", "source_size", "target",
+            F.coalesce(taken, F.lit(0)).cast("long").alias("taken"), first.alias("first_shard"), last.alias("last_shard"),
+        )
 
     def blocks(self) -> DataFrame:
         """The mix itself: ``shard, slot, rank, pass, block, parts`` with the document parts of each

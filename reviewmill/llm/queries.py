@@ -55,7 +55,7 @@ def _(spark, folder):
 @query("op10_source_mixing")
 def _(spark, folder):
     taken = mixing.Mix(table(spark, folder, "documents")).taken()
-    return taken.select("doc_id", "size", "source_size", "target", "taken", "source")
+    return taken.select("doc_id", "size", "source_size", "target", "taken", "source", "first_shard", "last_shard")
 
 
 @query("op7_document_fingerprints")

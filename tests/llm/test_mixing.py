@@ -73,9 +73,13 @@ def test_slots_and_texts_agree_with_taken(spark, rows):
         counts = [used.get((rank, b), 0) for b in range(blocks[rank])]
         assert max(counts) - min(counts) <= 1 and max(counts) <= 2
     shards = defaultdict(int)
-    for r in mixing.shard_counts(mix.slots).collect():
-        shards[r["shard"]] += r["slots"]
+    drawn = Counter()
+    for r in mix.shards.collect():
+        shards[r["shard"]] += r["drawn"]
+        drawn[r["shard"], r["rank"]] += r["drawn"]
     assert all(n == 32 for s, n in shards.items() if s < max(shards))
+    assert drawn == Counter((r["shard"], r["rank"]) for r in slots)
+    assert all(r["slot"] // 32 == r["shard"] for r in slots)
     assert sum(p["words"] for r in mix.blocks().collect() for p in r["parts"]) == sum(r["taken"] for r in mix.taken().collect())
     words = Counter()
     texts = defaultdict(set)
@@ -91,6 +95,40 @@ def test_slots_and_texts_agree_with_taken(spark, rows):
     assert +words == +taken
 
 
+def test_shard_draw_is_multinomial_given_the_totals(spark):
+    """Chi-square of the counts against independence of shard and source, and of its spread over seeds."""
+    draws = [3000, 900, 2100]
+    rows = [(k, 50, n, sum(draws[:k]), sum(draws)) for k, n in enumerate(draws)]
+    sources = spark.createDataFrame(rows, "rank long, blocks long, draws long, first_ticket long, slots long")
+    found = []
+    for seed in range(6):
+        counts = {(r["shard"], r["rank"]): r["drawn"] for r in mixing.shard_counts(sources, slots_per_shard=200, seed=seed).collect()}
+        for k, n in enumerate(draws):
+            assert sum(v for (_, r), v in counts.items() if r == k) == n
+        assert all(sum(counts.get((s, k), 0) for k in range(3)) == 200 for s in range(30))
+        expected = [200 * n / sum(draws) for n in draws]
+        found.append(sum((counts.get((s, k), 0) - expected[k]) ** 2 / expected[k] for s in range(30) for k in range(3)))
+    # 29 * 2 degrees of freedom, standard deviation 10.8 for one seed
+    assert 58 - 4 * 10.8 < min(found) and max(found) < 58 + 4 * 10.8 and abs(sum(found) / 6 - 58) < 4 * 10.8 / 6**0.5
+
+
+def test_documents_name_the_shards_that_hold_them(spark, rows):
+    mix = mixing.Mix(build(spark, rows), block_words=16, slots_per_shard=32)
+    held = defaultdict(set)
+    for r in mix.blocks().collect():
+        for p in r["parts"]:
+            held[r["rank"], p["offset"]].add(r["shard"])
+    ids = defaultdict(list)
+    for r in mix.placed.where("size > 0").collect():
+        shards = held.get((r["rank"], r["offset"]))
+        ids[r["doc_id"], r["source"]].append((min(shards), max(shards)) if shards else (None, None))
+    for r in mix.taken().where("size > 0").collect():
+        assert (r["first_shard"], r["last_shard"]) in ids[r["doc_id"], r["source"]]
+    assert len({s for found in held.values() for s in found}) > 1
+    plan = mix.taken()._jdf.queryExecution().optimizedPlan().toString()
+    assert "drawn#" in plan and "shard#" in plan
+
+
 def test_empty_table_and_plan(spark, rows):
     docs = build(spark, rows)
     assert mixing.Mix(docs.where("doc_id < 0")).taken().collect() == []
