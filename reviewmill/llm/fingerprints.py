@@ -13,20 +13,25 @@ coefficient of the sets of spans that these samples estimate.
 from __future__ import annotations
 
 import hashlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from reviewmill.llm.frames import keyed_texts, pick, unpack
+from reviewmill.llm.frames import keyed_texts, unpack
 from reviewmill.llm.kernels import PRIME, mix
+from reviewmill.sources.workspace import materialise
 
 BASES = (911382323, 972663749)
 WIDTH = 16
 SPANS = 64
+#: text bytes of a part, and what a row counts beside its text
+PART_BYTES = 64 << 20
+ROW_BYTES = 64
 #: room of the power tables that a worker keeps; a longer text makes its own
 KEPT_POWERS = 1 << 17
 
@@ -178,19 +183,36 @@ def _neighbours(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist(out, schema=_FIELDS)
 
 
-def first_ids(docs: DataFrame) -> list[int]:
-    """Least id of each part of a range partitioning; as many as there are shuffle partitions.
+def part_starts(texts: DataFrame, *, part_bytes: int = PART_BYTES) -> list[tuple[bool, int, int]]:
+    """Key of the first row of each part, ascending: whether it has an id, the id (0 if none), the row hash.
 
-    Only ids are shuffled for it. Ids that are equal fall into one part; null ids come first.
+    Rows in order of their keys are cut where the bytes before them pass a multiple of a part's size:
+    ``part_bytes``, or less where that gives fewer parts than shuffle partitions. So parts have about
+    equal bytes whatever the ids and lengths are, and one start for each reaches the driver. Rows of
+    equal key stay together. Only keys and lengths are shuffled.
     """
-    ids = pick(docs, "doc_id").select(F.col("doc_id").cast("long")).where("doc_id is not null")
-    # With a number, since adaptive execution would put a few megabytes of ids into one range.
-    ranges = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    parts = ids.repartitionByRange(ranges, "doc_id").select(F.spark_partition_id().alias("part"), "doc_id")
-    return sorted(r["first"] for r in parts.groupBy("part").agg(F.min("doc_id").alias("first")).collect())
-
-
-def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
+    least = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES
+    keys = texts.select("doc_id", "row_hash", size.alias("bytes"))
+    # With a number, since adaptive execution would put a few megabytes of keys into one range.
+    ranged = keys.repartitionByRange(least, "doc_id", "row_hash")
+    rows = materialise(ranged.select(F.spark_partition_id().alias("range"), "*"), "fingerprint-keys")
+    before = Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    sums = rows.groupBy("range").agg(F.sum("bytes").alias("total"))
+    sums = sums.select(  # one row for each range
+        "range",
+        F.coalesce(F.sum("total").over(before), F.lit(0)).alias("start"),
+        F.least(F.lit(part_bytes), F.ceil(F.sum("total").over(Window.partitionBy()) / least)).alias("width"),
+    )
+    inside = Window.partitionBy("range").orderBy("doc_id", "row_hash").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("local", F.coalesce(F.sum("bytes").over(inside), F.lit(0))).join(sums, "range")
+    key = F.struct(F.col("doc_id").isNotNull().alias("held"), F.coalesce("doc_id", F.lit(0)).alias("id"), "row_hash")
+    part = F.floor((F.col("start") + F.col("local")) / F.col("width"))
+    starts = placed.groupBy(part.alias("part")).agg(F.min(key).alias("key")).select("key.*").distinct()
+    return sorted(map(tuple, starts.collect()))
+
+
+def neighbour_fingerprints(docs: DataFrame, *, part_bytes: int = PART_BYTES) -> DataFrame:
     """Fingerprints of every text and of its edited form, and their likeness; one row for each row.
 
     Rows follow each other by ``doc_id`` (null first), rows with one id by a hash of their text; the
@@ -198,24 +220,23 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
     points; their fingerprints are equal to each other and unlike any other. Other columns are
     ignored. ``prefix_*`` are the common prefixes that binary search finds on the prefix arrays.
 
-    Texts are shuffled once, compressed, to the range that holds their id; the first row of a range
-    goes to the range before as well.
+    Texts are shuffled once, compressed, to the part that holds their key, one task for each part; the
+    first row of a part goes to the part before as well.
     """
-    cuts = first_ids(docs)
-    firsts = np.array(cuts, np.int64)
+    texts = keyed_texts(docs)
+    starts = part_starts(texts, part_bytes=part_bytes)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             squeeze = zstandard.ZstdCompressor(level=3).compress
-            ids = batch["doc_id"].to_pylist()
             packed = [squeeze((t or "").encode()) for t in batch["text"].to_pylist()]
-            part = [0 if i is None or not cuts else max(0, int(np.searchsorted(firsts, i, "right")) - 1) for i in ids]
-            rows = [(p, False, k) for k, p in enumerate(part)]
-            for k, i in enumerate(ids):
-                if i is None or nulls == 0 and cuts and i == cuts[0]:
-                    rows.append((max(0, len(cuts) - 1), True, k))
-                elif cuts and part[k] > 0 and i == cuts[part[k]]:
-                    rows.append((part[k] - 1, True, k))
+            rows = []
+            for k, (i, h) in enumerate(zip(batch["doc_id"].to_pylist(), batch["row_hash"].to_pylist(), strict=True)):
+                key = (i is not None, i or 0, h)
+                part = bisect_right(starts, key) - 1
+                rows.append((part, False, k))
+                if key == starts[part]:
+                    rows.append(((part - 1) % len(starts), True, k))
             take = pa.array([k for _, _, k in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [
@@ -228,7 +249,6 @@ def neighbour_fingerprints(docs: DataFrame) -> DataFrame:
                 names=["part", "ahead", "doc_id", "row_hash", "packed"],
             )
 
-    nulls = pick(docs, "doc_id").where("doc_id is null").limit(1).count()
-    placed = keyed_texts(docs).mapInArrow(place, "part int, ahead boolean, doc_id long, row_hash long, packed binary")
-    ordered = placed.repartition(max(1, len(cuts)), "part").sortWithinPartitions("part", "ahead", "doc_id", "row_hash")
+    placed = texts.mapInArrow(place, "part int, ahead boolean, doc_id long, row_hash long, packed binary")
+    ordered = placed.repartitionById(max(1, len(starts)), "part").sortWithinPartitions("part", "ahead", "doc_id", "row_hash")
     return ordered.mapInArrow(_neighbours, SCHEMA)
