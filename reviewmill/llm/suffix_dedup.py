@@ -46,6 +46,8 @@ CUT = pa.schema(
     [("anchor", pa.int64()), ("content", pa.int64()), ("n", pa.int32()), ("copies", pa.int64()), ("strings", pa.int64()), ("bytes", pa.binary())]
 )
 SPANS = "array<struct<a:int,b:int>>"
+#: bytes of texts whose segments are found at once; about two dozen arrays of 8 bytes a window are held for them
+SEGMENT_BYTES = 1 << 18
 
 
 def _byte_hash(data: np.ndarray) -> kernels.PrefixHash:
@@ -98,7 +100,7 @@ def _segment_bounds(
 
 def _segments(batch: pa.RecordBatch, minimum: int, gram: int) -> Iterator[pa.RecordBatch]:
     data, offsets = kernels.text_bytes(batch["text"])
-    for low, high in kernels.chunks(offsets):
+    for low, high in kernels.chunks(offsets, SEGMENT_BYTES):
         part, ends = data[offsets[low] : offsets[high]], offsets[low : high + 1] - offsets[low]
         at, start, stop, anchor, content, again = _segment_bounds(part, ends, minimum, gram)
         if not len(start):
