@@ -187,3 +187,54 @@ def test_majority_tie_goes_to_the_lesser_label(spark):
 def test_document_frequency_counts_documents(make_reviews):
     df = make_reviews([{TEXT: "dog dog dog"}, {TEXT: "dog cat"}, {TEXT: None}])
     assert {r["term"]: r["df"] for r in tfidf.document_frequencies(df).collect()} == {"dog": 2, "cat": 1}
+
+
+def test_vectors_of_any_vocabulary_need_no_terms_on_the_driver(make_reviews):
+    train, held = corpus(make_reviews), corpus(make_reviews, 8, 1000)
+    odd = add_sentiment(make_reviews([{ROW_ID: 2000, TEXT: "zzz"}]))
+    rows = held.unionByName(odd).withColumn(TEXT, F.concat(TEXT, F.lit(" unseen")))
+    model = features.fit_features(train)
+    plain, table = model.vectoriser(train), model.table_vectoriser()
+    assert table.size == plain.size and not hasattr(table, "terms")
+    places = sorted(r["place"] for r in table.names().collect())
+    assert places == list(range(table.size))
+
+    def entries(vectoriser):
+        found = features.vector_entries(vectoriser.transform(rows), vectoriser).collect()
+        return {(r[ROW_ID], r["feature"]): r["value"] for r in found}
+
+    assert entries(table) == pytest.approx(entries(plain))
+
+
+def test_logistic_by_term_needs_no_vectors(make_reviews, monkeypatch):
+    silver = corpus(make_reviews, 48)
+    train, rows = (materialise(features.prepared_rows(silver.where(c)), "part") for c in (F.col(ROW_ID) % 12 < 8, F.col(ROW_ID) % 12 >= 8))
+    monkeypatch.setattr(features.FeatureModel, "vectoriser", lambda *_, **__: pytest.fail("the vocabulary went to the driver"))
+    scored = baselines.fit_and_score(train, rows, models=[baselines.LOGISTIC], logistic={"max_iter": 8}).collect()
+    assert len(scored) == 16 and {r["model"] for r in scored} == {baselines.LOGISTIC}
+    assert all(sum(r["probability"]) == pytest.approx(1.0) for r in scored)
+
+
+def test_frequent_terms_are_not_shuffled_to_the_vocabulary(spark, make_reviews):
+    train = materialise(features.prepared_rows(corpus(make_reviews)), "train")
+    twice = train.unionByName(train.where(F.col(ROW_ID) < 5))  # rows of one id count as one
+    model = tfidf.fit_tfidf(train)
+    above = tfidf.frequent_above(model.vocabulary, 4)
+    frequent = model.vocabulary.where(F.col("df") > above).count()
+    assert 0 < frequent <= 4 and tfidf.frequent_above(model.vocabulary, 1000) == 0
+    split = tfidf.TfidfModel(model.vocabulary, model.documents, above=above)
+
+    def weights(model):
+        return {(r[ROW_ID], r["term"]): r["weight"] for r in model.transform(twice).collect()}
+
+    plain = tfidf.term_counts(twice).join(model.vocabulary, "term").groupBy(ROW_ID).agg(F.sum((F.col("tf") * F.col("idf")) ** 2).alias("square"))
+    norm = {r[ROW_ID]: r["square"] ** 0.5 for r in plain.collect()}
+    want = {(r[ROW_ID], r["term"]): r["tf"] * r["idf"] / norm[r[ROW_ID]] for r in tfidf.term_counts(twice).join(model.vocabulary, "term").collect()}
+    assert weights(split) == pytest.approx(want) and weights(model) == pytest.approx(want)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        plan = split.transform(train)._jdf.queryExecution().executedPlan().toString().split("== Initial Plan")[0]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "BroadcastHashJoin" in plan
+    assert "Window" in plan.split("Union")[0] and "Exchange" not in plan.split("Union")[0]  # rows are together before
