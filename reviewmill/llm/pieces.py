@@ -19,6 +19,8 @@ import os
 import re
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from operator import add
 
 import numpy as np
 import pyarrow as pa
@@ -48,6 +50,9 @@ class Pieces:
         self.text = [model.id_to_piece(i) for i in range(size)]
         self.raw = {int(self.text[i][3:5], 16): i for i in range(size) if model.is_byte(i)}
         self.byte_of = {i: b for b, i in self.raw.items()}
+        #: what a piece adds to a text, and whether it is a part of a character only
+        self.shown = [chr(self.byte_of[i]) if self.byte_of.get(i, 128) < 128 else self.text[i] for i in range(size)]
+        self.partial = np.array([self.byte_of.get(i, 0) > 127 for i in range(size)], bool)
         plain = [i for i in range(size) if not (model.is_byte(i) or model.is_control(i) or model.is_unknown(i) or model.is_unused(i))]
         self.ids = {self.text[i]: i for i in plain}
         self.score = {self.text[i]: model.get_score(i) for i in plain}
@@ -69,8 +74,8 @@ class Pieces:
             "(?s).+" if spanned else f"[{alone}]|{SPACE}*[^{SPACE}{alone}]+|{SPACE}+" if lone else f"{SPACE}*[^{SPACE}]+|{SPACE}+"
         )
         #: ids of stretches met lately, and those met before; the older half is dropped when the newer is full
-        self.known: dict[str, list[int]] = {}
-        self.older: dict[str, list[int]] = {}
+        self.known: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.pairs: dict[tuple[str, str], bool] = {}
 
     def forget(self) -> None:
@@ -104,6 +109,7 @@ class Pieces:
         survivors = [""]  # by boundary, counted from the last commit: the piece that ends there
         base = 0  # the last commit's place in the text
         ids, lengths, known, neighbours = self.ids, self.lengths, self.pairs.get, self.neighbours
+        enough = 4 * self.longest
         for end in range(1, len(text) + 1):
             here = end - base
             chosen = text[end - 1]
@@ -131,7 +137,7 @@ class Pieces:
                             if stays or stays is None and neighbours((before, piece)):
                                 chosen = piece
             survivors.append(chosen)
-            if here >= 4 * self.longest and end < len(text):
+            if here >= enough and end < len(text):
                 settled = self._converged(survivors, here)
                 if settled:
                     yield from self._path(survivors, settled)
@@ -162,34 +168,44 @@ class Pieces:
             return [own]
         return [self.raw.get(b, self.unknown) for b in piece.encode()]
 
-    def _stretch_ids(self, stretch: str) -> list[int]:
+    def _part_ids(self, part: str) -> tuple[int, ...]:
+        """Ids of text that holds no sure boundary."""
+        found = self.known.get(part) or self.older.get(part)
+        if found is None:
+            found = tuple(i for piece in self.search(part) for i in self.piece_ids(piece))
+        if len(part) <= MEMORABLE:
+            self.known[part] = found
+        return found
+
+    def _stretch_ids(self, stretch: str) -> tuple[int, ...]:
         """Ids of a stretch, searched between the places that no piece spans."""
         self.forget()
+        inside = self.inside
+        if stretch in self.older or all(map(inside.__contains__, map(add, stretch, stretch[1:]))):
+            return self._part_ids(stretch)
         out: list[int] = []
-        start, inside, known, older = 0, self.inside, self.known, self.older
+        start = 0
         for end in range(1, len(stretch) + 1):
             if end == len(stretch) or stretch[end - 1 : end + 1] not in inside:
-                part = stretch[start:end]
-                found = known.get(part) or older.get(part)
-                if found is None:
-                    found = [i for piece in self.search(part) for i in self.piece_ids(piece)]
-                if len(part) <= MEMORABLE:
-                    known[part] = found
-                out += found
+                out += self._part_ids(stretch[start:end])
                 start = end
+        found = tuple(out)
         if len(stretch) <= MEMORABLE:
-            known[stretch] = out
-        return out
+            self.known[stretch] = found
+        return found
 
     def encode(self, text: str) -> np.ndarray:
         """Ids of a text, as the model's own merges give them."""
-        out: list[int] = []
-        for stretch in self.stretch.findall(SPACE + text.replace(" ", SPACE)) if text else ():
-            out += self.known.get(stretch) or self._stretch_ids(stretch)
-        return np.array(out, np.int32)
+        stretches = self.stretch.findall(SPACE + text.replace(" ", SPACE)) if text else []
+        found = list(map(self.known.get, stretches))
+        if None in found:
+            found = [self.known.get(s) or self._stretch_ids(s) if ids is None else ids for s, ids in zip(stretches, found, strict=True)]
+        return np.array(list(chain.from_iterable(found)), np.int32)
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids that ``encode`` gave."""
+        if not self.partial[ids].any():
+            return "".join(map(self.shown.__getitem__, ids.tolist())).replace(SPACE, " ").removeprefix(" ")
         out, text, byte_of = bytearray(), self.text, self.byte_of
         run: list[str] = []
         for i in ids.tolist():

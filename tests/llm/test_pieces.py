@@ -45,3 +45,26 @@ def test_round_trip(make_docs, corpus, library):
     assert sorted((tuple(r) for r in back), key=repr) == sorted(((i, t or "") for i, t in rows), key=repr)
     assert pc.encode_documents(docs.where("doc_id < 0")).collect() == []
     assert np.array_equal(pc.pieces(pc.model_path()).encode(""), [])
+
+
+def test_a_remembered_stretch_is_not_searched_again(library, monkeypatch):
+    own = pc.Pieces(pc.model_path())
+    stretch = pc.SPACE + "remembered,"
+    ids = tuple(library.encode("remembered,"))
+    own.older = {stretch: ids}
+
+    def fail(part):
+        raise AssertionError(part)
+
+    monkeypatch.setattr(own, "search", fail)
+    assert own.encode("remembered, remembered,").tolist() == list(ids * 2)
+    assert own.known[stretch] == ids
+
+
+def test_decodes_parts_of_characters(library):
+    own = pc.pieces(pc.model_path())
+    for text in ("plain\n\tlines\r", "\U0001f600", "a \U0001f600\x00b\n", "  two  ", "\x7f\x80"):
+        ids = np.array(library.encode(text), np.int32)
+        assert own.decode(ids) == text
+    broken = np.array([own.raw[0xE4], own.raw[0x0A], own.raw[0xB8]], np.int32)
+    assert own.decode(broken) == b"\xe4\n\xb8".decode(errors="replace")
