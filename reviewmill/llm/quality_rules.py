@@ -24,18 +24,34 @@ SMOOTHING = 1.0
 #: share of the trusted documents that may score below the threshold
 TRUSTED_BELOW = 0.002
 SYMBOLS = "#*$%&|<>"
+#: words of a window, a power of two
 WINDOW = 8
 
 
 def text_words(text: Column) -> Column:
     """Words of a text in order; none of a null."""
-    split = F.filter(F.split(text, f"[{BREAK_CLASS}]+"), lambda w: w != "")
+    split = F.array_remove(F.split(text, f"[{BREAK_CLASS}]+"), "")
     return F.coalesce(split, F.array().cast("array<string>"))
 
 
-def _pairs(words: Column, size: Column, width: int) -> Column:
-    """Positions at which ``width`` words start."""
-    return F.when(size >= width, F.sequence(F.lit(1), size - (width - 1))).otherwise(F.array().cast("array<int>"))
+def _shifted(items: Column, by: int) -> Column:
+    """The items from place ``by`` on, 0 being the first."""
+    return F.slice(items, F.lit(by + 1), F.greatest(F.size(items) - F.lit(by), F.lit(0)))
+
+
+def _with_windows(rows: DataFrame) -> DataFrame:
+    """Add ``windows``, a hash of the ``WINDOW`` words that start at each place.
+
+    Each word is hashed once, and hashes of 1, 2, 4 words make those of twice as many. Every step is a column,
+    as Catalyst would write out a step that is used twice in one expression.
+    """
+    rows = rows.withColumn("windows", F.transform("words", lambda w: F.xxhash64(w)))
+    size = 1
+    while size < WINDOW:
+        last = F.greatest(F.size("windows") - F.lit(size), F.lit(0))
+        both = F.zip_with(F.slice("windows", F.lit(1), last), _shifted(F.col("windows"), size), lambda a, b: F.xxhash64(a, b))
+        rows, size = rows.withColumn("windows", both), 2 * size
+    return rows
 
 
 def with_counts(rows: DataFrame) -> DataFrame:
@@ -43,10 +59,7 @@ def with_counts(rows: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     rows = rows.withColumn("words", text_words(F.col("text")))
     rows = rows.withColumn("n_words", F.size("words").cast("long"))
-    rows = rows.withColumn(
-        "windows",
-        F.transform(_pairs(F.col("words"), F.size("words"), WINDOW), lambda i: F.xxhash64(F.slice("words", i, WINDOW))),
-    )
+    rows = _with_windows(rows)
     # Only a text in which some window is there twice goes on to sort its windows.
     ordered = F.sort_array(F.transform("windows", lambda h, i: F.struct(h.alias("h"), i.alias("i"))))
     some = F.size("windows") > F.size(F.array_distinct("windows"))
@@ -78,13 +91,17 @@ def with_counts(rows: DataFrame) -> DataFrame:
 
 def gram_buckets(words: str, buckets: int) -> Column:
     """Buckets of a word array's lower-cased words and neighbouring pairs."""
-    lowered = F.transform(words, F.lower)
-    single = F.transform(lowered, lambda w: F.pmod(F.xxhash64(w), F.lit(buckets)).cast("int"))
-    pair = F.transform(
-        _pairs(F.col(words), F.size(words), 2),
-        lambda i: F.pmod(F.xxhash64(F.lower(F.get(words, i - 1)), F.lower(F.get(words, i))), F.lit(buckets)).cast("int"),
-    )
-    return F.concat(single, pair)
+
+    def bucket(*gram: Column) -> Column:
+        return F.pmod(F.xxhash64(*gram), F.lit(buckets)).cast("int")
+
+    def grams(lowered: Column) -> Column:
+        first = F.slice(lowered, F.lit(1), F.greatest(F.size(lowered) - F.lit(1), F.lit(0)))
+        pairs = F.zip_with(first, _shifted(lowered, 1), lambda a, b: bucket(a, b))
+        return F.concat(F.transform(lowered, lambda w: bucket(w)), pairs)
+
+    # The argument of a lambda is worked out once, so each word is lower-cased once.
+    return F.get(F.transform(F.array(F.transform(words, F.lower)), grams), F.lit(0))
 
 
 def trusted_ids(labels: DataFrame) -> DataFrame:

@@ -100,3 +100,12 @@ def test_ratio_threshold_and_verdict_equal_brute_force(spark, tables):
         assert a[0] == b[0] and a[1] == pytest.approx(b[1]) and a[2] == b[2]
         near = b[1] is not None and abs(b[1] - threshold) < 1e-9
         assert near or a[3] == b[3]
+
+
+def test_words_are_hashed_and_lowered_once(spark, tables):
+    """Neither a slice of words for each window nor a word by its place in each pair is made."""
+    _, docs, _ = tables
+    rows = quality_rules.with_counts(quality_rules.pick(docs, "doc_id", "text"))
+    plan = rows.withColumn("r", quality_rules.mean_ratio("words", [0.5, 1.0]))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lower(") == 1
+    assert "slice(words" not in plan and "get(words" not in plan
