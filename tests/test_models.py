@@ -9,7 +9,7 @@ from reviewmill.operators import scaling, tfidf
 from reviewmill.plans import baselines, features
 from reviewmill.schema import LABELS, NUMERIC_FEATURES, RATING, ROW_ID, SENTIMENT, TEXT
 from reviewmill.operators.cleaning import add_sentiment
-from reviewmill.sources.workspace import materialise
+from reviewmill.sources.workspace import file_bytes, materialise
 
 WORDS = {1: "awful dirty queue", 3: "average fine okay", 5: "great magic lovely"}
 
@@ -238,3 +238,15 @@ def test_frequent_terms_are_not_shuffled_to_the_vocabulary(spark, make_reviews):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" in plan
     assert "Window" in plan.split("Union")[0] and "Exchange" not in plan.split("Union")[0]  # rows are together before
+
+
+def test_partitions_by_row_follow_the_files(make_reviews, monkeypatch):
+    train = materialise(features.prepared_rows(corpus(make_reviews)), "train")
+    model = tfidf.fit_tfidf(train)
+    want = {(r[ROW_ID], r["term"]): r["weight"] for r in model.transform(train).collect()}
+    monkeypatch.setattr(tfidf, "ROW_BYTES", 1 + file_bytes(train) // 23)
+    found = model.transform(train)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert f"hashpartitioning({ROW_ID}" in plan and "), 23), REPARTITION_BY_NUM" in plan.replace("L, 23)", "), 23)")
+    assert "Exchange" not in plan.split("Window")[1].split("Union")[0]  # rows stay together
+    assert {(r[ROW_ID], r["term"]): r["weight"] for r in found.collect()} == pytest.approx(want)
