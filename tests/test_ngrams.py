@@ -31,6 +31,9 @@ def test_tasks_are_bounded_by_bytes_of_files(spark, make_reviews, monkeypatch, t
     assert workspace.in_small_parts(stored).rdd.getNumPartitions() == stored.rdd.getNumPartitions()
     whole = sorted(map(tuple, ngrams.ngram_counts(stored, (1, 3), None).collect()))
     size = workspace.file_bytes(stored)
+    cores = spark.sparkContext.defaultParallelism
+    monkeypatch.setattr(workspace, "PART_BYTES", -(-size // (cores + 1)))
+    assert workspace.in_small_parts(stored).rdd.getNumPartitions() == stored.rdd.getNumPartitions()
     monkeypatch.setattr(workspace, "PART_BYTES", size // 40)
     counts = ngrams.ngram_counts(stored, (1, 3), None)
     parts = workspace.in_small_parts(stored.select(TEXT)).rdd.getNumPartitions()
