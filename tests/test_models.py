@@ -250,3 +250,32 @@ def test_partitions_by_row_follow_the_files(make_reviews, monkeypatch):
     assert f"hashpartitioning({ROW_ID}" in plan and "), 23), REPARTITION_BY_NUM" in plan.replace("L, 23)", "), 23)")
     assert "Exchange" not in plan.split("Window")[1].split("Union")[0]  # rows stay together
     assert {(r[ROW_ID], r["term"]): r["weight"] for r in found.collect()} == pytest.approx(want)
+
+
+def test_tokens_are_written_and_moved_as_one_string(spark, make_reviews):
+    odd = add_sentiment(make_reviews([{ROW_ID: 900, TEXT: None}, {ROW_ID: 901, TEXT: "! a"}, {ROW_ID: 902, TEXT: "été ab_1 ab_1"}]))
+    rows = features.prepared_rows(corpus(make_reviews).unionByName(odd))
+    stored = tfidf.write_rows(rows, "rows")
+    written = spark.read.parquet(stored.inputFiles()[0].rsplit("/", 1)[0])
+    assert dict(written.dtypes)["tokens"] == "string" and stored.dtypes == rows.dtypes
+    tokens = {r[ROW_ID]: r["tokens"] for r in stored.collect()}
+    assert tokens == {r[ROW_ID]: r["tokens"] for r in rows.collect()} and tokens[900] == tokens[901] == []
+    below = tfidf.term_counts(stored)._jdf.queryExecution().executedPlan().toString().split("Exchange hashpartitioning")[1]
+    assert "array_join" in below
+    assert {(r["term"], r["tf"]) for r in tfidf.term_counts(stored).where(f"{ROW_ID} >= 900").collect()} == {("été", 1), ("ab_1", 2)}
+
+
+def test_tokens_of_a_caller_may_hold_anything(spark):
+    rows = spark.createDataFrame([(1, ["a b", "a b", f"c{tfidf.SEPARATOR}d", ""]), (2, [])], f"{ROW_ID} long, tokens array<string>")
+    want = {(1, "a b", 2), (1, f"c{tfidf.SEPARATOR}d", 1), (1, "", 1)}
+    for table in (rows, tfidf.write_rows(rows, "rows")):
+        assert {tuple(r) for r in tfidf.term_counts(table).collect()} == want
+
+
+def test_terms_of_a_row_move_only_if_its_id_repeats(make_reviews):
+    rows = tfidf.write_rows(features.prepared_rows(corpus(make_reviews)), "rows")
+    plain = tfidf.row_terms(rows, keep=[SENTIMENT])
+    assert "Exchange" not in plain._jdf.queryExecution().executedPlan().toString()
+    twice = rows.unionByName(rows.where(F.col(ROW_ID) < 5))
+    want = sorted(map(tuple, tfidf.term_counts(rows, keep=[SENTIMENT]).drop("tf").collect()))
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, tfidf.row_terms(twice, keep=[SENTIMENT]).collect())) == want

@@ -108,3 +108,12 @@ def test_labels(spark):
 def test_half_even(spark):
     df = spark.createDataFrame([(0.125,), (0.375,), (2.5,), (None,)], "x double")
     assert [r[0] for r in df.select(half_even(F.col("x"), 2)).collect()] == [0.12, 0.38, 2.5, None]
+
+
+def test_urls_are_deleted_as_by_the_pattern_alone(make_reviews):
+    texts = [None, "", "plain", "HTTP", "http ://a", "see HTTPS://X.y/z?q now", "WWW.a.b", "www. a", "awww.b c", "xhttpx é", "\u212Ahttp://\u0130", "\u03a3 www.\u03a3 \u03a3"]
+    rows = make_reviews([{TEXT: t} for t in texts])
+    plain = F.regexp_replace(F.lower(F.coalesce(TEXT, F.lit(""))), tx.MODEL_URL, "")
+    got = rows.select(tx.model_text(F.col(TEXT)).alias("got"), plain.alias("want")).collect()
+    assert len(got) == len(texts) and all(r["got"] == r["want"] for r in got)
+    assert "CASE WHEN (contains" in rows.select(tx.model_text(F.col(TEXT)))._jdf.queryExecution().executedPlan().toString()
