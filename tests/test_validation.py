@@ -113,3 +113,31 @@ def test_thresholds_of_a_fold_ignore_its_own_rows(make_reviews):
     changed = scored.withColumn(SENTIMENT, other)
     pick = lambda df: {r[ROW_ID]: r["prediction"] for r in validation.with_tuned_folds(df, 3).where("fold = 1").collect()}
     assert pick(scored) == pick(changed)
+
+
+def test_terms_of_one_fold_are_not_scored_and_no_idf_is_written_by_entry(make_reviews):
+    rows = validation.folded_rows(reviews(make_reviews), 3)
+    shared = validation.FoldedBayes(rows, 3)
+    assert not [c for c in shared.entries.columns if c.startswith("idf")]
+    judged = {r["term"]: r["judged"] for r in shared.sums.collect()}
+    fold_of = {r[ROW_ID]: r["fold"] for r in rows.collect()}
+    assert fold_of and not any(judged[f"only{i}"] for i in fold_of) and judged["park"]
+    unknown = shared.entries.where("not known").collect()
+    assert {r["term"] for r in unknown} == {f"only{i}" for i in fold_of}
+
+
+def test_repeated_rows_of_an_id_count_once_in_all_folds(make_reviews):
+    rows = validation.folded_rows(reviews(make_reviews), 3)
+    twice = rows.unionByName(rows.where(F.col(ROW_ID) % 7 == 0))
+    plain, doubled = (validation.FoldedBayes(r, 3) for r in (rows, twice))
+    dfs = [{r["term"]: r["df"] for r in shared.sums.collect()} for shared in (plain, doubled)]
+    assert dfs[0] == dfs[1]
+
+
+def test_rare_terms_with_a_least_frequency_equal_one_fit_per_fold(make_reviews):
+    rows = validation.folded_rows(reviews(make_reviews), 3)
+    got = {r[ROW_ID]: r for r in validation.cross_validated_bayes(rows, 3, min_df=12).collect()}
+    for j in range(3):
+        train, held = (rows.where(c).drop("fold") for c in (F.col("fold") != j, F.col("fold") == j))
+        for r in baselines.fit_and_score(train, held, models=[baselines.BAYES], min_df=12).collect():
+            assert got[r[ROW_ID]]["probability"] == pytest.approx(r["probability"])
